@@ -179,17 +179,26 @@ def eng_event_fe(events: DataFrame, d: date, cfg: EntityConfig = DEFAULT) -> Dat
                     F.datediff(dt_lit(d), "LATEST").alias("DAYS_SINCE_LAST_EVENT")))
 
 
-def _pivot(rows: DataFrame, column: str, names: dict[str, str], cfg: EntityConfig) -> DataFrame:
-    wide = rows.groupBy(cfg.entity_key).pivot(column, list(names)).agg(F.count("EVENT_TS")).na.fill(0)
-    return wide.withColumnsRenamed(names)
+# fixed values: count columns per channel and per event code
+CHANNEL_COUNTS = {"E": "NUM_ENGE_EMAIL", "P": "NUM_ENGE_PHONE"}
+CODE_COUNTS = {"C": "NUM_CLICK", "D": "NUM_DECLINE", "O": "NUM_OPEN"}
 
 
 def eng_event_pivot(events: DataFrame, d: date, cfg: EntityConfig = DEFAULT) -> DataFrame:
-    """Event features with one count column per channel and per event code."""
-    rows = window_events(events, d, cfg)
-    channels = _pivot(rows, "EVENT_CHANNEL", {"E": "NUM_ENGE_EMAIL", "P": "NUM_ENGE_PHONE"}, cfg)
-    codes = _pivot(rows, "EVENT_CD", {"C": "NUM_CLICK", "D": "NUM_DECLINE", "O": "NUM_OPEN"}, cfg)
-    return eng_event_fe(events, d, cfg).join(channels, cfg.entity_key, "left").join(codes, cfg.entity_key, "left")
+    """Event features with one count column per channel and per event code.
+
+    The categories are fixed, so both pivots are conditional counts of the aggregation that also
+    gives the totals: one scan and one shuffle instead of three of each and two joins.
+    """
+    day = F.col("EVENT_TS").cast("date")
+    counts = [F.count_if(F.col(column) == value).alias(name)
+              for column, names in (("EVENT_CHANNEL", CHANNEL_COUNTS), ("EVENT_CD", CODE_COUNTS))
+              for value, name in names.items()]
+    return (window_events(events, d, cfg).groupBy(cfg.entity_key)
+            .agg(F.count(day).alias("NUM_EVENT"), F.max(day).alias("LATEST"), *counts)
+            .select(cfg.entity_key, "NUM_EVENT", dt_lit(d).alias(cfg.dt_key),
+                    F.datediff(dt_lit(d), "LATEST").alias("DAYS_SINCE_LAST_EVENT"),
+                    *CHANNEL_COUNTS.values(), *CODE_COUNTS.values()))
 
 
 def linear_score(df: DataFrame, model: dict, out: str = "PROB", noise: float = 0.0, seed: int | None = None,
