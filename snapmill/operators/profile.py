@@ -208,7 +208,7 @@ def profile_table(df: DataFrame, config: dict[str, dict]) -> DataFrame:
 
 def save_profile(profile: DataFrame, root: str, profile_id: str) -> None:
     """Keep a profile under an id; an earlier one of that id is replaced."""
-    (profile.withColumn("PROFILE_ID", F.lit(profile_id)).coalesce(1)
+    (profile.withColumn("PROFILE_ID", F.lit(profile_id)).hint("rebalance")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("PROFILE_ID").parquet(root))
 
 
