@@ -66,10 +66,9 @@ def explain_tree(model: Model, df: DataFrame, features: list[str], label: str, k
     vectors = VectorAssembler(inputCols=features, outputCol=VECTOR).transform(rows).select("COLUMN", "Y", VECTOR)
     scored = class_probabilities(model, vectors, 2).select("COLUMN", "Y", F.col("PROB_CLS1").alias("SCORE"))
     auc = eval_auc(scored, ["COLUMN"])
-    base = auc.where(F.col("COLUMN") == "").select(F.col("ROC_AUC").alias("BASE"))
-    # one row of base
-    return (auc.where(F.col("COLUMN") != "").join(F.broadcast(base))
-            .select("COLUMN", (F.col("BASE") - F.col("ROC_AUC")).alias("AUC_DROP")))
+    # one row per feature and one for the unchanged rows
+    base = F.max(F.when(F.col("COLUMN") == "", F.col("ROC_AUC"))).over(Window.partitionBy(F.lit(0)))
+    return (auc.select("COLUMN", (base - F.col("ROC_AUC")).alias("AUC_DROP")).where(F.col("COLUMN") != ""))
 
 
 def input_validate(df: DataFrame, required: T.StructType) -> DataFrame:

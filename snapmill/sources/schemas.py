@@ -158,6 +158,18 @@ DECLARED = {
 }
 
 
+_TYPES = {t.simpleString(): t for t in (
+    T.StringType(), T.BooleanType(), T.DateType(), T.TimestampType(), T.ByteType(), T.ShortType(), T.IntegerType(),
+    T.LongType(), T.FloatType(), T.DoubleType())}
+
+
+def _type_of(name: str) -> T.DataType:
+    if name.startswith("decimal("):
+        precision, scale = name[len("decimal("):-1].split(",")
+        return T.DecimalType(int(precision), int(scale))
+    return _TYPES[name]
+
+
 def parse_schema(text: str) -> T.StructType:
     """StructType of a declaration; keys and partition columns are kept as field metadata."""
     fields = []
@@ -165,7 +177,7 @@ def parse_schema(text: str) -> T.StructType:
         if not line.strip():
             continue
         name, dtype, *marks = line.split()
-        fields.append(T.StructField(name, T.DataType.fromDDL(dtype), "null" in marks,
+        fields.append(T.StructField(name, _type_of(dtype), "null" in marks,
                                     {"primary_key": "key" in marks, "partition_key": "part" in marks}))
     return T.StructType(fields)
 
@@ -225,11 +237,11 @@ def table_init(spark: SparkSession, database: str, table: str, schema: T.StructT
 
 
 _DEFAULTS = {
-    T.StringType: F.lit(""),
-    T.BooleanType: F.lit(False),
-    T.DateType: F.lit("1970-01-01"),
-    T.TimestampType: F.lit("1970-01-01"),
-    T.TimestampNTZType: F.lit("1970-01-01"),
+    T.StringType: "",
+    T.BooleanType: False,
+    T.DateType: "1970-01-01",
+    T.TimestampType: "1970-01-01",
+    T.TimestampNTZType: "1970-01-01",
 }
 
 
@@ -238,7 +250,7 @@ def _conformed(field: T.StructField) -> Column:
     # a double enters a decimal through its own decimal text: rounded half up, null if it does not fit
     value = source.try_cast(field.dataType)
     if not field.nullable:
-        value = F.coalesce(value, _DEFAULTS.get(type(field.dataType), F.lit(0)).cast(field.dataType))
+        value = F.coalesce(value, F.lit(_DEFAULTS.get(type(field.dataType), 0)).cast(field.dataType))
     return value.alias(field.name)
 
 
