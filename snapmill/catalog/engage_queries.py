@@ -6,11 +6,12 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from snapmill.catalog.inputs import D
+from snapmill.catalog.inputs import D, once
 from snapmill.catalog.registry import query
 from snapmill.catalog.sql import ctes, r, u
 from snapmill.operators import engage as e
 from snapmill.operators import rollforward as roll
+from snapmill.runtime import materialize
 from snapmill.operators.prep import enc_ordinal, fit_ordinal, fit_standardize, prep_binarize, prep_standardize
 from snapmill.sources import bindings as b
 
@@ -201,7 +202,8 @@ def q_event_pivot(spark, sf):
 
 def event_probs(spark, sf):
     """Event model over standardised numbers, a 0/1 gender and ordinal office and title."""
-    fe = eng_features(spark, sf).drop("SNAP_DT")
+    # four fits read the features, so they are written once
+    fe = once(spark, ("eng_fe", sf), lambda: materialize(eng_features(spark, sf).drop("SNAP_DT")))
     coded = prep_binarize(fe, ["GENDER"], ["M"])
     for c in ("OFFICE", "TITLE"):
         coded = enc_ordinal(coded, c, fit_ordinal(fe, c), c + "_CODE").drop(c).withColumnRenamed(c + "_CODE", c)
@@ -210,7 +212,7 @@ def event_probs(spark, sf):
 
 
 def conv_probs(spark, sf):
-    fe = e.eng_event_pivot(b.events(spark, sf), D)
+    fe = once(spark, ("event_fe", sf), lambda: materialize(e.eng_event_pivot(b.events(spark, sf), D)))
     scaled = prep_standardize(fe, fit_standardize(fe, CONV_NUMS))
     return e.linear_score(scaled, e.CONVERSION_MODEL, "CONV_PROB").select("CUST_ID", "CONV_PROB")
 

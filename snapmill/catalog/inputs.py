@@ -56,5 +56,7 @@ def xy_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer and date over all dates, with a small stratum, for sampling."""
-    base = f.acct_base(b.account(spark, sf_dir))
-    return base.select("CUST_ID", "SNAP_DT", F.least("NUM_ACCTS_DEB", F.lit(2)).alias("STRATUM"))
+    def write() -> DataFrame:
+        base = f.acct_base(b.account(spark, sf_dir))
+        return materialize(base.select("CUST_ID", "SNAP_DT", F.least("NUM_ACCTS_DEB", F.lit(2)).alias("STRATUM")))
+    return once(spark, ("panel", sf_dir), write)

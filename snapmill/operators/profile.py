@@ -86,8 +86,7 @@ def eda_numeric(df: DataFrame, cols: list[str], attr: NumericAttr = NumericAttr(
     finite = data.select(*[F.when(_is_finite(F.col(f"`{c}`")), F.col(f"`{c}`")).alias(c) for c in names])
 
     def per_column(c: str) -> list[Column]:
-        x = F.col(f"`{c}`")
-        ok = F.when(_is_finite(x), x)
+        x, ok = F.col(f"`{c}`"), F.col(f"`OK:{c}`")
         return [F.struct(
             F.count(F.lit(1)).cast("double").alias("TOTAL"),
             F.count_if(x.isNull()).cast("double").alias("MISSING"),
@@ -98,7 +97,8 @@ def eda_numeric(df: DataFrame, cols: list[str], attr: NumericAttr = NumericAttr(
             F.skewness(ok).alias("SKEW"), F.kurtosis(ok).alias("KURT"),
             F.min(ok).alias("MIN"), F.max(ok).alias("MAX")).alias(c)]
 
-    moments = {c: v.asDict() for c, v in data.agg(*[s for c in names for s in per_column(c)]).first().asDict().items()}
+    both = data.withColumns({f"OK:{c}": F.when(_is_finite(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in names})
+    moments = {c: v.asDict() for c, v in both.agg(*[s for c in names for s in per_column(c)]).first().asDict().items()}
     fitted = quantiles(finite.toDF(*names), names, PROBS, attr.exact)
 
     def bin_of(c: str) -> Column:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from snapmill.runtime import collect_bounded, materialize
@@ -44,41 +47,128 @@ def long_form(df: DataFrame, cols: list[str], value_type: str = "double", keep:
     return df.select(*(keep or []), F.inline(entries))
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, dict[float, float]]:
+# at most this many distinct values inside all brackets are counted out; above, brackets are narrowed
+BRACKET_VALUES = 200_000
+SKETCH_ACCURACY = 10_000
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
+                    bracket_values: int = BRACKET_VALUES, accuracy: int = SKETCH_ACCURACY) -> dict[str, dict[float, float]]:
     """Linearly interpolated quantiles of the non-null values of each column.
 
-    Equal values are counted before anything is ordered. Nothing is held per column in one
-    task; only the requested order statistics reach the driver.
+    A sketch brackets every quantile; one counting job then gives the exact number of values
+    between the brackets and each distinct value inside them. Only those are shuffled and
+    collected, about a thousandth of the rows; where they are too many, a second sketch narrows
+    the brackets. The counts prove that the wanted ranks lie inside their bracket, otherwise it
+    is widened, so the result does not depend on the sketch.
     """
-    values = long_form(df, cols).where(F.col("VALUE").isNotNull())
-    counts = values.groupBy("COLUMN", "VALUE").agg(F.count(F.lit(1)).alias("N"))
-    cum = running_sums(counts, ["COLUMN"], "VALUE", ["N"])
-    wanted = []
-    last = F.col("TOTAL_N") - 1
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * last
-        for side, rank in (("LO", F.floor(pos)), ("HI", F.ceil(pos))):
-            wanted.append(F.struct(F.lit(i).alias("I"), F.lit(side).alias("SIDE"), rank.alias("RANK"),
-                                   (pos - F.floor(pos)).alias("FRAC")))
-    first = F.col("CUM_N") - F.col("N")
-    hits = (cum.select("COLUMN", "VALUE", "N", "CUM_N", F.filter(
-                F.array(*wanted), lambda w: (w["RANK"] >= first) & (w["RANK"] < F.col("CUM_N"))).alias("HITS"))
-            .where(F.size("HITS") > 0)
-            .select("COLUMN", "VALUE", F.inline("HITS")))
-    found = {(r.COLUMN, r.I, r.SIDE): (r.VALUE, r.FRAC)
-             for r in collect_bounded(hits, 2 * len(cols) * len(probs), "quantiles")}
-    out: dict[str, dict[float, float]] = {c: {} for c in cols}
-    for c in cols:
-        for i, p in enumerate(probs):
-            if (c, i, "LO") in found:
-                lo, frac = found[(c, i, "LO")]
-                hi, _ = found[(c, i, "HI")]
-                out[c][p] = lo + (hi - lo) * frac
+    names = {c: f"q{i}" for i, c in enumerate(cols)}
+    data = df.select(*[F.col(f"`{c}`").cast("double").alias(q) for c, q in names.items()])
+    around = [min(max(p + side * 2.0 / accuracy, 0.0), 1.0) for p in probs for side in (-1, 1)]
+    sketch = data.agg(*[x for q in names.values() for x in (
+        F.count(q).alias(f"{q}_n"), F.percentile_approx(q, around, accuracy).alias(f"{q}_s"))]).first()
+    ranks: dict[tuple[str, int], tuple[int, int, float]] = {}
+    brackets: dict[tuple[str, int], tuple[float, float]] = {}
+    for q in names.values():
+        for i, p in enumerate(probs if sketch[f"{q}_n"] else []):
+            pos = p * (sketch[f"{q}_n"] - 1)
+            ranks[q, i] = (math.floor(pos), math.ceil(pos), pos - math.floor(pos))
+            brackets[q, i] = (sketch[f"{q}_s"][2 * i], sketch[f"{q}_s"][2 * i + 1])
+    found: dict[tuple[str, int], tuple[float, float]] = {}
+    while len(found) < len(ranks):
+        open_ = {k: b for k, b in brackets.items() if k not in found}
+        cells = _bracket_cells(data, open_, True, bracket_values)
+        too_many = cells is None
+        if too_many:
+            cells = _bracket_cells(data, open_, False, bracket_values)
+        crowded = {}
+        by_column: dict[str, list] = {}
+        for c in cells:
+            by_column.setdefault(c.Q, []).append(c)
+        for key, (lo, hi) in open_.items():
+            mine = by_column[key[0]]
+            below = sum(c.N for c in mine if c.FIRST < lo or (math.isnan(lo) and not math.isnan(c.FIRST)))
+            n_in = sum(c.N for c in mine if not (c.FIRST < lo) and not (c.FIRST > hi) and
+                       (math.isnan(hi) or not math.isnan(c.FIRST)) and (not math.isnan(lo) or math.isnan(c.FIRST)))
+            lo_rank, hi_rank, _ = ranks[key]
+            if lo_rank < below:
+                brackets[key] = (-math.inf, hi)
+            elif hi_rank >= below + n_in:
+                brackets[key] = (lo, math.nan)
+            elif too_many:
+                crowded[key] = (below, n_in)
             else:
-                out[c][p] = None
+                values = sorted((c.VALUE, c.N) for c in mine if c.VALUE is not None and not (c.VALUE < lo))
+                nans = sum(c.N for c in mine if math.isnan(c.FIRST))
+                found[key] = (_value_at(values, nans, lo_rank - below), _value_at(values, nans, hi_rank - below))
+        if crowded:
+            _narrow(data, brackets, ranks, crowded, accuracy)
+    out: dict[str, dict[float, float]] = {}
+    for c, q in names.items():
+        out[c] = {p: None for p in probs}
+        for i, p in enumerate(probs):
+            if (q, i) in found:
+                lo, hi = found[q, i]
+                out[c][p] = lo if lo == hi else lo + (hi - lo) * ranks[q, i][2]
     return out
 
 
+def _value_at(values: list[tuple[float, int]], nans: int, rank: int) -> float:
+    for v, n in values:
+        if rank < n:
+            return v
+        rank -= n
+    return math.nan
+
+
+def _bracket_cells(data: DataFrame, brackets: dict, with_values: bool, limit: int) -> list | None:
+    """Counts per column and cell, the cells being cut at the bracket ends; inside brackets also per
+    distinct value. None when there are more than limit of these. FIRST is the cell's lower end.
+
+    Cells are found by binary search. A closed end b is the cut at the next double above b, so
+    that counts of values < lo and <= hi are sums of whole cells.
+    """
+    cuts: dict[str, list[float]] = {}
+    for (q, _), (lo, hi) in brackets.items():
+        ends = [x for x in (lo, math.nextafter(hi, math.inf)) if math.isfinite(x)]
+        cuts.setdefault(q, []).extend(ends)
+    splits = {q: [-math.inf, *sorted(set(ends)), math.inf] for q, ends in cuts.items()}
+    cols = list(splits)
+    binned = Bucketizer(inputCols=cols, outputCols=[f"{q}_b" for q in cols], splitsArray=[splits[q] for q in cols],
+                        handleInvalid="keep").transform(data)
+    entries = []
+    for q in cols:
+        inside = [i for i, first in enumerate(splits[q][:-1]) if any(
+            k == q and not (first < lo) and (math.isnan(hi) or first <= hi) for (k, _), (lo, hi) in brackets.items())]
+        cell = F.col(f"{q}_b").cast("int")
+        value = F.when(cell.isin(inside), F.col(q)) if with_values and inside else F.lit(None).cast("double")
+        entries.append(F.struct(F.lit(q).alias("Q"), cell.alias("CELL"), value.alias("VALUE")))
+    counts = (binned.select(F.inline(F.array(*entries))).where(F.col("CELL").isNotNull())
+              .groupBy("Q", "CELL", "VALUE").agg(F.count(F.lit(1)).alias("N")))
+    n_cells = sum(len(s) + 1 for s in splits.values())
+    rows = counts.limit(limit + n_cells + 1).collect()
+    if len(rows) > limit + n_cells:
+        return None
+    # the cell after the last one holds NaN
+    return [Row(Q=r.Q, VALUE=r.VALUE, N=r.N,
+                FIRST=math.nan if r.CELL >= len(splits[r.Q]) - 1 else splits[r.Q][r.CELL]) for r in rows]
+
+
+def _narrow(data: DataFrame, brackets: dict, ranks: dict, crowded: dict, accuracy: int) -> None:
+    """Replace each crowded bracket by the part of it around its ranks."""
+    aggs = {}
+    for (q, i), (below, n_in) in crowded.items():
+        lo, hi = brackets[q, i]
+        inside = F.col(q) >= F.lit(lo)
+        inside = inside if math.isnan(hi) else inside & (F.col(q) <= F.lit(hi))
+        shares = [min(max((r - below) / n_in + side * 2.0 / accuracy, 0.0), 1.0)
+                  for r, side in ((ranks[q, i][0], -1), (ranks[q, i][1], 1))]
+        aggs[q, i] = F.percentile_approx(F.when(inside, F.col(q)), shares, accuracy).alias(f"{q}_{i}")
+    row = data.agg(*aggs.values()).first()
+    for q, i in aggs:
+        brackets[q, i] = tuple(row[f"{q}_{i}"])
+
+
 def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10_000) -> dict[str, dict[float, float]]:
     """The same by one pass with bounded sketches; the rank error is at most n / accuracy."""
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(c) for c in cols]).first()

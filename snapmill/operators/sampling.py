@@ -6,15 +6,14 @@ same choice.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmill.config import DEFAULT, EntityConfig
 from snapmill.functions.exprs import hash32, hash_uniform, row_key
-from snapmill.runtime import collect_bounded, lookup_join, materialize
+from snapmill.runtime import collect_bounded, lookup_join
 
 PICK = "IS_PICKED"
-COARSE = 65536
 
 
 def mark_simple(df: DataFrame, frac: float, seed: int = 0, cfg: EntityConfig = DEFAULT) -> DataFrame:
@@ -27,50 +26,39 @@ def mark_group(df: DataFrame, frac: float, seed: int = 0, cfg: EntityConfig = DE
     return df.withColumn(PICK, hash_uniform(F.col(cfg.entity_key), seed) < F.lit(frac))
 
 
-def _cut(hist: DataFrame, stratum: str, level: str, need: Column, n: Column) -> DataFrame:
-    """Per stratum the first level at which the running count reaches need, and what is still
-    missing when it starts. hist has at most 65536 rows per stratum."""
-    running = Window.partitionBy(stratum).orderBy(level)
-    before = F.sum(n).over(running) - n
-    return (hist.select(stratum, level, need.alias("NEED"), n.alias("N"), before.alias("BEFORE"))
-            .where((F.col("BEFORE") < F.col("NEED")) & (F.col("BEFORE") + F.col("N") >= F.col("NEED")))
-            .select(stratum, F.col(level).alias(f"CUT_{level}"),
-                    (F.col("NEED") - F.col("BEFORE")).alias(f"NEED_{level}")))
-
-
 def mark_stratify(df: DataFrame, frac: float, stratum: str, seed: int = 0,
                   cfg: EntityConfig = DEFAULT) -> DataFrame:
     """IS_PICKED for exactly round(frac * n) rows of each stratum: those with the smallest
     (hash, key).
 
-    The 32-bit hash is cut in two 16-bit halves. Two small histograms find the hash value at
-    which each stratum reaches its quota; only the rows with exactly that hash are ranked.
-    Keys are expected to be unique, as they are in a snapshot table.
+    The upper 16 bits of the hash give a histogram of at most 65536 rows per stratum. It names
+    the bucket in which a stratum reaches its quota; only that bucket, 1/65536 of the stratum,
+    is ranked to find the last row taken. Its (hash, key) is the stratum's cutoff, and marking
+    is a comparison. Keys are unique, as in any snapshot table. df is read three times.
     """
     key = row_key(cfg.pk)
-    h = hash32(key, seed)
     hashed = df.withColumns({
         "_KEY": key,
-        "_HI": F.shiftrightunsigned(h, 16),
-        "_LO": h.bitwiseAND(COARSE - 1),
-        # null is a stratum of its own; the join below must find it
+        "_H": hash32(key, seed),
+        # null is a stratum of its own; the join must find it
         "_S": F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit("null")),
     })
-    hi = materialize(hashed.groupBy("_S", "_HI").agg(F.count(F.lit(1)).alias("_N")))
-    # the total is an exact integer; the product is decimal, so a half rounds up as in SQL
-    quota = F.round(F.lit(str(frac)).cast("decimal(18,9)") * F.sum("_N").over(Window.partitionBy("_S")), 0)
-    hi_cut = _cut(hi.withColumn("_Q", quota.cast("bigint")), "_S", "_HI", F.col("_Q"), F.col("_N"))
-    in_hi = lookup_join(hashed, hi_cut, ["_S"])
-    at_hi = F.col("_HI") == F.col("CUT__HI")
-    lo = (in_hi.where(at_hi).groupBy("_S", "_LO", "NEED__HI").agg(F.count(F.lit(1)).alias("_N")))
-    lo_cut = _cut(lo, "_S", "_LO", F.col("NEED__HI"), F.col("_N"))
-    full = lookup_join(in_hi, lo_cut, ["_S"])
-    at_lo = at_hi & (F.col("_LO") == F.col("CUT__LO"))
-    settled = full.where(~F.coalesce(at_lo, F.lit(False))).withColumn(
-        PICK, F.coalesce((F.col("_HI") < F.col("CUT__HI")) | (at_hi & (F.col("_LO") < F.col("CUT__LO"))), F.lit(False)))
-    rank = F.row_number().over(Window.partitionBy("_S").orderBy("_KEY"))
-    ties = full.where(at_lo).withColumn(PICK, rank <= F.col("NEED__LO"))
-    return settled.unionByName(ties).select(*df.columns, PICK)
+    bucket = F.shiftrightunsigned("_H", 16)
+    hist = hashed.groupBy("_S", bucket.alias("_B")).agg(F.count(F.lit(1)).alias("_N"))
+    per = Window.partitionBy("_S")
+    # the fraction is decimal, so a half rounds up exactly
+    quota = F.round(F.lit(str(frac)).cast("decimal(18,9)") * F.sum("_N").over(per), 0).cast("bigint")
+    before = F.sum("_N").over(per.orderBy("_B")) - F.col("_N")
+    at_quota = (hist.select("_S", "_B", "_N", quota.alias("_Q"), before.alias("_BEFORE"))
+                .where((F.col("_BEFORE") < F.col("_Q")) & (F.col("_BEFORE") + F.col("_N") >= F.col("_Q")))
+                .select("_S", "_B", (F.col("_Q") - F.col("_BEFORE")).alias("_NEED")))
+    in_bucket = lookup_join(hashed.select("_S", "_H", "_KEY", bucket.alias("_B")), at_quota, ["_S", "_B"], "inner")
+    rank = F.row_number().over(per.orderBy("_H", "_KEY"))
+    cutoff = (in_bucket.withColumn("_R", rank).where(F.col("_R") == F.col("_NEED"))
+              .select("_S", F.col("_H").alias("_CUT_H"), F.col("_KEY").alias("_CUT_KEY")))
+    picked = (F.col("_H") < F.col("_CUT_H")) | ((F.col("_H") == F.col("_CUT_H")) & (F.col("_KEY") <= F.col("_CUT_KEY")))
+    # a stratum without a cutoff has quota 0
+    return lookup_join(hashed, cutoff, ["_S"]).select(*df.columns, F.coalesce(picked, F.lit(False)).alias(PICK))
 
 
 def mark_timeseries(df: DataFrame, frac: float, cfg: EntityConfig = DEFAULT) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Session-level helpers: shared scratch space, lineage cuts and size-checked broadcasts."""
+"""Session-level helpers: shared scratch space, written intermediates and size-checked broadcasts."""
 
 from __future__ import annotations
 
@@ -36,9 +36,15 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute df once into reliable storage and cut its lineage."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute df once into a table in the shared folder and read it back.
+
+    The result has no lineage, survives lost executors, and its readers scan only the columns
+    they use.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list[Row]:
