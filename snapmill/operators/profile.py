@@ -106,7 +106,7 @@ def eda_numeric(df: DataFrame, cols: list[str], attr: NumericAttr = NumericAttr(
         if lo is None or lo == hi:
             return F.when(x.isNotNull(), 0)
         raw = F.floor((x - lo) / F.lit((hi - lo) / attr.n_bins)).cast("int")
-        return F.least(raw, F.lit(attr.n_bins - 1))
+        return F.when(x.isNotNull(), F.least(raw, F.lit(attr.n_bins - 1)))
 
     def side_of(c: str) -> Column:
         m, s = moments[c]["MEAN"], moments[c]["STD"]

@@ -75,12 +75,14 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
             ranks[q, i] = (math.floor(pos), math.ceil(pos), pos - math.floor(pos))
             brackets[q, i] = (sketch[f"{q}_s"][2 * i], sketch[f"{q}_s"][2 * i + 1])
     found: dict[tuple[str, int], tuple[float, float]] = {}
+    # every bracket needs a few values; the doubling below ends the narrowing in any case
+    limit = max(bracket_values, 16 * len(brackets))
     while len(found) < len(ranks):
         open_ = {k: b for k, b in brackets.items() if k not in found}
-        cells = _bracket_cells(data, open_, True, bracket_values)
+        cells = _bracket_cells(data, open_, True, limit)
         too_many = cells is None
         if too_many:
-            cells = _bracket_cells(data, open_, False, bracket_values)
+            cells = _bracket_cells(data, open_, False, limit)
         crowded = {}
         by_column: dict[str, list] = {}
         for c in cells:
@@ -103,6 +105,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                 found[key] = (_value_at(values, nans, lo_rank - below), _value_at(values, nans, hi_rank - below))
         if crowded:
             _narrow(data, brackets, ranks, crowded, accuracy)
+            limit *= 2
     out: dict[str, dict[float, float]] = {}
     for c, q in names.items():
         out[c] = {p: None for p in probs}
@@ -132,7 +135,8 @@ def _bracket_cells(data: DataFrame, brackets: dict, with_values: bool, limit: in
     for (q, _), (lo, hi) in brackets.items():
         ends = [x for x in (lo, math.nextafter(hi, math.inf)) if math.isfinite(x)]
         cuts.setdefault(q, []).extend(ends)
-    splits = {q: [-math.inf, *sorted(set(ends)), math.inf] for q, ends in cuts.items()}
+    # without a finite end any cut will do
+    splits = {q: [-math.inf, *sorted(set(ends) or {0.0}), math.inf] for q, ends in cuts.items()}
     cols = list(splits)
     binned = Bucketizer(inputCols=cols, outputCols=[f"{q}_b" for q in cols], splitsArray=[splits[q] for q in cols],
                         handleInvalid="keep").transform(data)

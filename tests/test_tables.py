@@ -180,3 +180,22 @@ def test_event_expand_follows_probability(spark):
     out = e.event_expand(df, "P", D)
     assert abs(out.count() / 14000 - 0.25) < 0.02
     assert out.agg(F.min("EVENT_DT"), F.max("EVENT_DT")).first() == (D + timedelta(days=1), D + timedelta(days=7))
+
+
+def test_feed_takes_each_file_once(spark, tmp_path):
+    from snapmill.streaming.feed import feed_raw
+
+    declared = s.declared_schema("RAW", "PURCHASES")
+    src = T.StructType([T.StructField("CUST_ID", T.LongType()), T.StructField("SNAP_DT", T.DateType()),
+                        T.StructField("PUR_TS", T.TimestampType()), T.StructField("PUR_NUM", T.IntegerType()),
+                        T.StructField("PUR_AMT", T.DoubleType())])
+    paths = [str(tmp_path / x) for x in ("landing", "raw", "cp")]
+    for day in range(2):
+        rows = spark.range(3).select("id", F.lit(D + timedelta(days=day)).alias("d"), F.current_timestamp().alias("t"),
+                                     F.lit(2).alias("n"), F.lit(1.5).alias("a")).toDF(*src.names)
+        rows.coalesce(1).write.mode("append").parquet(paths[0])
+        for _ in range(2):
+            feed_raw(spark, paths[0], src, declared, paths[1], paths[2]).awaitTermination()
+        out = spark.read.parquet(paths[1])
+        assert out.count() == 3 * (day + 1) and out.select("SNAP_DT").distinct().count() == day + 1
+    assert out.schema["PUR_AMT"].dataType == T.DecimalType(10, 2)
