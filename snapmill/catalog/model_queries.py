@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from snapmill.catalog.inputs import D, features_at, once, xy_written
 from snapmill.catalog.registry import query
-from snapmill.catalog.sql import r
+from snapmill.catalog.sql import ctes, r, typed
 from snapmill.operators import calendar as cal
 from snapmill.operators import evaluate as ev
 from snapmill.operators import explain as ex
@@ -229,7 +229,7 @@ def explain_tree(spark, sf):
     return ex.explain_tree(model.model, data, model.features, "CONV_7D", ["CUST_ID", "SNAP_DT"])
 
 
-@query("input_validate")
+@query("input_validate", ctes("xy") + f"SELECT {typed(['CUST_ID', *MODEL_COLS])} FROM xy")
 def input_validate(spark, sf):
     xy = xy_written(spark, sf).select("CUST_ID", *MODEL_COLS)
     return ex.input_validate(xy.withColumn("AGE", F.col("AGE").cast("string")), xy.schema)

@@ -138,7 +138,7 @@ def random_trials(estimator, n: int, seed: int = 0) -> list[dict]:
     return trials[:n]
 
 
-def fold_column(entity: str, label: str, k: int, seed: int = 0) -> Column:
+def fold_column(entity: str, k: int, seed: int = 0) -> Column:
     """Fold of an entity: all its rows share it, so no entity is in two folds."""
     return (hash32(F.col(entity), seed) % k).cast("int")
 

@@ -136,7 +136,7 @@ def train(train_df: DataFrame, params: TreeParams | LinearParams, tune: TunePara
     tune_k = tune.n_cv if tune else 2
     ready = prep.transform(chosen.withColumns({
         "CLASS": encoding.encode(F.col(cfg.target_key)),
-        "FOLD": fold_column(cfg.entity_key, cfg.target_key, tune_k, seed)}), [*cfg.pk, "CLASS", "FOLD"])
+        "FOLD": fold_column(cfg.entity_key, tune_k, seed)}), [*cfg.pk, "CLASS", "FOLD"])
     balanced = params.class_weight == "balanced"
     data = materialize(assembled(ready, prep.outputs(), "CLASS", [*cfg.pk, "FOLD"], balanced)
                        .repartition(cfg.entity_key).sortWithinPartitions(*cfg.pk))

@@ -227,7 +227,7 @@ def _quoted(name: str) -> str:
 
 def table_init(spark: SparkSession, database: str, table: str, schema: T.StructType, location: str) -> str:
     """Create the table at location if it is missing, partitioned by its partition columns."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)} LOCATION '{os.path.dirname(location)}/{database}.db'")
     cols = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
     parts = ", ".join(_quoted(c) for c in partition_columns(schema))
     by = f" PARTITIONED BY ({parts})" if parts else ""

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from snapmill.config import DEFAULT
 from snapmill.functions.exprs import dt_lit
+from snapmill.runtime import lookup_join
 
 
 @dataclass(frozen=True)
@@ -69,7 +70,7 @@ class SnapshotTable:
         """Write the dates of df that have no snapshot yet; existing snapshots stay as they are."""
         if self.exists():
             present = self.list_dates()
-            df = df.join(F.broadcast(present), self.dt_key, "left_anti")
+            df = lookup_join(df, present, [self.dt_key], "left_anti")
         self.overwrite(df)
 
 

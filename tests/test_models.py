@@ -113,8 +113,8 @@ def test_unknown_options_raise(planted):
 
 
 def test_tuning_folds_do_not_split_an_entity(planted):
-    rows = planted.select("CUST_ID", m.fold_column("CUST_ID", "CONV_7D", 3).alias("F")).unionByName(
-        planted.select("CUST_ID", m.fold_column("CUST_ID", "CONV_7D", 3).alias("F")))
+    rows = planted.select("CUST_ID", m.fold_column("CUST_ID", 3).alias("F")).unionByName(
+        planted.select("CUST_ID", m.fold_column("CUST_ID", 3).alias("F")))
     assert rows.groupBy("CUST_ID").agg(F.count_distinct("F").alias("n")).where("n > 1").isEmpty()
     model = training.train(planted, m.LinearParams(loss="log", max_iter=20), m.TuneParams(n_trials=2), ["x", "g"])
     assert len(model.trials) == 2 and max(t[2] for t in model.trials) > 0.8
