@@ -139,7 +139,7 @@ def train(train_df: DataFrame, params: TreeParams | LinearParams, tune: TunePara
         "FOLD": fold_column(cfg.entity_key, tune_k, seed)}), [*cfg.pk, "CLASS", "FOLD"])
     balanced = params.class_weight == "balanced"
     data = materialize(assembled(ready, prep.outputs(), "CLASS", [*cfg.pk, "FOLD"], balanced)
-                       .repartition(cfg.entity_key).sortWithinPartitions(*cfg.pk))
+                       .repartition(cfg.entity_key).sortWithinPartitions(*cfg.pk)).persist()
     estimator = estimator_for(params, seed)
     trials: list = []
     if tune is not None:
@@ -147,6 +147,7 @@ def train(train_df: DataFrame, params: TreeParams | LinearParams, tune: TunePara
         estimator = with_params(estimator, best)
     model = estimator.fit(data)
     scored = materialize(class_probabilities(model, data, n).drop(VECTOR))
+    data.unpersist()
     fit = calib_sigmoid if calibration == "sigmoid" else calib_isotonic
     return TrainedModel(columns, prep, model, fit(scored, n, LABEL), encoding, trials)
 
