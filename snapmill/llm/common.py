@@ -8,6 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapmill.runtime import BROADCAST_ROWS, materialize
+
 # rows of one Arrow batch: texts may be long, and a batch is held by a Python worker as a whole
 BATCH_ROWS = 256
 
@@ -37,15 +39,18 @@ def fold(key: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int = 5, held: int = 0) -> DataFrame:
-    """Texts with a 0/1 label outside the held-out fold: text, label.
+def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, modulus: int = 5, held: int = 0) -> DataFrame:
+    """doc_id, text and label (0/1) of at most max_rows labelled documents outside the held-out fold.
 
-    Labels repeated for a key count once, by their mean rounded down; null labels are left out.
+    Labels repeated for a key count once, by their mean rounded down; null labels are left out. Beyond
+    max_rows the rows with the smallest hash of their key are taken. The bound makes the labels small
+    enough to broadcast, so texts are never shuffled to meet them.
     """
     marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("label"))
              .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), modulus) != held))
-             .groupBy("doc_id").agg(F.floor(F.avg("label")).cast("int").alias("label")))
-    return texts(docs).join(marks, "doc_id").select("doc_id", "text", "label")
+             .groupBy("doc_id").agg(F.floor(F.avg("label")).cast("int").alias("label"))
+             .orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(max_rows))
+    return texts(docs).join(F.broadcast(marks), "doc_id").select("doc_id", "text", "label")
 
 
 def forget(*frames: Iterable) -> None:
@@ -59,3 +64,20 @@ def forget(*frames: Iterable) -> None:
     session = SparkSession.getActiveSession()
     if session is not None:
         session._jvm.System.gc()
+
+
+def without(docs: DataFrame, ids: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of docs whose doc_id is not among ids (distinct), one row for each non-null doc_id.
+
+    The ids are counted: up to max_rows they are broadcast, beyond that both sides are shuffled by
+    doc_id. Repeated ids are looked for on the ids alone, and only if there are any the texts meet.
+    """
+    ids = materialize(ids)
+    keys = docs.select(F.col("doc_id").alias("doc_id"))
+    counts = keys.agg(F.count("doc_id").alias("rows"), F.countDistinct("doc_id").alias("distinct")).first()
+    few = ids.limit(max_rows + 1).count() <= max_rows
+    left = docs.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    if counts["rows"] == counts["distinct"]:
+        return left
+    named = left.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return named.unionByName(left.where("doc_id is null"))

@@ -5,8 +5,8 @@ lines), transformed so that they are roughly normal within a class. A class is a
 covariance is shrunk towards the pooled one and the diagonal; the score is the logistic of the
 difference of the two Mahalanobis log densities, computed with Cholesky factors that are made once.
 
-Training is one distributed sum of outer products over all labelled rows (DIMENSIONS^2 numbers per
-class reach the driver); scoring is one scan without a shuffle.
+Training is one distributed sum of outer products over at most MAX_ROWS labelled rows (DIMENSIONS^2
+numbers per class reach the driver); scoring is one scan without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from snapmill.llm.common import fold, labelled, small_batches, texts
 
 DIMENSIONS = 14
+# labelled rows that a fit reads at most
+MAX_ROWS = 30_000
 # kinds of bytes, fixed: other, lower, upper, digit, space, newline, sentence mark, symbol
 _KIND = np.zeros(256, np.int64)
 _KIND[ord("a"):ord("z") + 1] = 1
@@ -124,13 +126,14 @@ def fit(rows: DataFrame, shrink_pooled: float = 0.1, shrink_diagonal: float = 0.
     return Discriminant(means, np.array(white), np.array(half), np.log(counts / counts.sum()))
 
 
-def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, modulus: int = 5, held: int = 0) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, modulus: int = 5, held: int = 0,
+            max_rows: int = MAX_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted (score >= threshold) of every row of docs.
 
     Null texts are scored as empty ones, a null doc_id is kept, repeated rows are scored each; labels
     teach only outside the held-out fold. Without labelled rows of both classes every score is 0.5.
     """
-    model = fit(labelled(docs, labels, "quality", modulus, held))
+    model = fit(labelled(docs, labels, "quality", max_rows, modulus, held))
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -146,7 +149,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, modulus:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of docs, all columns, whose text scores at least the threshold."""
-    model = fit(labelled(docs, labels, "quality"))
+    model = fit(labelled(docs, labels, "quality", MAX_ROWS))
 
     def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -4,8 +4,8 @@ An n-gram is a feature by presence. Its log-count ratio r compares how often lab
 texts contain it; a feature's value is r, and a regularised logistic regression learns the weights of
 these scaled features. Features are hashed to BUCKETS; those with the strongest evidence are kept.
 
-Training uses about `max_rows` labelled rows, chosen by a hash, so a cluster of any size fits the
-same bounded sample. Scoring is one scan without a shuffle.
+Training uses at most MAX_ROWS labelled rows, those with the smallest hash of their key, so a corpus of
+any size fits the same bounded sample. Scoring is one scan without a shuffle.
 """
 
 from __future__ import annotations
@@ -95,13 +95,11 @@ def ratios(rows: DataFrame, max_features: int, min_rows: int) -> tuple[np.ndarra
     return np.array([r.bucket for r in best], np.int64), np.array([r.r for r in best], np.float64)
 
 
-def fit(rows: DataFrame, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES, min_rows: int = MIN_ROWS,
+def fit(rows: DataFrame, max_features: int = MAX_FEATURES, min_rows: int = MIN_ROWS,
         regularisation: float = 0.002) -> Model | None:
-    """Fit on text and label (0/1) of about max_rows rows; None unless both classes occur."""
+    """Fit on a bounded table of doc_id, text and label (0/1); None unless both classes occur."""
     small_batches(rows.sparkSession)
-    share = min(1.0, max_rows / max(rows.count(), 1))
-    chosen = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = materialize(rows.where(chosen).repartition("doc_id"))
+    sample = materialize(rows.repartition("doc_id"))
     if sample.select("label").distinct().count() < 2:
         return None
     buckets, r = ratios(sample, max_features, min_rows)
@@ -126,13 +124,14 @@ def fit(rows: DataFrame, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATU
     return Model(buckets, lr.coefficients.toArray() * r, lr.intercept)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, modulus: int = 5, held: int = 0) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, modulus: int = 5, held: int = 0,
+             max_rows: int = MAX_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted (score >= threshold) of every row of docs.
 
     Null texts are scored as empty ones, a null doc_id is kept, repeated rows are scored each; labels
     teach only outside the held-out fold. Without labelled rows of both classes every score is 0.
     """
-    model = fit(labelled(docs, labels, "toxic", modulus, held))
+    model = fit(labelled(docs, labels, "toxic", max_rows, modulus, held))
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
