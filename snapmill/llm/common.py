@@ -66,17 +66,18 @@ def forget(*frames: Iterable) -> None:
         session._jvm.System.gc()
 
 
-def without(docs: DataFrame, ids: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The rows of docs whose doc_id is not among ids (distinct), one row for each non-null doc_id.
+def without(docs: DataFrame, ids: DataFrame, max_rows: int = BROADCAST_ROWS, distinct_ids: bool = True) -> DataFrame:
+    """The rows of docs whose doc_id is not among ids; with distinct_ids one row for each non-null doc_id.
 
     The ids are counted: up to max_rows they are broadcast, beyond that both sides are shuffled by
     doc_id. Repeated ids are looked for on the ids alone, and only if there are any the texts meet.
     """
     ids = materialize(ids)
-    keys = docs.select(F.col("doc_id").alias("doc_id"))
-    counts = keys.agg(F.count("doc_id").alias("rows"), F.countDistinct("doc_id").alias("distinct")).first()
     few = ids.limit(max_rows + 1).count() <= max_rows
     left = docs.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    if not distinct_ids:
+        return left
+    counts = docs.agg(F.count("doc_id").alias("rows"), F.countDistinct("doc_id").alias("distinct")).first()
     if counts["rows"] == counts["distinct"]:
         return left
     named = left.where("doc_id is not null").dropDuplicates(["doc_id"])

@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snapmill.llm import langid, pagetext, quality, toxicity
+from snapmill.llm import decontam, langid, packing, pagetext, quality, simhash, tokenfile, toxicity
 from snapmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,21 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = tokenfile.token_file(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -28,9 +44,14 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pagetext.main_text(read(spark, sf_dir, "pages"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op7_quality, op8_html, op10_language)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_decontaminate, op6_tokens, op7_quality, op8_html, op9_packing,
+                                               op10_language)}
 ORACLES: dict[str, str] = {}

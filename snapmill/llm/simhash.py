@@ -186,11 +186,11 @@ def near_links(fps: DataFrame, errors: int = ERRORS, dense: int = DENSE) -> Data
                 b.append(y)
             a, b = forest(np.concatenate(a), np.concatenate(b))
             alone = np.unique(np.concatenate(lone)) if lone else np.empty(0, np.int64)
-            return pd.DataFrame({"a": np.concatenate((a, alone)), "b": [*b.tolist(), *[None] * len(alone)]}).astype({"b": "Int64"})
+            return pd.DataFrame({"a": np.concatenate((a, alone)), "b": pd.array([*b.tolist(), *[None] * len(alone)], "Int64")})
 
         def crowd(fp: np.ndarray) -> pd.DataFrame:
             alone = np.unique(fp)
-            return pd.DataFrame({"a": alone, "b": [None] * len(alone)}).astype({"b": "Int64"})
+            return pd.DataFrame({"a": alone, "b": pd.array([None] * len(alone), "Int64")})
 
         for batch in batches:
             key, fp, side = (batch[c].to_numpy() for c in ("key", "fp", "side"))
