@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmill.llm import decontam, langid, packing, pagetext, quality, runindex, simhash, tokenfile, toxicity
+from snapmill.llm import anngraph, decontam, langid, packing, pagetext, quality, runindex, simhash, tokenfile, toxicity
 from snapmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anngraph.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runindex.remove_repeats(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -57,6 +61,6 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_decontaminate, op5_suffix_dedup, op6_tokens,
-                                               op7_quality, op8_html, op9_packing, op10_language)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_decontaminate, op4_neighbours, op5_suffix_dedup,
+                                               op6_tokens, op7_quality, op8_html, op9_packing, op10_language)}
 ORACLES: dict[str, str] = {}
