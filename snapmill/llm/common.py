@@ -66,6 +66,11 @@ def forget(*frames: Iterable) -> None:
         session._jvm.System.gc()
 
 
+def few_rows(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a written table is small enough to broadcast."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def without(docs: DataFrame, ids: DataFrame, max_rows: int = BROADCAST_ROWS, distinct_ids: bool = True) -> DataFrame:
     """The rows of docs whose doc_id is not among ids; with distinct_ids one row for each non-null doc_id.
 
@@ -73,7 +78,7 @@ def without(docs: DataFrame, ids: DataFrame, max_rows: int = BROADCAST_ROWS, dis
     doc_id. Repeated ids are looked for on the ids alone, and only if there are any the texts meet.
     """
     ids = materialize(ids)
-    few = ids.limit(max_rows + 1).count() <= max_rows
+    few = few_rows(ids, max_rows)
     left = docs.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
     if not distinct_ids:
         return left

@@ -476,3 +476,32 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, salt
             .mapInPandas(applied, "doc long, kept binary, n_bytes long, n_spans long"))
     return done.select(F.when(F.col("doc") != (1 << 63) - 1, F.col("doc")).alias("doc_id"), "kept", "n_bytes",
                        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"), "n_spans")
+
+
+def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """The rows of docs, all columns, with the repeats cut out of text and n_chars set to what is left.
+
+    Of a character that is cut through the rest is dropped. Rows of which nothing is left go; rows whose
+    text was empty or null before stay as they are.
+    """
+    rows, marks = repeated(docs, length, gram)
+    by_doc = marks.groupBy("doc", "sub").agg(F.collect_list("start").alias("_start"), F.collect_list("end").alias("_end"))
+    tied = rows.limit(1).select("sub").first()
+    sub = F.lit(0).cast("long") if tied is None or tied["sub"] == 0 else F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    wide = docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), "_sub": sub})
+    wide = wide.join(by_doc.withColumnsRenamed({"doc": "_doc", "sub": "_sub"}), ["_doc", "_sub"], "left").drop("_doc", "_sub")
+
+    def applied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            gone = []
+            for i, (text, start, end) in enumerate(zip(b["text"], b["_start"], b["_end"], strict=True)):
+                if start is not None:
+                    kept = cut(_raw(text), np.asarray(start), np.asarray(end))[0].decode("utf-8", "ignore")
+                    b.iat[i, b.columns.get_loc("text")] = kept
+                    if not kept:
+                        gone.append(b.index[i])
+            yield b.drop(index=gone).drop(columns=["_start", "_end"])
+
+    small_batches(docs.sparkSession)
+    out = wide.mapInPandas(applied, docs.schema)
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

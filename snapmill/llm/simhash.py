@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmill.llm.common import forget, small_batches, texts, whole_batches, without
+from snapmill.llm.common import forget, small_batches, texts, whole_batches
 from snapmill.llm.components import components
 from snapmill.runtime import materialize
 
@@ -57,11 +57,11 @@ def fingerprint(text: str, size: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp (as a signed long) of every row of texts(docs)."""
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            fp = np.array([fingerprint(t) for t in b["text"]], np.uint64).view(np.int64)
+            fp = np.array([fingerprint(t, shingle) for t in b["text"]], np.uint64).view(np.int64)
             yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp})
 
     return texts(docs).mapInPandas(made, "doc_id long, fp long")
@@ -241,7 +241,7 @@ def _by_midpoint(fps: DataFrame, errors: int) -> DataFrame:
     return words.join(hubs, "mid").where("fp != b").select(F.col("fp").alias("a"), "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, errors: int = ERRORS, dense: int = DENSE) -> DataFrame:
+def near_duplicates(docs: DataFrame, errors: int = ERRORS, dense: int = DENSE, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id of every row of docs.
 
     component_id is the smallest doc_id of all rows whose fingerprints are linked, directly or through
@@ -249,7 +249,7 @@ def near_duplicates(docs: DataFrame, errors: int = ERRORS, dense: int = DENSE) -
     doc_id are linked too (component_id is null if no linked row has an id); repeated rows are kept.
     """
     small_batches(docs.sparkSession)
-    marked = materialize(fingerprints(docs))
+    marked = materialize(fingerprints(docs, shingle))
     roots = components(near_links(marked, errors, dense))
     first = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
     classes = (first.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
@@ -259,11 +259,3 @@ def near_duplicates(docs: DataFrame, errors: int = ERRORS, dense: int = DENSE) -
     forget(roots, least)
     return marked.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, less those that have a linked row with a smaller doc_id.
-
-    Of rows repeated with the same doc_id one stays; rows with a null doc_id all stay.
-    """
-    marked = near_duplicates(docs)
-    return without(docs, marked.where("component_id < doc_id").select("doc_id").distinct())
