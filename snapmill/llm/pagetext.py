@@ -98,31 +98,36 @@ class Page:
             self._tag(closing, name, m[3])
 
     def _tag(self, closing: str, name: str, attributes: str) -> None:
-        inline = name in INLINE
+        """Pass a tag; those that open, close or lie inside a boilerplate element carry no weight."""
         if name == "br":
             self._text.append(" ")
-        elif not inline:
+        elif name not in INLINE:
             self._cut()
         marked = not closing and any(BOILER_WORDS.search(v.strip("\"'")) for v in ATTRIBUTE.findall(attributes))
-        self._tags.append(key(closing, name, marked))
-        if name in VOID or (not closing and attributes.endswith("/")):
-            return
+        outside = not self._boiler
         if closing:
-            if any(name == open_name for open_name, _, _ in self._stack):
-                while True:
-                    open_name, boiler, content = self._stack.pop()
-                    self._boiler -= boiler
-                    self._content -= content
-                    if open_name == name:
-                        break
-            return
+            self._close(name)
+        elif name not in VOID and not attributes.endswith("/"):
+            self._open(name, marked)
+        if outside and not self._boiler:
+            self._tags.append(key(closing, name, marked))
+
+    def _close(self, name: str) -> None:
+        if any(name == open_name for open_name, _, _ in self._stack):
+            while True:
+                open_name, boiler, content = self._stack.pop()
+                self._boiler -= boiler
+                self._content -= content
+                if open_name == name:
+                    return
+
+    def _open(self, name: str, marked: bool) -> None:
         if name in ("p", "li", "b", "i", "em", "strong") and self._stack and self._stack[-1][0] == name:
-            self._stack.pop()  # these do not nest; an open one ends here
-        header = name == "header" and not self._content
-        boiler = (marked and name not in ("html", "body") and name not in CONTENT) or name in BOILER or header
+            _, boiler, _ = self._stack.pop()  # these do not nest; an open one ends here
+            self._boiler -= boiler
         content = name in CONTENT
-        if boiler and inline:
-            boiler = False
+        header = name == "header" and not self._content
+        boiler = name in BOILER or header or (marked and name not in INLINE and name not in ("html", "body") and not content)
         self.marks += content and not self._content
         self._boiler += boiler
         self._content += content
@@ -136,8 +141,7 @@ def count_tags(source: str) -> Counter | None:
         return None
     out: Counter = Counter()
     inside = False
-    for _, tags, boiler, content in page.blocks:
-        now = content and not boiler
+    for _, tags, _, now in page.blocks:
         # tags between two blocks belong to the content only if both blocks do
         for t in tags:
             out[t, inside and now] += 1
@@ -163,7 +167,8 @@ def learn(pages: DataFrame, html: str = "html") -> dict[str, float]:
             .mapInPandas(counts, "tag string, inside long, outside long")
             .groupBy("tag").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
             .orderBy(F.desc(F.col("inside") + F.col("outside")), "tag").limit(MAX_TAGS).collect())
-    return {r.tag: LIGHT + HEAVY * ((r.outside + 0.5) / (r.inside + r.outside + 1.0)) ** 2 for r in rows}
+    # a few more places inside are supposed, so rare tags cost little
+    return {r.tag: LIGHT + HEAVY * (r.outside / (r.inside + r.outside + 4.0)) ** 2 for r in rows}
 
 
 def content(source: str, costs: dict[str, float]) -> str:
