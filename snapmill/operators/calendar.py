@@ -10,9 +10,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmill.runtime import lookup_join
+from snapmill.runtime import lookup_join, materialize
 
 COLUMNS = ["MODEL_ID", "START_TS", "END_TS"]
+RANGE_ROWS = 5_000
 
 
 def calendar_weeks(weeks: DataFrame) -> DataFrame:
@@ -38,11 +39,15 @@ def calendar_put(calendar: DataFrame, model_id: str, start: datetime, end: datet
 
 
 def calendar_gapfill(calendar: DataFrame, prod_id: str) -> DataFrame:
-    """The schedule in order of START_TS, with the gaps between intervals given to prod_id."""
-    following = F.lead("START_TS").over(Window.partitionBy(F.lit(0)).orderBy("START_TS"))
-    gap = F.when(F.col("END_TS") < F.col("NEXT"), F.struct(
-        F.lit(prod_id).alias("MODEL_ID"), F.col("END_TS").alias("START_TS"), F.col("NEXT").alias("END_TS")))
-    rows = calendar.withColumn("NEXT", following)
+    """The schedule in order of START_TS, with the gaps between intervals given to prod_id.
+
+    A gap begins where all earlier intervals have ended, also where one lies inside another.
+    """
+    order = Window.partitionBy(F.lit(0)).orderBy("START_TS", "END_TS")
+    reach = F.max("END_TS").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    gap = F.when(F.col("REACH") < F.col("NEXT"), F.struct(
+        F.lit(prod_id).alias("MODEL_ID"), F.col("REACH").alias("START_TS"), F.col("NEXT").alias("END_TS")))
+    rows = calendar.withColumns({"NEXT": F.lead("START_TS").over(order), "REACH": reach})
     return (rows.select(F.inline(F.array_compact(F.array(F.struct(*COLUMNS), gap))))
             .orderBy("START_TS"))
 
@@ -50,15 +55,21 @@ def calendar_gapfill(calendar: DataFrame, prod_id: str) -> DataFrame:
 def model_pick(dates: DataFrame, calendar: DataFrame, dt: str, prod_id: str | None = None) -> DataFrame:
     """dates with the MODEL_ID in force at 00:00 of dt; outside every interval the production model.
 
-    Intervals become the midnights they contain, so the range condition is an equality on the
-    date. Fails when a date has no model and there is no production model.
+    A calendar of at most RANGE_ROWS intervals is broadcast and compared as ranges, so an interval of
+    any length is one row. Beyond that, intervals become the midnights they contain, and the condition
+    is an equality on the date. Fails when a date has no model and there is no production model.
     """
+    fallback = F.lit(prod_id) if prod_id is not None else F.raise_error(
+        F.lit("no model in the calendar or in production for a date")).cast("string")
+    calendar = materialize(calendar.select(*COLUMNS))
+    if calendar.limit(RANGE_ROWS + 1).count() <= RANGE_ROWS:
+        at = F.col(dt).cast("timestamp_ntz")
+        found = dates.join(F.broadcast(calendar), (at >= F.col("START_TS")) & (at < F.col("END_TS")), "left")
+        return found.select(*dates.columns, F.coalesce("MODEL_ID", fallback).alias("MODEL_ID"))
     midnights = F.sequence(F.to_date(F.col("START_TS") + F.expr("interval 1 day") - F.expr("interval 1 microsecond")),
                            F.to_date(F.col("END_TS") - F.expr("interval 1 microsecond")))
     in_force = F.to_date(F.col("START_TS") + F.expr("interval 1 day") - F.expr("interval 1 microsecond"))
     days = (calendar.where(in_force.cast("timestamp_ntz") < F.col("END_TS"))
             .select("MODEL_ID", F.explode(midnights).alias(dt)))
     picked = lookup_join(dates, days, [dt])
-    fallback = F.lit(prod_id) if prod_id is not None else F.raise_error(
-        F.lit("no model in the calendar or in production for a date")).cast("string")
     return picked.withColumn("MODEL_ID", F.coalesce("MODEL_ID", fallback))

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from snapmill.config import DEFAULT, EntityConfig
 from snapmill.functions.exprs import hash32, logistic
-from snapmill.operators.ranked import running_sums
 from snapmill.runtime import collect_bounded
 
 VECTOR, RAW, PROB, PRED = "V", "rawPrediction", "probability", "prediction"
@@ -86,7 +85,9 @@ def assembled(df: DataFrame, features: list[str], label: str, keep: list[str] |
 def tree_estimator(params: TreeParams, seed: int = 0):
     if params.boosting_type not in ("gbdt", "rf"):
         raise ValueError("boosting_type must be gbdt or rf; dart and goss are not offered")
-    if params.boosting_type == "rf" or params.objective == "multiclass":
+    if params.boosting_type == "gbdt" and params.objective == "multiclass":
+        raise ValueError("boosting is offered for two classes; use boosting_type rf for more")
+    if params.boosting_type == "rf":
         return RandomForestClassifier(featuresCol=VECTOR, labelCol=LABEL, weightCol=WEIGHT, seed=seed,
                                       numTrees=params.n_estimators, maxDepth=5)
     return GBTClassifier(featuresCol=VECTOR, labelCol=LABEL, weightCol=WEIGHT, seed=seed,
@@ -111,7 +112,7 @@ def search_space(estimator) -> dict[str, tuple]:
     """fixed values: ranges of the searched parameters, as (kind, low, high) of each estimator."""
     if isinstance(estimator, GBTClassifier):
         return {"stepSize": ("log", 0.001, 0.35), "maxDepth": ("int", 3, 12), "subsamplingRate": ("lin", 0.3, 1.0),
-                "minInfoGain": ("log", 1e-3, 1e2), "minInstancesPerNode": ("int", 1, 20)}
+                "minInfoGain": ("log", 1e-3, 1e2), "minInstancesPerNode": ("int", 1, 20), "featureSubsetStrategy": ("share", 0.3, 1.0)}
     if isinstance(estimator, RandomForestClassifier):
         return {"maxDepth": ("int", 3, 12), "subsamplingRate": ("lin", 0.3, 1.0),
                 "minInfoGain": ("log", 1e-3, 1e2), "minInstancesPerNode": ("int", 1, 20)}
@@ -131,6 +132,8 @@ def random_trials(estimator, n: int, seed: int = 0) -> list[dict]:
                 value = rng.randint(lo, hi)
             elif kind == "log":
                 value = math.exp(rng.uniform(math.log(lo), math.log(hi)))
+            elif kind == "share":
+                value = str(round(rng.uniform(lo, hi), 4))
             else:
                 value = rng.uniform(lo, hi)
             draw[estimator.getParam(name)] = value
@@ -184,16 +187,16 @@ def _logit(p: Column) -> Column:
 
 @dataclass
 class Calibration:
-    """One curve per class: sigmoid (a, b) on the logit, or isotonic knots on the probability."""
+    """One curve per class: sigmoid (a, b) on the logit (sigmoid_raw: on the score), or isotonic knots."""
 
     method: str
     curves: list
 
     def apply(self, p: Column, i: int) -> Column:
         curve = self.curves[i]
-        if self.method == "sigmoid":
+        if self.method in ("sigmoid", "sigmoid_raw"):
             a, b = curve
-            return logistic(F.lit(a) * _logit(p) + F.lit(b))
+            return logistic(F.lit(a) * (_logit(p) if self.method == "sigmoid" else p) + F.lit(b))
         return F.get(vector_to_array(F.col(f"_ISO{i}")), F.lit(0))
 
     def transform(self, df: DataFrame, n_classes: int, prefix: str = "PROB_CLS", out: str = "CALIB_CLS") -> DataFrame:
@@ -220,35 +223,30 @@ def _score_groups(scored: DataFrame, column: str, is_class: Column) -> DataFrame
             .agg(F.avg(is_class.cast("double")).alias("RATE"), F.count(F.lit(1)).cast("double").alias("N")))
 
 
-def calib_sigmoid(scored: DataFrame, n_classes: int, label: str = LABEL, prefix: str = "PROB_CLS") -> Calibration:
-    """Platt scaling per class of a fitted model's scores."""
+def calib_sigmoid(scored: DataFrame, n_classes: int, label: str = LABEL, prefix: str = "PROB_CLS",
+                  logit: bool = True) -> Calibration:
+    """Platt scaling per class of a fitted model's scores, on their logit or on the scores themselves."""
     curves = []
     for i in range(n_classes):
         g = _score_groups(scored, f"{prefix}{i}", F.col(label) == i)
-        rows = g.select(array_to_vector(F.array(_logit(F.col("S")))).alias("X"), F.inline(F.array(
+        rows = g.select(array_to_vector(F.array(_logit(F.col("S")) if logit else F.col("S").cast("double"))).alias("X"), F.inline(F.array(
             F.struct(F.lit(1.0).alias("Y"), (F.col("N") * F.col("RATE")).alias("W")),
             F.struct(F.lit(0.0).alias("Y"), (F.col("N") * (1.0 - F.col("RATE"))).alias("W"))))).where("W > 0")
         m = LogisticRegression(featuresCol="X", labelCol="Y", weightCol="W").fit(rows)
         curves.append((float(m.coefficients[0]), float(m.intercept)))
-    return Calibration("sigmoid", curves)
+    return Calibration("sigmoid" if logit else "sigmoid_raw", curves)
 
 
-def calib_isotonic(scored: DataFrame, n_classes: int, label: str = LABEL, prefix: str = "PROB_CLS",
-                   max_points: int = 65_536) -> Calibration:
-    """Isotonic regression per class.
+def calib_isotonic(scored: DataFrame, n_classes: int, label: str = LABEL, prefix: str = "PROB_CLS") -> Calibration:
+    """Isotonic regression per class, exact at every number of scores.
 
-    The solver ends in one task, so it is given at most max_points weighted points: neighbouring
-    scores of equal rank share are pooled first (no pooling below that number of scores).
+    The solver sees one weighted point per distinct score. It range-partitions them and pools adjacent
+    violators inside each part; blocks pool further exactly, so only the parts' blocks meet in the end.
     """
     curves = []
     for i in range(n_classes):
         g = _score_groups(scored, f"{prefix}{i}", F.col(label) == i)
-        cum = running_sums(g.withColumn("ONE", F.lit(1).cast("bigint")), [], "S", ["ONE"])
-        pool = F.when(F.col("TOTAL_ONE") <= max_points, F.col("CUM_ONE")).otherwise(
-            F.floor((F.col("CUM_ONE") - 1) * max_points / F.col("TOTAL_ONE")))
-        points = cum.groupBy(pool.alias("POOL")).agg(
-            (F.sum(F.col("S") * F.col("N")) / F.sum("N")).alias("X"),
-            (F.sum(F.col("RATE") * F.col("N")) / F.sum("N")).alias("Y"), F.sum("N").alias("W"))
+        points = g.select(F.col("S").alias("X"), F.col("RATE").alias("Y"), F.col("N").alias("W"))
         curves.append(IsotonicRegression(featuresCol="X", labelCol="Y", weightCol="W").fit(points))
     return Calibration("isotonic", curves)
 

@@ -141,14 +141,15 @@ def enc_ordinal(df: DataFrame, column: str, dictionary: DataFrame, out: str | No
 def fit_woe(df: DataFrame, column: str, label: str, a: float = 1.0) -> DataFrame:
     """(CATEGORY, WOE): log ratio of a category's share of positives and of negatives, smoothed by a.
 
-    A null category is one of its own.
+    A null category is one of its own; rows without a label do not count.
     """
     y = F.col(label).cast("bigint")
+    df = df.where(y.isNotNull())
     counts = df.groupBy(F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null")).alias("CATEGORY")).agg(
         F.sum(y).alias("P"), F.sum(1 - y).alias("N"))
     total = df.agg(F.sum(y).alias("P"), F.sum(1 - y).alias("N")).first()
-    pos = (F.col("P") + a) / F.lit(float(total.P + 2 * a))
-    neg = (F.col("N") + a) / F.lit(float(total.N + 2 * a))
+    pos = (F.col("P") + a) / F.lit(float((total.P or 0) + 2 * a))
+    neg = (F.col("N") + a) / F.lit(float((total.N or 0) + 2 * a))
     return counts.select("CATEGORY", F.log(pos / neg).alias("WOE"))
 
 

@@ -20,9 +20,21 @@ ORDINAL_BELOW = 5
 
 
 def binarized(c: str | Column, positives: list[str] = POSITIVES) -> Column:
-    """1 for a positive value, 0 for any other, null for null."""
-    value = (F.col(c) if isinstance(c, str) else c).cast("string")
-    return F.when(value.isNull(), F.lit(None)).when(value.isin(positives), 1).otherwise(0)
+    """1 for a positive value, 0 for any other, null for null. Numbers are compared as numbers."""
+    source = F.col(c) if isinstance(c, str) else c
+    value, hit = source.cast("string"), source.cast("string").isin(positives)
+    numbers = [x for x in map(_number, positives) if x is not None]
+    if numbers:
+        numeric = F.typeof(source).rlike("^(tinyint|smallint|int|bigint|float|double|decimal)")
+        hit = F.when(numeric, value.try_cast("double").isin(numbers)).otherwise(hit)
+    return F.when(value.isNull(), F.lit(None)).when(hit, 1).otherwise(0)
+
+
+def _number(text: str) -> float | None:
+    try:
+        return float(text)
+    except ValueError:
+        return None
 
 
 def _counts(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -22,8 +22,12 @@ def mark_simple(df: DataFrame, frac: float, seed: int = 0, cfg: EntityConfig = D
 
 
 def mark_group(df: DataFrame, frac: float, seed: int = 0, cfg: EntityConfig = DEFAULT) -> DataFrame:
-    """As mark_simple, hashed on the entity alone: all its rows fall on one side."""
-    return df.withColumn(PICK, hash_uniform(F.col(cfg.entity_key), seed) < F.lit(frac))
+    """As mark_simple, hashed on the entity alone: all its rows fall on one side.
+
+    Rows without an entity are one entity.
+    """
+    place = F.coalesce(hash_uniform(F.col(cfg.entity_key), seed), hash_uniform(F.lit(""), seed))
+    return df.withColumn(PICK, place < F.lit(frac))
 
 
 def mark_stratify(df: DataFrame, frac: float, stratum: str, seed: int = 0,

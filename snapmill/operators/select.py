@@ -41,9 +41,10 @@ def fsel_preselected(df: DataFrame, selected: list[str], cfg: EntityConfig = DEF
 def mutual_info(df: DataFrame, cols: list[str], label: str) -> DataFrame:
     """(COLUMN, MI) in nats between each discrete column and the label.
 
-    A missing value is a category of its own. The contingency counts of all columns come from
-    one aggregation; marginals are sums of the counts.
+    A missing value is a category of its own; rows without a label do not count. The contingency
+    counts of all columns come from one aggregation; marginals are sums of the counts.
     """
+    df = df.where(F.col(label).isNotNull())
     # a null stays apart from a text that might be written the same
     rows = long_form(df, cols, "string", keep=[F.col(label).cast("string").alias("Y")]).select(
         "COLUMN", "Y", F.col("VALUE").isNull().alias("IS_NULL"), F.coalesce("VALUE", F.lit("")).alias("VALUE"))
@@ -75,7 +76,9 @@ def fsel_mi_percentile(mi: DataFrame, percentile: int = MI_PERCENTILE) -> DataFr
 def anova_f(df: DataFrame, cols: list[str], label: str) -> DataFrame:
     """(COLUMN, F, DF_BETWEEN, DF_WITHIN) of the one-way analysis of variance over the classes.
 
-    Squares are taken around the group means, so large values do not cancel.
+    Squares are taken around the group means, so large values do not cancel. F is infinite for a column
+    that separates the classes without spread inside them, and null without spread at all, with one
+    class, or with no more rows than classes.
     """
     groups = (long_form(df, cols, keep=[F.col(label).alias("Y")]).where(F.col("VALUE").isNotNull())
               .groupBy("COLUMN", "Y")
@@ -87,16 +90,18 @@ def anova_f(df: DataFrame, cols: list[str], label: str) -> DataFrame:
     sums = parts.groupBy("COLUMN").agg(F.sum("B").alias("B"), F.sum("W").alias("W"), F.sum("N").alias("N"),
                                        F.count(F.lit(1)).alias("K"))
     between, within = F.col("K") - 1, F.col("N") - F.col("K")
-    return sums.select("COLUMN", F.try_divide(F.col("B") / between, F.col("W") / within).alias("F"),
+    f = F.try_divide(F.try_divide(F.col("B"), between), F.try_divide(F.col("W"), within))
+    perfect = (F.col("W") == 0) & (F.col("B") > 0) & (within > 0)
+    return sums.select("COLUMN", F.when(perfect, F.lit(float("inf"))).otherwise(f).alias("F"),
                        between.alias("DF_BETWEEN"), within.alias("DF_WITHIN"))
 
 
 def f_survival(f: float | None, d1: float, d2: float) -> float:
     """P(F > f), by the continued fraction of the incomplete beta function."""
-    if f is None or math.isnan(f):
-        return 1.0
-    if f <= 0:
+    if f is None or math.isnan(f) or f <= 0:
         return 1.0
+    if math.isinf(f):
+        return 0.0
     x, a, b = d2 / (d2 + d1 * f), d2 / 2.0, d1 / 2.0
     if x > (a + 1) / (a + b + 2):
         return 1.0 - _beta_cf(1 - x, b, a)

@@ -91,7 +91,7 @@ class TrainedModel:
 
     def save(self, path: str, spark: SparkSession) -> None:
         """A folder with the parameters as text and the fitted models as pyspark.ml folders."""
-        curves = self.calibration.curves if self.calibration.method == "sigmoid" else []
+        curves = [] if self.calibration.method == "isotonic" else self.calibration.curves
         doc = json.dumps({"columns": self.columns, "prep": self.prep.to_json(), "classes": self.encoding.classes,
                           "method": self.calibration.method, "curves": curves,
                           "n_curves": len(self.calibration.curves)})
@@ -105,7 +105,7 @@ class TrainedModel:
     def load(cls, path: str, spark: SparkSession) -> TrainedModel:
         doc = json.loads(spark.read.text(f"{path}/doc").first()[0])
         model = DefaultParamsReader.loadParamsInstance(f"{path}/model", spark)
-        curves = [tuple(c) for c in doc["curves"]] if doc["method"] == "sigmoid" else [
+        curves = [tuple(c) for c in doc["curves"]] if doc["method"] != "isotonic" else [
             IsotonicRegressionModel.load(f"{path}/isotonic{i}") for i in range(doc["n_curves"])]
         return cls(doc["columns"], TablePrep.from_json(doc["prep"]), model, Calibration(doc["method"], curves),
                    LabelEncoding(doc["classes"]))
@@ -121,8 +121,8 @@ def train(train_df: DataFrame, params: TreeParams | LinearParams, tune: TunePara
     preprocessing; without it the chains are fitted by type. The prepared training rows are
     written once, ordered by key inside entity partitions, so repeated fits read the same data.
     """
-    if calibration not in ("sigmoid", "isotonic"):
-        raise ValueError("calibration must be sigmoid or isotonic")
+    if calibration not in ("sigmoid", "sigmoid_raw", "isotonic"):
+        raise ValueError("calibration must be sigmoid, sigmoid_raw or isotonic")
     encoding = fit_label_encoding(train_df, cfg.target_key)
     if columns is None:
         columns = (fsel_filter(train_df, cfg.target_key, filters, cfg) if filters is not None
@@ -148,8 +148,9 @@ def train(train_df: DataFrame, params: TreeParams | LinearParams, tune: TunePara
     model = estimator.fit(data)
     scored = materialize(class_probabilities(model, data, n).drop(VECTOR))
     data.unpersist()
-    fit = calib_sigmoid if calibration == "sigmoid" else calib_isotonic
-    return TrainedModel(columns, prep, model, fit(scored, n, LABEL), encoding, trials)
+    curve = (calib_isotonic(scored, n, LABEL) if calibration == "isotonic"
+             else calib_sigmoid(scored, n, LABEL, logit=calibration == "sigmoid"))
+    return TrainedModel(columns, prep, model, curve, encoding, trials)
 
 
 def evaluate(trained: TrainedModel, parts: dict[str, DataFrame], cfg: EntityConfig = DEFAULT) -> DataFrame:

@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-# a broadcast side may hold at most this many rows; the rows are counted first
+# a broadcast side may hold at most this many rows and bytes; both are measured first
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -47,6 +48,36 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def partition_folder(spark: SparkSession, root: str, keys: dict[str, str]) -> str:
+    """The folder of a partition; values are escaped as Spark's writers escape them."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join([root.rstrip("/"), *(f"{k}={escape(v)}" for k, v in keys.items())])
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds, without Spark's own marker files; none if it is missing."""
+    sc = spark.sparkContext
+    there = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = there.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(there):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(there)]
+    return [n for n in names if not n.startswith(("_", "."))]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there, on whatever store it lies."""
+    sc = spark.sparkContext
+    # a partition's name may hold characters that are special in a URI
+    parent, _, name = path.rpartition("/")
+    there = sc._jvm.org.apache.hadoop.fs.Path(parent)
+    fs = there.getFileSystem(sc._jsc.hadoopConfiguration())
+    if fs.exists(there):
+        for status in fs.listStatus(there):
+            if status.getPath().getName() == name:
+                fs.delete(status.getPath(), True)
+
+
 def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list[Row]:
     """Collect fitted parameters; fails rather than pull more than max_rows."""
     rows = df.limit(max_rows + 1).collect()
@@ -55,15 +86,20 @@ def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list[Row]:
     return rows
 
 
+def written_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a written table is read from, as its plan knows them."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def lookup_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
-                max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join a lookup table that has one row per key.
 
-    The lookup is materialised and counted. Up to max_rows it is broadcast, so a key that holds
+    The lookup is materialised, measured and counted. Up to max_bytes and max_rows it is broadcast, so a key that holds
     much of df never meets a shuffle; beyond that the join shuffles and adaptive execution
     splits the skewed partitions of df.
     """
     lookup = materialize(lookup)
-    if lookup.limit(max_rows + 1).count() <= max_rows:
+    if written_bytes(lookup) <= max_bytes and lookup.limit(max_rows + 1).count() <= max_rows:
         return df.join(F.broadcast(lookup), on, how)
     return df.join(lookup.hint("merge"), on, how)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from snapmill.runtime import folder_names, partition_folder, remove_folder
 
 ID, IS_TRAIN = "DATA_ID", "IS_TRAIN"
 
@@ -15,27 +18,39 @@ class TrainingRegistry:
     spark: SparkSession
     path: str
 
-    def _fs(self):
-        sc = self.spark.sparkContext
-        root = sc._jvm.org.apache.hadoop.fs.Path(self.path)
-        return root, root.getFileSystem(sc._jsc.hadoopConfiguration())
-
     def _all(self) -> DataFrame:
-        # ids are read back as text even when they look like numbers
-        df = self.spark.read.parquet(self.path)
-        return df.withColumns({ID: F.col(ID).cast("string"), IS_TRAIN: F.col(IS_TRAIN).cast("boolean")})
+        # ids are text even when they look like numbers, so their type must not be inferred
+        found = self.spark.read.parquet(self.path).schema
+        text = T.StructType([T.StructField(f.name, T.StringType() if f.name == ID else f.dataType) for f in found])
+        return self.spark.read.schema(text).parquet(self.path).withColumn(IS_TRAIN, F.col(IS_TRAIN).cast("boolean"))
+
+    def _folder(self, data_id: str, is_train: bool | None = None) -> str:
+        keys = {ID: data_id} if is_train is None else {ID: data_id, IS_TRAIN: str(is_train).lower()}
+        return partition_folder(self.spark, self.path, keys)
 
     def put(self, data_id: str, train: DataFrame, test: DataFrame) -> None:
-        """Register a train/test pair, replacing an earlier pair of the same id."""
+        """Register a train/test pair, replacing an earlier pair of the same id.
+
+        A side without rows leaves no partition, so an earlier one is removed once the write stands.
+        """
         both = (train.withColumn(IS_TRAIN, F.lit(True)).unionByName(test.withColumn(IS_TRAIN, F.lit(False)))
                 .withColumn(ID, F.lit(data_id)))
-        (both.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        seen = Observation()
+        both = both.observe(seen, F.count_if(F.col(IS_TRAIN)).alias("train"), F.count_if(~F.col(IS_TRAIN)).alias("test"))
+        # the rebalance splits a large side over several files and merges small ones
+        (both.hint("rebalance", F.col(ID), F.col(IS_TRAIN))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(ID, IS_TRAIN).parquet(self.path))
+        counts = seen.get
+        if not counts["train"] and not counts["test"]:
+            self.remove(data_id)
+        for side, is_train in (("train", True), ("test", False)):
+            if not counts[side]:
+                remove_folder(self.spark, self._folder(data_id, is_train))
 
     def ids(self) -> DataFrame:
         """Registered ids, from the partition values alone."""
-        root, fs = self._fs()
-        if not fs.exists(root):
+        if not folder_names(self.spark, self.path):
             return self.spark.createDataFrame([], f"{ID} string")
         return self._all().select(ID).distinct()
 
@@ -52,6 +67,4 @@ class TrainingRegistry:
 
     def remove(self, data_id: str) -> None:
         """Drop the partitions of an id."""
-        root, fs = self._fs()
-        sc = self.spark.sparkContext
-        fs.delete(sc._jvm.org.apache.hadoop.fs.Path(root, f"{ID}={data_id}"), True)
+        remove_folder(self.spark, self._folder(data_id))

@@ -6,13 +6,13 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmill.config import DEFAULT
 from snapmill.functions.exprs import dt_lit
-from snapmill.runtime import lookup_join
+from snapmill.runtime import folder_names, lookup_join, partition_folder, remove_folder
 
 
 @dataclass(frozen=True)
@@ -31,10 +31,8 @@ class SnapshotTable:
         return self._reader().parquet(self.path)
 
     def exists(self) -> bool:
-        hadoop_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        fs = hadoop_path.getFileSystem(conf)
-        return bool(fs.exists(hadoop_path))
+        """True when the table holds a snapshot."""
+        return bool(folder_names(self.spark, self.path))
 
     def read(self, d: date) -> DataFrame:
         """One snapshot; the date predicate prunes to its partition."""
@@ -58,13 +56,19 @@ class SnapshotTable:
         return self.exists() and not self.read(d).isEmpty()
 
     def overwrite(self, df: DataFrame, d: date | None = None) -> None:
-        """Replace exactly the partitions present in df (or the one of d), leave the others."""
+        """Replace exactly the partitions present in df (or the one of d), leave the others.
+
+        With d and no row for it, the earlier snapshot of d is removed once the write stands.
+        """
+        seen = Observation()
         if d is not None:
-            df = df.where(F.col(self.dt_key) == dt_lit(d))
+            df = df.where(F.col(self.dt_key) == dt_lit(d)).observe(seen, F.count(F.lit(1)).alias("n"))
         # the rebalance splits a large snapshot over several files and merges small ones
         (df.hint("rebalance", F.col(self.dt_key))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(self.dt_key).parquet(self.path))
+        if d is not None and not seen.get["n"]:
+            remove_folder(self.spark, partition_folder(self.spark, self.path, {self.dt_key: d.isoformat()}))
 
     def insert(self, df: DataFrame) -> None:
         """Write the dates of df that have no snapshot yet; existing snapshots stay as they are."""

@@ -87,17 +87,40 @@ def test_tree_isotonic_and_permutation(spark, planted, tmp_path):
     assert back.exceptAll(model.score(planted, ["CUST_ID"])).isEmpty()
 
 
-def test_isotonic_pooling_keeps_the_rate(planted, linear):
+def plain_pav(x, y):
+    """Pool adjacent violators over distinct, ascending x."""
+    blocks = []
+    for a, v in zip(x, y, strict=True):
+        blocks.append([v, 1, 1])
+        while len(blocks) > 1 and blocks[-2][0] >= blocks[-1][0]:
+            v2, w2, n2 = blocks.pop()
+            v1, w1, n1 = blocks[-1]
+            blocks[-1] = [(v1 * w1 + v2 * w2) / (w1 + w2), w1 + w2, n1 + n2]
+    return [v for v, _, n in blocks for _ in range(n)]
+
+
+@pytest.mark.parametrize("n", [10, 100_000, 1_000_000])
+def test_isotonic_equals_plain_pooling(spark, n):
+    score = (F.col("id") + 0.5) / n
+    rows = materialize(spark.range(n).select(
+        score.alias("PROB_CLS1"), (1 - score).alias("PROB_CLS0"),
+        (F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000.0 < score).cast("int").alias("CONV_7D")))
+    got = m.calib_isotonic(rows, 2, "CONV_7D").transform(rows, 2).orderBy("PROB_CLS1").toPandas()
+    want = plain_pav(got["PROB_CLS1"], got["CONV_7D"])
+    assert max(abs(got["CALIB_CLS1"] - want)) < 1e-9
+
+
+def test_calibration_without_the_logit(planted, linear):
     scored = linear.score(planted, ["CUST_ID", "CONV_7D"]).drop("CALIB_CLS0", "CALIB_CLS1")
-    exact = m.calib_isotonic(scored, 2, "CONV_7D").transform(scored, 2)
-    pooled = m.calib_isotonic(scored, 2, "CONV_7D", max_points=50).transform(scored, 2)
-    a, b = (x.agg(F.avg("CALIB_CLS1")).first()[0] for x in (exact, pooled))
+    with_, without = (m.calib_sigmoid(scored, 2, "CONV_7D", logit=x) for x in (True, False))
+    assert without.method == "sigmoid_raw" and with_.curves != without.curves
+    a, b = (c.transform(scored, 2).agg(F.avg("CALIB_CLS1")).first()[0] for c in (with_, without))
     assert a == pytest.approx(b, abs=0.02)
 
 
 def test_multiclass_forest(planted):
     three = planted.withColumn("CONV_7D", F.when(F.col("x") > 0.5, 2).when(F.col("x") > -0.5, 1).otherwise(0))
-    model = training.train(three, m.TreeParams("multiclass", 5), None, ["x", "z"])
+    model = training.train(three, m.TreeParams("multiclass", 5, boosting_type="rf"), None, ["x", "z"])
     out = model.score(three, ["CUST_ID", "CONV_7D"])
     assert {f"CALIB_CLS{i}" for i in range(3)} <= set(out.columns)
     assert out.where("abs(CALIB_CLS0 + CALIB_CLS1 + CALIB_CLS2 - 1) > 1e-9").isEmpty()
@@ -106,6 +129,8 @@ def test_multiclass_forest(planted):
 def test_unknown_options_raise(planted):
     with pytest.raises(ValueError):
         m.tree_estimator(m.TreeParams(boosting_type="dart"))
+    with pytest.raises(ValueError):
+        m.tree_estimator(m.TreeParams("multiclass", 5))
     with pytest.raises(ValueError):
         m.linear_estimator(m.LinearParams(loss="huber"))
     with pytest.raises(ValueError):
@@ -205,4 +230,3 @@ def test_gapfill_and_pick(spark):
 def test_registered_queries_and_checks_agree_on_names():
     import __spark_entry__ as entry
     assert set(entry.oracle_sql()) <= set(entry.queries()) and len(entry.queries()) > 110
-    assert not any("pipeline" in name or name.startswith("op") for name in entry.queries())
