@@ -77,7 +77,9 @@ def _rows(spark, rows, schema):
 
 @query("fsel_anova_p")
 def fsel_anova_p(spark, sf):
-    return _rows(spark, fs.fsel_anova(flagged_lines(spark, sf), NUMS, "y", 1.1), "COLUMN string, F double, P double")
+    kinds = fs.feature_kinds(xy_written(spark, sf))
+    numeric = [c for c, k in kinds.items() if k == "numeric"]
+    return _rows(spark, fs.fsel_anova(xy_written(spark, sf), numeric, "CONV_7D"), "COLUMN string, F double, P double")
 
 
 @query("fsel_cluster_kbest")
@@ -144,14 +146,14 @@ def label_encode(spark, sf):
 
 
 MODEL_COLS = ["GENDER", "SUPER_CITY", "AGE", "TOTAL_COMP", "NUM_EVENT_7D", "MAX_NUM_ACCT_7D"]
-TREES = m.TreeParams(n_estimators=5)
-LINEAR = m.LinearParams(loss="log", max_iter=50)
+TREES = m.TreeParams()
+LINEAR = m.LinearParams(loss="log")
 
 
 def trained(spark, sf, kind: str = "linear", calibration: str = "sigmoid"):
     params = LINEAR if kind == "linear" else TREES
     return once(spark, ("model", sf, kind, calibration), lambda: training.train(
-        xy_written(spark, sf), params, None, MODEL_COLS, calibration=calibration))
+        xy_written(spark, sf), params, None, calibration=calibration))
 
 
 def _scored(spark, sf, kind, calibration="sigmoid"):
@@ -171,18 +173,18 @@ def model_linear(spark, sf):
 
 @query("tune_group_cv")
 def tune_group_cv(spark, sf):
-    """Trials of a random search with three grouped folds."""
-    model = training.train(xy_written(spark, sf), LINEAR, m.TuneParams(n_trials=3), MODEL_COLS)
+    """The trials of a random search with three grouped folds."""
+    model = training.train(xy_written(spark, sf), LINEAR)
     rows = [(i, str(sorted(p.items())), float(s)) for i, p, s in model.trials]
     return spark.createDataFrame(rows, "TRIAL int, PARAMS string, ROC_AUC double")
 
 
 @query("train_model")
 def train_model(spark, sf):
-    """Train on four fifths of the customers, AUC of the calibrated scores on both parts."""
+    """Train, with tuning, on four fifths of the customers; AUC of the calibrated scores on both parts."""
     xy = xy_written(spark, sf)
     part = F.col("CUST_ID") % 5 != 0
-    model = training.train(xy.where(part), LINEAR, None, MODEL_COLS)
+    model = training.train(xy.where(part), LINEAR)
     long = training.evaluate(model, {"train": xy.where(part), "test": xy.where(~part)})
     return training.train_auc(long, 2)
 

@@ -11,6 +11,7 @@ from snapmill.catalog.registry import query
 from snapmill.catalog.sql import ctes, r, typed
 from snapmill.operators import coverage as cov
 from snapmill.operators import ingest
+from snapmill.plans import snapshots
 from snapmill.runtime import scratch_path
 from snapmill.sources import bindings as b
 from snapmill.sources import schemas as s
@@ -18,6 +19,7 @@ from snapmill.sources.registry import TrainingRegistry
 from snapmill.sources.store import SnapshotTable, preview, src_file, src_query
 
 DS = "DATE '2024-01-15'"
+TARGET_COLS = ["NUM_PUR_F7D", "TOTAL_PUR_NUM_F7D", "TOTAL_PUR_AMT_F7D"]
 ACCT_COLS = ["CUST_ID", "ACCT_ID", "ACCT_TYPE_CD", "END_BAL", "DR_AMT", "CR_AMT", "CR_LMT", "SNAP_DT"]
 
 
@@ -110,6 +112,31 @@ def schema_conform(spark, sf):
     return s.schema_conform(features_at(spark, sf), s.declared_schema("FEATURE", "FEATURES"))
 
 
+def _warehouse(spark, sf):
+    """Source tables of the run, loaded by snapshot date."""
+    house = snapshots.Warehouse(spark, scratch_path(spark, "warehouse"))
+    house.load("EXTRACT.CUSTOMER", b.customer(spark, sf, [D]))
+    house.load("EXTRACT.ACCOUNT", b.account(spark, sf))
+    house.load("EXTRACT.EVENTS", b.events(spark, sf))
+    house.load("EXTRACT.PURCHASES", b.purchases(spark, sf))
+    return house
+
+
+@query("run_snapshot", _conform_sql(), digits=4)
+def run_snapshot(spark, sf):
+    """Features made by the daily run from partitioned sources, read back."""
+    house = _warehouse(spark, sf)
+    house.run(snapshots.FEATURES, D, complete=False)
+    return house.table("FEATURE.FEATURES").read(D)
+
+
+@query("run_target", ctes("purchase_window") + f"SELECT {typed(['CUST_ID', 'SNAP_DT', *TARGET_COLS])} FROM purchase_window")
+def run_target(spark, sf):
+    house = _warehouse(spark, sf)
+    house.run(snapshots.PURCHASE_WINDOW, D, complete=False)
+    return house.table("TARGET.PURCHASE_WINDOW").read(D)
+
+
 @query("post_check", ctes("accts") + """
 SELECT 'RAW.ACCOUNT' AS "table", 'not_empty' AS "check", cast(count(*) = 0 AS BIGINT) AS n_bad FROM accts
 UNION ALL SELECT 'RAW.ACCOUNT', 'pk_unique', count(*) FROM (
