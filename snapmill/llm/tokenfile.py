@@ -12,8 +12,11 @@ the driver), then one range shuffle by doc_id writes the blocks. Starts need onl
 
 from __future__ import annotations
 
+import json
 import re
 import struct
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,24 +33,52 @@ BLOCK_IDS = 1 << 20
 MAX_VOCABULARY = 4_000_000
 HEADER = "<4sIQQ"
 MAGIC = b"VBR1"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 
 # the pattern that byte-level tokenizers split by (fixed value), used on texts of plain Latin characters
 # only, where every implementation of its classes agrees
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-OTHER = re.compile("[^\t\n\r\x20-\x7e\xa0-ɏ]")
+OTHER = re.compile("[^\t\n\r\x20-\x7e\xa0-\u024f]")
+# spaces that do not stand alone between two words
+UNEVEN = ("  ", *(x for c in "\t\n\r\xa0" for x in (f" {c}", f"{c} ")))
+
+
+def byte_characters() -> list[str]:
+    """The character that byte-level tokenizers write for each byte: itself if it is printable."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    names = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return [names[b] for b in range(256)]
+
+
+class Remembered(dict):
+    """Values made once by key, in two generations: when one is full, the one before is forgotten."""
+
+    def __init__(self, make) -> None:
+        super().__init__()
+        self.make = make
+        self.before: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= CACHED_WORDS:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 class Encoder:
-    """Ids of whole texts as bytes of little-endian unsigned integers of `width` bytes.
+    """Ids of whole texts as bytes of little-endian unsigned integers of `kind`.
 
-    A byte-level tokenizer that splits by SPLIT encodes every piece by itself, so pieces are encoded once
-    and remembered; texts with other characters or the opening of a special token are encoded as a whole.
+    A byte-level tokenizer that splits by SPLIT encodes every piece by itself, so words and pieces are
+    encoded once and remembered; a text with other characters or with a special token is encoded as a
+    whole.
     """
 
     def __init__(self, path: str) -> None:
-        import json
-
         import regex
         from tokenizers import Tokenizer
 
@@ -55,12 +86,29 @@ class Encoder:
         state = json.loads(self.tokenizer.to_str())
         split = state.get("pre_tokenizer") or {}
         self.by_piece = (split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
-                         and not state.get("normalizer") and not state["model"].get("ignore_merges"))
+                         and not state.get("normalizer") and state["model"].get("type") == "BPE")
         self.special = [t["content"] for t in state.get("added_tokens", [])]
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        self.pieces = regex.compile(SPLIT).findall
-        self.known: dict[str, bytes] = {}
+        code = "H" if self.kind.itemsize == 2 else "I"
+        table, tokenize, split_up = byte_characters(), self.tokenizer.model.tokenize, regex.compile(SPLIT).findall
+
+        def piece(text: str) -> bytes:
+            shown = text.replace(" ", table[32]) if text.isascii() and text.isprintable() else "".join([table[b] for b in text.encode("utf-8")])
+            found = tokenize(shown)
+            return struct.pack(f"<{len(found)}{code}", *[t.id for t in found])
+
+        def word(text: str) -> bytes:
+            """A word after a space; letters and one closing mark need no pattern."""
+            if text.isalpha():
+                return piece(f" {text}")
+            if text[-1:] in (".", ",") and text[:-1].isalpha():
+                return self.words[text[:-1]] + marks[text[-1]]
+            return self.split(f" {text}")
+
+        marks = Remembered(piece)
+        self.split = lambda text: b"".join(map(marks.__getitem__, split_up(text)))
+        self.words = Remembered(word)
 
     def encode(self, batch: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -68,21 +116,22 @@ class Encoder:
             if not self.by_piece or OTHER.search(text) or any(s in text for s in self.special):
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
                 out.append(np.array(ids, self.kind).tobytes())
-                continue
-            found = self.pieces(text)
-            try:
-                out.append(b"".join(map(self.known.__getitem__, found)))
-            except KeyError:
-                new = list(set(found).difference(self.known))
-                if len(self.known) + len(new) > CACHED_WORDS:
-                    self.known.clear()
-                    new = list(set(found))
-                for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                    self.known[w] = np.array(e.ids, self.kind).tobytes()
-                out.append(b"".join(map(self.known.__getitem__, found)))
+            elif text[:1] == " " or text[-1:] == " " or any(u in text for u in UNEVEN):
+                out.append(self.split(text))
+            else:
+                first, *rest = text.split(" ")
+                out.append(self.split(first) + b"".join(map(self.words.__getitem__, rest)))
         return out
 
 
+def encoder_of(path: str) -> Encoder:
+    """This process's encoder of a tokenizer file: a worker serves many tasks and keeps what it remembers."""
+    held = sys.modules.setdefault("_snapmill_encoders", types.ModuleType("_snapmill_encoders")).__dict__
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 # byte counts and offsets of the four values of each control byte
 _CODES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3
 _SIZES = _CODES + 1
@@ -142,7 +191,7 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID,
         pass  # a missing file fails here, not in every task
 
     def tokenized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         end = np.array([end_id], encoder.kind).tobytes()
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "width": np.int8(encoder.kind.itemsize),
