@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from snapmill.catalog.inputs import xy_written
 from snapmill.catalog.registry import query
-from snapmill.catalog.sql import r
+from snapmill.catalog.sql import ctes, r
 from snapmill.operators import prep
 from snapmill.operators import profile as p
 from snapmill.sources.bindings import table
@@ -130,7 +130,8 @@ def profile_table(spark, sf):
     root = scratch_path(spark, "profiles")
     p.save_profile(p.profile_table(orders, {"o_orderstatus": {"dtype": "Nominal"}}), root, "orders")
     p.save_profile(p.profile_table(orders, PROFILE), root, "orders")
-    return p.load_profile(spark, root, "orders")
+    # the moments for preprocessing and the configuration are used by prep_by_profile
+    return p.load_profile(spark, root, "orders").where(~F.col("STAT").startswith("FIT_")).drop("CONF")
 
 
 KEYS = ["l_orderkey", "l_linenumber"]
@@ -221,7 +222,25 @@ def prep_by_dtype(spark, sf):
     return prep.fit_by_dtype(xy).transform(xy, ["CUST_ID", "SNAP_DT", "CONV_7D"])
 
 
-@query("prep_by_profile")
+BLOOD = ["A+", "A-", "AB+", "AB-", "B+", "B-", "Missing", "O+", "O-"]
+SCALED = ["AGE", "TENURE", "TOTAL_COMP", "NUM_EVENT_7D"]
+
+
+def _by_profile_sql() -> str:
+    bounds = ", ".join(f"quantile_cont(cast({c} AS DOUBLE), {q}) AS {c}_{n}" for c in SCALED for n, q in (("lo", 0.01), ("mid", 0.5), ("hi", 0.99)))
+    filled = ", ".join(f"CASE WHEN {c} IS NULL THEN {c}_mid ELSE least(greatest(cast({c} AS DOUBLE), {c}_lo), {c}_hi) END AS {c}" for c in SCALED)
+    moments = ", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in SCALED)
+    scaled = ", ".join(r(f"({c} - {c}_m) / {c}_s", c) for c in SCALED)
+    genders = ", ".join(f"cast(GENDER IS NOT DISTINCT FROM '{v}' AS INTEGER)::DOUBLE AS GENDER_{v}" for v in ("F", "M"))
+    blood = ", ".join(f"cast(coalesce(BLOOD_GRP, 'Missing') = '{v}' AS INTEGER)::DOUBLE AS \"BLOOD_GRP_{v}\"" for v in BLOOD)
+    flag = ("coalesce(cast(SUPER_CITY AS INTEGER), -1)::DOUBLE AS SUPER_CITY, "
+            "cast(SUPER_CITY IS NULL AS INTEGER)::DOUBLE AS SUPER_CITY_MISSING")
+    return ctes("xy") + f""", q AS (SELECT {bounds} FROM xy),
+f AS (SELECT CUST_ID, SNAP_DT, CONV_7D, GENDER, BLOOD_GRP, SUPER_CITY, {filled} FROM xy, q), m AS (SELECT {moments} FROM f)""".lstrip() + f"""
+SELECT CUST_ID, SNAP_DT, cast(CONV_7D AS BIGINT) AS CONV_7D, {genders}, {blood}, {flag}, {scaled} FROM f, m"""
+
+
+@query("prep_by_profile", _by_profile_sql())
 def prep_by_profile(spark, sf):
     """The same from a table profile alone."""
     xy = xy_written(spark, sf)

@@ -269,38 +269,57 @@ def fit_by_dtype(df: DataFrame, cfg: EntityConfig = DEFAULT, exact: bool = True,
     return fit_by_kind(df, {c: k for c, k in kinds.items() if k}, exact)
 
 
+# fixed values: what a column's preproc may set, and its default
+PREPROC = {"binarize": True, "clip": True, "impute": True, "standardize": True, "max_categories": MAX_CATEGORIES}
+
+
 def prep_from_profile(profile: DataFrame) -> TablePrep:
     """Chains built from a saved table profile alone, without the data.
 
-    Numeric columns are clipped and filled by the profiled quantiles and centred by the profiled
-    moments; nominal and ordinal columns keep their most frequent categories.
+    A column's chain follows its dtype and the attr and preproc kept with the profile: positives of a
+    flag; for a number whether to clip at P01 and P99, fill with P50, and standardise by the moments of
+    the clipped and filled values; for a category how many to keep. Without impute a missing number
+    becomes 0 after standardising, the mean; a missing flag stays a code of its own.
     """
     per_category = F.col("STAT").startswith("COUNT:")
     rank = F.row_number().over(Window.partitionBy("COLUMN").orderBy(F.col("VALUE").desc(), "STAT"))
-    named = profile.where(~per_category & F.col("STAT").isin(["P01", "P50", "P99", "MEAN", "STD", "TOTAL", "MISSING"]))
-    top = profile.where(per_category).withColumn("RANK", rank).where(F.col("RANK") <= MAX_CATEGORIES + 1)
+    stats_used = ["P01", "P50", "P99", "MEAN", "STD", "FIT_MEAN", "FIT_STD", "TOTAL", "MISSING"]
+    if "CONF" not in profile.columns:
+        profile = profile.withColumn("CONF", F.lit("{}"))
+    named = profile.where(~per_category & F.col("STAT").isin(stats_used))
     n_cols = profile.select("COLUMN").distinct().count()
     stats: dict[str, dict] = {}
-    for r in collect_bounded(named, 7 * n_cols, "profile"):
-        stats.setdefault(r.COLUMN, {"DTYPE": r.DTYPE})[r.STAT] = r.VALUE
-    for r in sorted(collect_bounded(top, (MAX_CATEGORIES + 1) * n_cols, "profile"), key=lambda r: r.RANK):
+    for r in collect_bounded(named, len(stats_used) * n_cols, "profile"):
+        conf = json.loads(r.CONF)
+        preproc = {**PREPROC, **conf.get("preproc", {})}
+        if unknown := set(preproc) - set(PREPROC):
+            raise ValueError(f"unknown preproc of {r.COLUMN}: {sorted(unknown)}")
+        stats.setdefault(r.COLUMN, {"DTYPE": r.DTYPE, "ATTR": conf.get("attr", {}), "PREPROC": preproc})[r.STAT] = r.VALUE
+    most = max([s["PREPROC"]["max_categories"] for s in stats.values()], default=MAX_CATEGORIES)
+    top = profile.where(per_category).withColumn("RANK", rank).where(F.col("RANK") <= most + 1)
+    for r in sorted(collect_bounded(top, (most + 1) * n_cols, "profile"), key=lambda r: r.RANK):
         stats[r.COLUMN].setdefault("CATEGORIES", []).append((r.STAT.removeprefix("COUNT:"), r.VALUE))
     fitted = {}
     for c, s in sorted(stats.items()):
         if c.startswith("LOG:"):
             continue
+        how = s["PREPROC"]
         if s["DTYPE"] == "Binary":
-            fitted[c] = ColumnPrep("binary", fill=BINARY_FILL)
+            positives = list(s["ATTR"].get("positives", POSITIVES)) if how["binarize"] else list(POSITIVES)
+            fitted[c] = ColumnPrep("binary", fill=BINARY_FILL, positives=positives)
         elif s["DTYPE"] == "Numeric":
-            fitted[c] = ColumnPrep("numeric", (s["P01"], s["P99"]) if s["P01"] is not None else None,
-                                   s["P50"] if s["P50"] is not None else 0.0, (s["MEAN"] or 0.0, s["STD"] or 1.0))
+            mean, scale = (s["FIT_MEAN"], s["FIT_STD"]) if "FIT_MEAN" in s and how["clip"] else (s["MEAN"], s["STD"])
+            center = (mean or 0.0, scale or 1.0) if how["standardize"] else (0.0, 1.0)
+            middle = s["P50"] if s["P50"] is not None else 0.0
+            fitted[c] = ColumnPrep("numeric", (s["P01"], s["P99"]) if s["P01"] is not None and how["clip"] else None,
+                                   middle if how["impute"] else center[0], center)
         else:
             counts = list(s.get("CATEGORIES", []))
             if s["MISSING"]:
                 counts.append((TEXT_FILL, s["MISSING"]))
             counts.sort(key=lambda v: (-v[1], v[0]))
-            names = [v for v, _ in counts]
-            kept = names if len(names) <= MAX_CATEGORIES else names[:MAX_CATEGORIES - 1]
-            cats = kept if len(names) <= MAX_CATEGORIES else [*kept, OTHER]
+            names, limit = [v for v, _ in counts], how["max_categories"]
+            kept = names if len(names) <= limit else names[:limit - 1]
+            cats = kept if len(names) <= limit else [*kept, OTHER]
             fitted[c] = ColumnPrep("text", fill=TEXT_FILL, kept=kept, categories=sorted(cats))
     return TablePrep(fitted)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -78,6 +80,8 @@ class NumericAttr:
     n_sigma: float | None = N_SIGMA
     n_bins: int = N_BINS
     exact: bool = True
+    # also FIT_MEAN and FIT_STD: moments of the values clipped at P01 and P99 and filled with P50
+    fit: bool = False
 
 
 def _is_finite(c: Column) -> Column:
@@ -127,10 +131,18 @@ def eda_numeric(df: DataFrame, cols: list[str], attr: NumericAttr = NumericAttr(
             return F.lit(0)
         return F.when(x < m - attr.n_sigma * s, -1).when(x > m + attr.n_sigma * s, 1).otherwise(0)
 
+    def shifted(c: str) -> Column:
+        """The clipped value, less the median."""
+        lo, mid, hi = (fitted[c][p] for p in (0.01, 0.5, 0.99))
+        if not attr.fit or mid is None:
+            return F.lit(0.0)
+        return F.least(F.greatest(F.col(f"`{c}`"), F.lit(lo)), F.lit(hi)) - F.lit(mid)
+
     cells = F.array(*[F.struct(F.lit(c).alias("COLUMN"), bin_of(c).alias("BIN"), side_of(c).alias("SIDE"),
-                               F.col(f"`{c}`").alias("X")) for c in names])
+                               F.col(f"`{c}`").alias("X"), shifted(c).alias("C")) for c in names])
     counted = (finite.select(F.inline(cells)).where(F.col("BIN").isNotNull())
-               .groupBy("COLUMN", "BIN", "SIDE").agg(F.count(F.lit(1)).alias("N"), F.sum("X").alias("S")))
+               .groupBy("COLUMN", "BIN", "SIDE").agg(F.count(F.lit(1)).alias("N"), F.sum("X").alias("S"),
+                                                     F.sum("C").alias("C1"), F.sum(F.col("C") * F.col("C")).alias("C2")))
     bins = collect_bounded(counted, 3 * attr.n_bins * len(names), "histogram")
 
     rows: list[tuple[str, str, float | None]] = []
@@ -138,6 +150,8 @@ def eda_numeric(df: DataFrame, cols: list[str], attr: NumericAttr = NumericAttr(
         stats = dict(moments[c])
         stats |= {f"P{round(p * 100):02d}": fitted[c][p] for p in PROBS}
         mine = [b for b in bins if b.COLUMN == c]
+        if attr.fit:
+            stats |= _fit_moments(stats, mine)
         if attr.n_sigma is not None:
             low = [b for b in mine if b.SIDE == -1]
             high = [b for b in mine if b.SIDE == 1]
@@ -154,6 +168,17 @@ def eda_numeric(df: DataFrame, cols: list[str], attr: NumericAttr = NumericAttr(
     return df.sparkSession.createDataFrame(rows, "COLUMN string, STAT string, VALUE double")
 
 
+def _fit_moments(stats: dict, cells: list) -> dict[str, float | None]:
+    """Mean and population deviation after clipping and filling; a filled value lies at the median."""
+    lo, mid, hi, n = stats["P01"], stats["P50"], stats["P99"], stats["TOTAL"]
+    if mid is None or not n:
+        return {"FIT_MEAN": 0.0, "FIT_STD": 0.0}
+    high, low = stats["INFS_POS"], stats["INFS_NEG"]
+    first = (sum(b.C1 for b in cells) + high * (hi - mid) + low * (lo - mid)) / n
+    second = (sum(b.C2 for b in cells) + high * (hi - mid) ** 2 + low * (lo - mid) ** 2) / n
+    return {"FIT_MEAN": mid + first, "FIT_STD": math.sqrt(max(second - first * first, 0.0))}
+
+
 def guess_dtype(df: DataFrame) -> DataFrame:
     """(COLUMN, DTYPE, N_DISTINCT) with DTYPE Binary, Nominal, Ordinal or Numeric.
 
@@ -186,9 +211,10 @@ def value_list(df: DataFrame, column: str) -> DataFrame:
 
 
 def profile_table(df: DataFrame, config: dict[str, dict]) -> DataFrame:
-    """Profile of every configured column: {column: {"dtype": ..., "attr": {...}}}.
+    """Profile of every configured column: {column: {"dtype": ..., "attr": {...}, "preproc": {...}}}.
 
-    Columns of the same type share their passes. Rows also carry the DTYPE.
+    Columns of the same type share their passes. Rows also carry the DTYPE, and the CONF of their column,
+    its attr and preproc as JSON text, from which prep_from_profile compiles the column's chain.
     """
     def of(dtype: str) -> list[str]:
         return [c for c, conf in config.items() if conf["dtype"] == dtype]
@@ -209,13 +235,17 @@ def profile_table(df: DataFrame, config: dict[str, dict]) -> DataFrame:
         parts.append(eda_ordinal(df, c, categories).drop("POSITION").withColumn("DTYPE", F.lit("Ordinal")))
     numeric: dict[NumericAttr, list[str]] = {}
     for c in of("Numeric"):
-        numeric.setdefault(NumericAttr(**config[c].get("attr", {})), []).append(c)
+        numeric.setdefault(NumericAttr(**{"fit": True, **config[c].get("attr", {})}), []).append(c)
     for attr, cols in numeric.items():
         parts.append(eda_numeric(df, cols, attr).withColumn("DTYPE", F.lit("Numeric")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    conf = F.lit("{}")
+    for c, found in config.items():
+        text = json.dumps({k: found.get(k, {}) for k in ("attr", "preproc")}, sort_keys=True)
+        conf = F.when(F.col("COLUMN").isin(c, f"LOG:{c}"), F.lit(text)).otherwise(conf)
+    return out.withColumn("CONF", conf)
 
 
 def save_profile(profile: DataFrame, root: str, profile_id: str) -> None:
@@ -225,4 +255,7 @@ def save_profile(profile: DataFrame, root: str, profile_id: str) -> None:
 
 
 def load_profile(spark, root: str, profile_id: str) -> DataFrame:
-    return spark.read.parquet(root).where(F.col("PROFILE_ID").cast("string") == profile_id).drop("PROFILE_ID")
+    found = spark.read.parquet(root).schema
+    # ids are text even when they look like numbers
+    text = T.StructType([T.StructField(f.name, T.StringType() if f.name == "PROFILE_ID" else f.dataType) for f in found])
+    return spark.read.schema(text).parquet(root).where(F.col("PROFILE_ID") == profile_id).drop("PROFILE_ID")

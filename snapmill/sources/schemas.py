@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import os
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapmill.runtime import collect_bounded
+
 # fixed values: declared columns of every warehouse table, one per line as
 # NAME type [key] [part] [null]; "key" marks the primary key, "part" the partition column
 RAW_CUSTOMER = """
@@ -192,24 +194,66 @@ def declared_columns(schema: str, table: str) -> list[str]:
     return declared_schema(schema, table).fieldNames()
 
 
-def write_schema_files(root: str) -> None:
-    """Write each declared schema as <root>/<schema>/<table>.json."""
-    for schema, table in DECLARED:
-        os.makedirs(os.path.join(root, schema), exist_ok=True)
-        with open(os.path.join(root, schema, f"{table}.json"), "w") as out:
-            out.write(declared_schema(schema, table).json())
+# fixed values: type names of the schema documents
+DOCUMENT_TYPES = {
+    "String": "string", "Boolean": "boolean", "Date": "date", "Timestamp": "timestamp", "Int8": "tinyint", "Int16": "smallint",
+    "Int32": "int", "Int64": "bigint", "Float32": "float", "Float64": "double",
+}
 
 
-def read_schema_files(root: str) -> dict[tuple[str, str], T.StructType]:
-    """Schemas found as <root>/<schema>/<table>.json."""
-    import json
+def to_document(schema: T.StructType) -> dict[str, dict]:
+    """The declared per-column form: {column: {dtype, args, descr, primary_key, partition_key}}."""
+    names = {v: k for k, v in DOCUMENT_TYPES.items()}
+    out = {}
+    for f in schema:
+        args: dict = {"nullable": f.nullable}
+        if isinstance(f.dataType, T.DecimalType):
+            dtype, args = "Decimal", {"precision": f.dataType.precision, "scale": f.dataType.scale, **args}
+        else:
+            dtype = names[f.dataType.simpleString()]
+        out[f.name] = {"dtype": dtype, "args": args, "descr": f.metadata.get("descr", ""),
+                       "primary_key": bool(f.metadata.get("primary_key")), "partition_key": bool(f.metadata.get("partition_key"))}
+    return out
 
+
+def from_document(document: dict[str, dict]) -> T.StructType:
+    """The schema of a per-column document; what is left out is nullable, no key and not described."""
+    fields = []
+    for name, c in document.items():
+        args = c.get("args", {})
+        if c["dtype"] == "Decimal":
+            dtype: T.DataType = T.DecimalType(args["precision"], args["scale"])
+        elif c["dtype"] in DOCUMENT_TYPES:
+            dtype = _TYPES[DOCUMENT_TYPES[c["dtype"]]]
+        else:
+            raise ValueError(f"unknown dtype {c['dtype']} of column {name}")
+        marks = {k: bool(c.get(k, False)) for k in ("primary_key", "partition_key")}
+        described = {"descr": c["descr"]} if c.get("descr") else {}
+        fields.append(T.StructField(name, dtype, args.get("nullable", True), {**marks, **described}))
+    return T.StructType(fields)
+
+
+def write_schema_files(spark: SparkSession, root: str, schemas: dict[tuple[str, str], T.StructType] | None = None) -> None:
+    """Write schemas (the declared ones by default) as <root>/<schema>/<table>.json, on any store Spark reads."""
+    sc = spark.sparkContext
+    for (schema, table), found in (schemas or {k: declared_schema(*k) for k in DECLARED}).items():
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{schema}/{table}.json")
+        out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+        try:
+            out.write(bytearray(json.dumps(to_document(found), indent=2).encode()))
+        finally:
+            out.close()
+
+
+def read_schema_files(spark: SparkSession, root: str, max_tables: int = 10_000) -> dict[tuple[str, str], T.StructType]:
+    """Schemas found as <root>/<schema>/<table>.json."""
+    root = root.rstrip("/")
+    documents = spark.read.text(f"{root}/*/*.json", wholetext=True)
+    rows = collect_bounded(documents.select("value", F.col("_metadata.file_path").alias("path")), max_tables, "schema documents")
     found = {}
-    for schema in sorted(os.listdir(root)):
-        for name in sorted(os.listdir(os.path.join(root, schema))):
-            if name.endswith(".json"):
-                with open(os.path.join(root, schema, name)) as src:
-                    found[(schema, name[:-5])] = T.StructType.fromJson(json.load(src))
+    for r in rows:
+        schema, name = r.path.rsplit("/", 2)[1:]
+        found[schema, name.removesuffix(".json")] = from_document(json.loads(r.value))
     return found
 
 
@@ -227,7 +271,7 @@ def _quoted(name: str) -> str:
 
 def table_init(spark: SparkSession, database: str, table: str, schema: T.StructType, location: str) -> str:
     """Create the table at location if it is missing, partitioned by its partition columns."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)} LOCATION '{os.path.dirname(location)}/{database}.db'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)} LOCATION '{location.rstrip('/').rpartition('/')[0]}/{database}.db'")
     cols = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
     parts = ", ".join(_quoted(c) for c in partition_columns(schema))
     by = f" PARTITIONED BY ({parts})" if parts else ""

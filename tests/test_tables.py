@@ -55,9 +55,9 @@ def test_sources(spark, tmp_path):
     assert [r.k for r in preview(df, ["k"], 2).collect()] == [1, 2] and columns(df) == ["k", "v"]
 
 
-def test_declared_schemas_round_trip_through_files(tmp_path):
-    s.write_schema_files(str(tmp_path))
-    found = s.read_schema_files(str(tmp_path))
+def test_declared_schemas_round_trip_through_files(spark, tmp_path):
+    s.write_schema_files(spark, str(tmp_path))
+    found = s.read_schema_files(spark, str(tmp_path))
     assert set(found) == set(s.DECLARED)
     for key, schema in found.items():
         assert schema == s.declared_schema(*key)
@@ -68,6 +68,18 @@ def test_declared_schemas_round_trip_through_files(tmp_path):
         s.declared_schema("RAW", "NONE")
 
 
+def test_schema_documents_keep_their_descriptions(spark, tmp_path):
+    document = {"K": {"dtype": "Int64", "args": {"nullable": False}, "descr": "the key", "primary_key": True},
+                "V": {"dtype": "Decimal", "args": {"precision": 12, "scale": 2, "nullable": True}, "descr": "a value"}}
+    schema = s.from_document(document)
+    assert schema["K"].metadata == {"primary_key": True, "partition_key": False, "descr": "the key"}
+    assert schema["V"].dataType.simpleString() == "decimal(12,2)" and schema["V"].nullable
+    s.write_schema_files(spark, str(tmp_path), {("X", "T"): schema})
+    assert s.read_schema_files(spark, str(tmp_path)) == {("X", "T"): schema}
+    with pytest.raises(ValueError):
+        s.from_document({"A": {"dtype": "Blob"}})
+
+
 def test_table_init_is_partitioned_and_idempotent(spark, tmp_path):
     schema = s.declared_schema("TARGET", "SCORING")
     for _ in range(2):
