@@ -128,9 +128,13 @@ def build(samples: dict[str, str]) -> Model:
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         t = automaton(codes[points].tolist(), size)
         t[:, 0] = -1
-        # where nothing follows, the phrase ends and the symbol starts the next one at the root
-        restart = np.where(t[0] >= 0, t[0], 0)
+        # where nothing follows, the phrase ends and the symbol starts the next one at the root; a symbol that
+        # the language lacks is a phrase of its own, after which (in the state added last) any symbol starts one
+        t = np.vstack((t, np.full(size, -1, np.int32)))
+        restart = np.where(t[0] >= 0, t[0], len(t) - 1)
         ended = t < 0
+        ended[0] = False  # the root is only met at the start, where a phrase begins but none ends
+        t[0] = restart
         t = (np.where(ended, restart[None, :], t).astype(np.int64) * size + at) * 2 + ended
         parts.append(t.astype(np.int32).ravel())
         roots.append(at)
