@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from snapmill.config import days_between
 from snapmill.operators import features as f
 from snapmill.operators.labels import joined_xy
-from snapmill.runtime import materialize, scratch_path
+from snapmill.runtime import folder_stamp, materialize, scratch_path
 from snapmill.sources import bindings as b
 from snapmill.sources.store import SnapshotTable
 
@@ -21,8 +21,8 @@ _written: dict[tuple, object] = {}
 
 
 def once(spark: SparkSession, key: tuple, make):
-    """A value made once per application; used for tables several queries read."""
-    full = (spark.sparkContext.applicationId, *key)
+    """A value made once per application and state of the input folder, key[1]; for what several queries read."""
+    full = (spark.sparkContext.applicationId, folder_stamp(spark, key[1]), *key)
     if full not in _written:
         _written[full] = make()
     return _written[full]

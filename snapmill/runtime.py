@@ -65,6 +65,18 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if not n.startswith(("_", "."))]
 
 
+def folder_stamp(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files below a folder of tables, two levels deep: it changes with them."""
+    sc = spark.sparkContext
+    there = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = there.getFileSystem(sc._jsc.hadoopConfiguration())
+    found = []
+    for entry in fs.listStatus(there):
+        for f in (fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]):
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder, if it is there, on whatever store it lies."""
     sc = spark.sparkContext

@@ -95,3 +95,16 @@ def test_both_ways_of_picking_a_model_agree(spark, monkeypatch):
     near = calendar.withColumn("END_TS", F.least("END_TS", F.lit("2024-03-01").cast("timestamp_ntz")))
     assert {r.d: r.MODEL_ID for r in cal.model_pick(dates, near, "d", "prod").collect()} == by_range
     assert set(by_range.values()) == {"a", "b", "prod"}
+
+
+def test_shared_inputs_follow_their_folder(spark, tmp_path):
+    from snapmill.catalog.inputs import once
+
+    folder = str(tmp_path / "in")
+    made = []
+    for _ in range(2):
+        once(spark, ("x", str(tmp_path)), lambda: made.append(1))
+    assert len(made) == 1
+    spark.range(3).write.parquet(folder)
+    once(spark, ("x", str(tmp_path)), lambda: made.append(1))
+    assert len(made) == 2
