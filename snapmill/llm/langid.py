@@ -189,7 +189,7 @@ def language(docs: DataFrame, modulus: int = 4, held: int = 2) -> DataFrame:
                 best = need.argmin(axis=1)
                 two = np.sort(need, axis=1)
                 score = 1.0 - two[:, 0] / np.maximum(two[:, 1], 1.0) if need.shape[1] > 1 else np.ones(len(b))
-                empty = np.array([not t for t in plain], bool)
+                empty = np.array([not any(map(str.isalpha, t)) for t in plain], bool)
                 names = [("und" if e else model.languages[k]) for k, e in zip(best, empty, strict=True)]
                 score = np.where(empty, 0.0, np.clip(score, 0.0, 1.0))
             yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "lang_pred": names, "score": score})

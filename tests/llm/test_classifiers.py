@@ -15,7 +15,7 @@ def odd_rows(spark):
     long_text = "the and of " * 60_000
     return spark.createDataFrame(
         [(1, None, None, None, None), (None, "the and of", "en", None, 1), (3, "", "en", "x", 0), (4, long_text, "en", "x", 1),
-         (5, "the and of to", "en", "x", 1), (5, "the and of to", "en", "x", 1), (6, "123 !!! 456", None, "x", 1)], DOC
+         (5, "the and of to", "en", "x", 1), (5, "the and of to", "en", "x", 1), (6, "123 !!! 456 \u00bd", None, "x", 1)], DOC
     ).withColumns({"score": F.lit(7), "label": F.lit("clash"), "predicted": F.lit(None).cast("int"), "fp": F.lit(1)})
 
 
