@@ -215,32 +215,37 @@ def prep_float(spark, sf):
     return prep.prep_float(lineitem(spark, sf).select("l_orderkey", "l_linenumber", "l_quantity"), ["l_orderkey"])
 
 
-@query("prep_by_dtype")
+# the categories that the inputs hold at every scale
+TEXTS = {"GENDER": ["F", "M"], "EMAIL_DOMAIN": ["NA", "automobile", "building", "furniture", "household", "machinery"],
+         "BLOOD_GRP": ["A+", "A-", "AB+", "AB-", "B+", "B-", "Missing", "O+", "O-"]}
+FLAGS = ["SUPER_CITY", "COASTAL_CITY", "MANAGER_FLG", "TECHNICAL_FLG"]
+SCALED = ["AGE", "TENURE", "TOTAL_COMP", "NUM_EVENT_7D"]
+NUMBERS = ["AGE", "TENURE", "TOTAL_COMP", "BONUS_RATIO", "MAX_NUM_ACCT_7D", "TOTAL_FLOW_7D", "DEB_CRE_FLOW_7D", "AVG_CR_UTIL_7D",
+           "MAX_CR_UTIL_7D", "AVG_DR_DEB_3D", "AVG_CR_DEB_3D", "AVG_DR_CRE_3D", "AVG_CR_CRE_3D", "DAYS_SINCE_LAST_EVENT",
+           "NUM_EVENT_7D", "RATIO_EVENT_EMAIL", "RATIO_EVENT_CLICK", "RATIO_EVENT_DECLINE"]
+
+
+def _chains_sql(texts: list[str], flags: list[str], numbers: list[str]) -> str:
+    """The chains of the columns' kinds: one-hot, flag with missing mark, clipped, filled and standardised."""
+    bounds = ", ".join(f"quantile_cont(cast({c} AS DOUBLE), {q}) AS {c}_{n}" for c in numbers for n, q in (("lo", 0.01), ("mid", 0.5), ("hi", 0.99)))
+    filled = ", ".join(f"CASE WHEN {c} IS NULL THEN {c}_mid ELSE least(greatest(cast({c} AS DOUBLE), {c}_lo), {c}_hi) END AS {c}" for c in numbers)
+    moments = ", ".join(f"avg({c}) AS {c}_m, coalesce(nullif(stddev_pop({c}), 0), 1) AS {c}_s" for c in numbers)
+    out = [f"cast(coalesce({c}, 'Missing') = '{v}' AS INTEGER)::DOUBLE AS \"{c}_{v}\"" for c in texts for v in TEXTS[c]]
+    out += [e for c in flags for e in (f"coalesce(cast({c} AS INTEGER), -1)::DOUBLE AS {c}", f"cast({c} IS NULL AS INTEGER)::DOUBLE AS {c}_MISSING")]
+    out += [r(f"({c} - {c}_m) / {c}_s", c) for c in numbers]
+    return ctes("xy") + f""", q AS (SELECT {bounds} FROM xy),
+f AS (SELECT CUST_ID, SNAP_DT, CONV_7D, {", ".join([*texts, *flags])}, {filled} FROM xy, q), m AS (SELECT {moments} FROM f)
+SELECT CUST_ID, SNAP_DT, cast(CONV_7D AS BIGINT) AS CONV_7D, {", ".join(out)} FROM f, m"""
+
+
+@query("prep_by_dtype", _chains_sql(list(TEXTS), FLAGS, NUMBERS))
 def prep_by_dtype(spark, sf):
     """Chains chosen by type over the labelled features (keys and target pass through)."""
     xy = xy_written(spark, sf)
     return prep.fit_by_dtype(xy).transform(xy, ["CUST_ID", "SNAP_DT", "CONV_7D"])
 
 
-BLOOD = ["A+", "A-", "AB+", "AB-", "B+", "B-", "Missing", "O+", "O-"]
-SCALED = ["AGE", "TENURE", "TOTAL_COMP", "NUM_EVENT_7D"]
-
-
-def _by_profile_sql() -> str:
-    bounds = ", ".join(f"quantile_cont(cast({c} AS DOUBLE), {q}) AS {c}_{n}" for c in SCALED for n, q in (("lo", 0.01), ("mid", 0.5), ("hi", 0.99)))
-    filled = ", ".join(f"CASE WHEN {c} IS NULL THEN {c}_mid ELSE least(greatest(cast({c} AS DOUBLE), {c}_lo), {c}_hi) END AS {c}" for c in SCALED)
-    moments = ", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in SCALED)
-    scaled = ", ".join(r(f"({c} - {c}_m) / {c}_s", c) for c in SCALED)
-    genders = ", ".join(f"cast(GENDER IS NOT DISTINCT FROM '{v}' AS INTEGER)::DOUBLE AS GENDER_{v}" for v in ("F", "M"))
-    blood = ", ".join(f"cast(coalesce(BLOOD_GRP, 'Missing') = '{v}' AS INTEGER)::DOUBLE AS \"BLOOD_GRP_{v}\"" for v in BLOOD)
-    flag = ("coalesce(cast(SUPER_CITY AS INTEGER), -1)::DOUBLE AS SUPER_CITY, "
-            "cast(SUPER_CITY IS NULL AS INTEGER)::DOUBLE AS SUPER_CITY_MISSING")
-    return ctes("xy") + f""", q AS (SELECT {bounds} FROM xy),
-f AS (SELECT CUST_ID, SNAP_DT, CONV_7D, GENDER, BLOOD_GRP, SUPER_CITY, {filled} FROM xy, q), m AS (SELECT {moments} FROM f)""".lstrip() + f"""
-SELECT CUST_ID, SNAP_DT, cast(CONV_7D AS BIGINT) AS CONV_7D, {genders}, {blood}, {flag}, {scaled} FROM f, m"""
-
-
-@query("prep_by_profile", _by_profile_sql())
+@query("prep_by_profile", _chains_sql(["GENDER", "BLOOD_GRP"], ["SUPER_CITY"], SCALED))
 def prep_by_profile(spark, sf):
     """The same from a table profile alone."""
     xy = xy_written(spark, sf)
