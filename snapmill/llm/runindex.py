@@ -36,9 +36,9 @@ from snapmill.runtime import collect_bounded, materialize
 LENGTH = 100
 GRAM = 32
 # anchors held by a task before it hands them on, and bytes of surroundings likewise
-HELD_ANCHORS = 400_000
-HELD_BYTES = 8 << 20
-INDEX_BYTES = 1 << 20
+HELD_ANCHORS = 150_000
+HELD_BYTES = 3 << 20
+INDEX_BYTES = 1 << 19
 SALT_ROWS = 16_384
 # anchors are called frequent by one document in SAMPLED; at most so many
 SAMPLED, FREQUENT = 256, 20_000
