@@ -147,7 +147,8 @@ def pack_values(values: np.ndarray) -> tuple[bytes, bytes]:
     code = (v >= 1 << 8).astype(np.uint8) + (v >= 1 << 16) + (v >= 1 << 24)
     quads = code.reshape(-1, 4)
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    data = v.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]]
+    width = int(code.max(initial=0)) + 1  # bytes of the largest value; wider ones need no look
+    data = v.view(np.uint8).reshape(-1, 4)[:, :width][np.arange(width) <= code[:, None]]
     return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
@@ -157,9 +158,11 @@ def unpack_values(control: bytes, data: bytes, count: int) -> np.ndarray:
     raw = np.concatenate((np.frombuffer(data, np.uint8), np.zeros(3, np.uint8)))
     start = np.concatenate(([0], np.cumsum(_TOTALS[c])[:-1])) if len(c) else np.zeros(0, np.int64)
     at = (start[:, None] + _OFFSETS[c]).ravel()[:count]
-    words = (raw[at].astype(np.uint32) | raw[at + 1].astype(np.uint32) << 8
-             | raw[at + 2].astype(np.uint32) << 16 | raw[at + 3].astype(np.uint32) << 24)
-    return words & _MASKS[_CODES[c].ravel()[:count]]
+    codes = _CODES[c].ravel()[:count]
+    words = raw[at].astype(np.uint32)
+    for b in range(1, int(codes.max(initial=0)) + 1):
+        words |= raw[at + b].astype(np.uint32) << np.uint32(8 * b)
+    return words & _MASKS[codes]
 
 
 def pack_block(doc_ids: list, ids: list[np.ndarray], rank: np.ndarray) -> bytes:
