@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,13 +52,12 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, modu
     return texts(docs).join(F.broadcast(marks), "doc_id").select("doc_id", "text", "label")
 
 
-def forget(*frames: Iterable) -> None:
+def forget() -> None:
     """Let Spark remove shuffle files that no plan refers to any more.
 
     They are otherwise kept until the driver happens to collect its garbage, although the tables
     written from them have replaced them.
     """
-    del frames
     gc.collect()
     session = SparkSession.getActiveSession()
     if session is not None:

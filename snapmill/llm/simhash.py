@@ -256,6 +256,6 @@ def near_duplicates(docs: DataFrame, errors: int = ERRORS, dense: int = DENSE, s
                .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = classes.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = materialize(classes.join(least, "root").select("fp", "component_id"))
-    forget(roots, least)
+    forget()
     return marked.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
