@@ -16,7 +16,6 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmill.config import DEFAULT, EntityConfig
 from snapmill.functions.exprs import hash32, logistic
 from snapmill.runtime import collect_bounded
 
