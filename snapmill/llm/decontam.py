@@ -2,10 +2,11 @@
 
 Texts become sequences of template tokens: numbers, names and units are replaced by typed placeholders
 and other words are lower-cased without their punctuation. Windows of WINDOW template tokens are
-hash-joined with those of the benchmark. A window that matches carries slot values; inside one item
-the same benchmark value must always be replaced by the same document value (and differing ones may
-not be mixed up), else the windows that contradict the majority do not count. So re-parameterised
-questions are caught, texts that merely share a pattern are not.
+hash-joined with those of the benchmark. A window that matches carries slot values and its place; inside
+one occurrence of an item the same benchmark value must always be replaced by the same document value
+(and differing ones may not be mixed up), else the windows that contradict the majority do not count.
+Each place of a document where an item may begin is judged by itself, so variants side by side do not
+contradict one another. So re-parameterised questions are caught, texts that merely share a pattern are not.
 
 A document is contaminated if the windows of some item are matched to at least SIMILARITY. The
 benchmark's windows are joined as a broadcast only up to a checked number of rows; the documents
@@ -15,8 +16,10 @@ contribute rows for matching windows only.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -103,7 +106,10 @@ def windows(hashes: np.ndarray, size: int = WINDOW) -> np.ndarray:
 
 
 def _windows_of(rows: DataFrame, key: str, wanted: np.ndarray | None, size: int) -> DataFrame:
-    """(key, window, at, slots) of each text's windows, of those in `wanted` if it is given."""
+    """(key, window, at, slots) of each text's windows, of those in `wanted` if it is given.
+
+    at is the place in the text; the upper bits of a document's places tell different texts of one id apart.
+    """
     ordered = None if wanted is None else np.sort(wanted)
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,43 +125,82 @@ def _windows_of(rows: DataFrame, key: str, wanted: np.ndarray | None, size: int)
                     hit = np.flatnonzero(ordered[np.minimum(np.searchsorted(ordered, w), len(ordered) - 1)] == w)
                 else:
                     hit = np.empty(0, np.int64)
+                base = 0 if key == "item_id" else (xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) >> 33) << 32
                 for i in hit.tolist():
                     ids.append(k)
-                    at.append(i)
+                    at.append(base + i)
                     slots.append(values[i:i + size])
                 ws.append(w[hit])
             yield pd.DataFrame({key: ids, "window": np.concatenate(ws).view(np.int64) if ws else np.empty(0, np.int64),
-                                "at": at, "slots": pd.Series(slots, dtype=object)}).astype({key: "Int64", "at": "int32"})
+                                "at": at, "slots": pd.Series(slots, dtype=object)}).astype({key: "Int64", "at": "int64"})
 
-    return rows.mapInPandas(found, f"{key} long, window long, at int, slots array<string>")
+    return rows.mapInPandas(found, f"{key} long, window long, at long, slots array<string>")
 
 
-def consistent(pairs: list[tuple[int, list[str], list[str]]]) -> set[int]:
-    """Item windows whose slot values agree with the majority mapping of the document.
+def _choose(pairs: list[tuple[list[str], list[str]]], chosen: dict[str, str], taken: dict[str, str]) -> None:
+    """Add to the mapping the values that it lacks, by the majority of the pairs of item and document values.
 
-    pairs: (item window, item values, document values). The mapping takes each item value to the
-    document value it meets most (ties: the smaller one), and must not take two item values to one.
+    Ties go to the item's own value, then to the smaller one; two item values are not taken to one.
     """
     votes: dict[str, Counter] = defaultdict(Counter)
-    for _, item, doc in pairs:
+    for item, doc in pairs:
         for a, b in zip(item, doc, strict=True):
-            if a or b:
+            if (a or b) and a not in chosen:
                 votes[a][b] += 1
-    chosen: dict[str, str] = {}
-    taken: dict[str, str] = {}
     for a, c in sorted(votes.items(), key=lambda x: (-max(x[1].values()), x[0])):
-        b = min(c, key=lambda v: (-c[v], v))
+        b = min(c, key=lambda v: (-c[v], v != a, v))
         if taken.setdefault(b, a) == a:
             chosen[a] = b
-    return {w for w, item, doc in pairs if all(chosen.get(a) == b for a, b in zip(item, doc, strict=True) if a or b)}
+
+
+def _agree(item: list[str], doc: list[str], chosen: dict[str, str]) -> bool:
+    return all(a == b or chosen.get(a) == b for a, b in zip(item, doc, strict=True))
+
+
+def consistent(pairs: list[tuple[int, list[str], list[str]]]) -> set[int]:
+    """Item windows whose slot values agree with the majority mapping of the pairs.
+
+    pairs: (item window, item values, document values). The mapping takes each item value to the
+    document value it meets most, and must not take two item values to one; equal values always agree.
+    """
+    chosen: dict[str, str] = {}
+    _choose([(item, doc) for _, item, doc in pairs], chosen, {})
+    return {w for w, item, doc in pairs if _agree(item, doc, chosen)}
+
+
+def best_occurrence(pairs: list[tuple[int, int, list[str], list[str]]], n_windows: int, least: float) -> int:
+    """The most item windows that agree in one occurrence of the item.
+
+    pairs: (item window, document place, item values, document values). Matches of one alignment (document
+    place minus item place) are one run and give an occurrence's mapping; values it lacks come from the
+    runs nearest to it, since words put in or left out shift the rest. The windows of the places around
+    it, an item's length before and after, are counted if they agree. A mapping over the whole document
+    is tried too: the parts of an item may lie far apart. Occurrences below `least` are not looked at.
+    """
+    best = len(consistent([(w, item, doc) for w, _, item, doc in pairs]))
+    pairs = sorted(pairs, key=lambda x: x[1])
+    places = [p for _, p, _, _ in pairs]
+    for at in sorted({p - w for w, p, _, _ in pairs}):
+        if best == n_windows:
+            break
+        near = pairs[bisect_left(places, at - n_windows):bisect_left(places, at + 2 * n_windows)]
+        held = len({w for w, _, _, _ in near})
+        if held <= best or held < least:
+            continue
+        chosen: dict[str, str] = {}
+        taken: dict[str, str] = {}
+        for _, run in groupby(sorted(near, key=lambda x: abs(x[1] - x[0] - at)), key=lambda x: abs(x[1] - x[0] - at)):
+            _choose([(item, doc) for _, _, item, doc in run], chosen, taken)
+        best = max(best, len({w for w, _, item, doc in near if _agree(item, doc, chosen)}))
+    return best
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, similarity: float = SIMILARITY,
                  memory_windows: int = MEMORY_WINDOWS) -> DataFrame:
     """doc_id, item_id, n_windows, n_matched, share of each (document, item) with share >= similarity.
 
-    share is the part of the item's windows that the document holds with consistent slots. Null and
-    empty texts hold none and match none; rows with a null id take no part; items repeated with the same
+    share is the part of the item's windows that the document's best occurrence of it holds with consistent
+    slots. Null and empty texts hold none and match none; rows with a null id take no part; items repeated with the same
     text match each; rows repeated with the same doc_id count together. An item shorter than a window
     is one window of its own length and only matches windows of texts that short: whole texts.
     """
@@ -169,23 +214,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, simi
     wanted = np.array([r["window"] for r in distinct.collect()], np.int64).view(np.uint64) if few else None
     hits = _windows_of(rows, "doc_id", wanted, size)
     matched = materialize(hits.join(F.broadcast(items) if few and items.count() <= memory_windows else items, "window")
-                          .select("doc_id", "item_id", "item_at", "item_slots", "slots"))
+                          .select("doc_id", "item_id", "item_at", "at", "item_slots", "slots"))
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: tuple | None = None
         pairs: list = []
 
         def result() -> pd.DataFrame:
-            return pd.DataFrame({"doc_id": [held[0]], "item_id": [held[1]], "n_matched": [len(consistent(pairs))]})
+            return pd.DataFrame({"doc_id": [held[0]], "item_id": [held[1]],
+                                 "n_matched": [best_occurrence(pairs, held[2], similarity * held[2])]})
 
         for b in batches:
-            for d, i, w, s, t in zip(b["doc_id"], b["item_id"], b["item_at"], b["item_slots"], b["slots"], strict=True):
-                if (d, i) != held:
+            for d, i, n, w, p, s, t in zip(b["doc_id"], b["item_id"], b["n_windows"], b["item_at"], b["at"], b["item_slots"], b["slots"],
+                                           strict=True):
+                if (d, i, n) != held:
                     if held is not None:
                         yield result()
-                    held, pairs = (d, i), []
+                    held, pairs = (d, i, n), []
                 if len(s) == len(t):
-                    pairs.append((w, list(s), list(t)))
+                    pairs.append((w, p, list(s), list(t)))
         if held is not None:
             yield result()
 
@@ -194,8 +241,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, simi
               .join(sizes, "item_id").where(F.col("n") >= similarity * F.col("n_windows")).select("doc_id", "item_id", "n_windows"))
     enough = materialize(enough)
     whole_batches(docs.sparkSession)
-    checked = (matched.join(enough.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi")
-               .repartition("doc_id", "item_id").sortWithinPartitions("doc_id", "item_id", "item_at")
+    checked = (matched.join(enough, ["doc_id", "item_id"])
+               .repartition("doc_id", "item_id").sortWithinPartitions("doc_id", "item_id", "at", "item_at")
                .mapInPandas(verify, "doc_id long, item_id long, n_matched long"))
     return (checked.join(enough, ["doc_id", "item_id"])
             .withColumn("share", F.col("n_matched") / F.col("n_windows")).where(F.col("share") >= similarity)

@@ -159,6 +159,23 @@ def test_slots_must_agree():
     assert decontam.consistent([*same, (4, ["8", "", ""], ["9", "", ""])]) == {0, 1, 2}
 
 
+def test_variants_of_an_item_side_by_side(spark):
+    item = "Of {0} red and {1} blue cars {0} take {1} men and {0} women to {1} towns with {0} coins and {1} notes"
+    exact, first, second = item.format(12, 7), item.format(31, 8), item.format(45, 20)
+    longer = item.format(31, 8).replace("women to", "women quite soon to")
+    rows = [(1, "What is 12 + 7? What is 13 + 5?"), (2, f"{exact} . {first}"), (3, f"{first} . {second}"),
+            (4, " . ".join(item.format(20 + i, 90 - i) for i in range(9))), (5, f"{exact.replace('12', '9', 2)} . {longer} . {item.format(3, 9)[:40]}"),
+            # every value is replaced by another one each time
+            (6, item.replace("{0}", "{}").replace("{1}", "{}").format(*range(50, 58))),
+            # texts repeated with one id do not contradict one another
+            (7, first), (7, second)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, exact), (2, "What is 12 + 7?")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.n_matched for r in decontam.contaminated(docs, bench).collect()}
+    n = len(decontam.windows(decontam.Canonical().tokens(exact)[0]))
+    assert got == {(1, 2): 1, (2, 1): n, (3, 1): n, (4, 1): n, (5, 1): n, (7, 1): n}
+
+
 def test_neighbours_against_all_pairs(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(3000, 24)).astype(np.float32)
