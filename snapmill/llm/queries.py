@@ -1,7 +1,8 @@
 """Registered queries of the training-data operators over the driver's tables.
 
-None has an equivalent SQL that ends in reasonable time on whole tables (models, indexes, graphs and
-file formats); their tests compare them with brute force, exact round trips or held-out labels.
+Hard negatives and common lines have an equivalent SQL. The others have none that ends in reasonable time on
+whole tables (models, indexes, graphs and file formats); their tests compare them with brute force, exact
+round trips or held-out labels.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmill.llm import anngraph, decontam, langid, packing, pagetext, quality, runindex, simhash, tokenfile, toxicity
+from snapmill.llm import (anngraph, decontam, hardneg, langid, lineindex, packing, pagetext, quality, runindex, simhash, tokenfile,
+                          toxicity, wordindex)
 from snapmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +63,52 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language(read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(read(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordindex.variants(read(spark, sf_dir, "documents"))
+
+
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineindex.drop_common_lines(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_decontaminate, op4_neighbours, op5_suffix_dedup,
-                                               op6_tokens, op7_quality, op8_html, op9_packing, op10_language)}
-ORACLES: dict[str, str] = {}
+                                               op6_tokens, op7_quality, op8_html, op9_packing, op10_language, op11_hard_negatives, op12_spelling,
+                                               op13_lines)}
+ORACLES: dict[str, str] = {
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                   list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id != b.vec_id),
+        p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id,
+               row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+             AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY rank <= 3""",
+    "op13_lines": """
+        WITH d AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        l AS (SELECT row, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
+        k AS (
+            SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        c AS (SELECT key FROM k WHERE key != '' GROUP BY key HAVING count(DISTINCT row) >= 10)
+        SELECT k.doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (c.key IS NULL), '')) AS kept_sha256
+        FROM k LEFT JOIN c ON k.key = c.key GROUP BY k.row, k.doc_id""",
+}
