@@ -44,7 +44,8 @@ class Fields:
         top = max(high, 0) + self.bias
         self.width = width
         self.bits = max(1, (top * top * max(width, 1)).bit_length())
-        self.small = self.bits <= 62
+        # sums stay below 2 ** 55, so that a hundredfold still fits
+        self.small = self.bits <= 55
         self.fields = 64 // self.bits if self.small else WIDE_FIELDS
         self.kind = np.uint64 if self.small else object
 
@@ -77,21 +78,21 @@ class Fields:
         return out.reshape(len(a), -1)[:, :len(q)] - self.bias * sums
 
 
-def first_by_score(scores: np.ndarray, usable: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of each row's columns by falling score, ties by place; columns not usable come last.
-
-    Returned with the number of usable columns of each row.
-    """
-    ranked = np.where(usable, scores, scores.min(initial=0) - 1)
-    if ranked.dtype != object and n < ranked.shape[1]:
-        # only what reaches the n-th score is sorted; ties with it are kept
-        least = np.partition(ranked, ranked.shape[1] - n, axis=1)[:, ranked.shape[1] - n]
-        width = int((ranked >= least[:, None]).sum(axis=1).max())
-        if width * 4 < ranked.shape[1]:
-            some = np.argsort(ranked < least[:, None], axis=1, kind="stable")[:, :width]
-            inner = np.argsort(-np.take_along_axis(ranked, some, axis=1), axis=1, kind="stable")
-            return np.take_along_axis(some, inner, axis=1), usable.sum(axis=1)
-    return np.argsort(-ranked, axis=1, kind="stable"), usable.sum(axis=1)
+def best_first(scores: np.ndarray, usable: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the first n usable columns of each row by falling score, ties by place; rank by rank."""
+    none = np.iinfo(np.int64).min if scores.dtype != object else -(1 << 200)
+    left = np.where(usable, scores, none)
+    rows, columns = [], []
+    going = np.arange(len(left))
+    for _ in range(min(n, left.shape[1])):
+        # the first of equals is the one with the smallest id, as columns ascend by id
+        top = left[going].argmax(axis=1)
+        some = left[going, top] != none
+        going, top = going[some], top[some]
+        rows.append(going)
+        columns.append(top)
+        left[going, top] = none
+    return np.concatenate([np.zeros(0, np.int64), *rows]), np.concatenate([np.zeros(0, np.int64), *columns])
 
 
 def _by_bucket(values: list[int]) -> Column:
@@ -182,47 +183,48 @@ def mine(rows: DataFrame, every: int = 50, positives: int = 5, negatives: int =
                 if r.block != last:
                     last, packed = r.block, layout.pack(q)
                 a_ids, a_labels, a = unpacked(r.a_ids, r.a_labels, r.a_q)
+                tiles = []
                 for at in range(0, len(a), TILE):
                     here = slice(at, at + TILE)
                     same = a_labels[here, None] == labels[None, :]
                     other = a_ids[here, None] != ids[None, :]
-                    yield r, at, ids, a_ids[here], same, other, lambda part=a[here]: layout.scores(part, q, packed)
+                    tiles.append((here, same, other))
+                yield r, ids, a_ids, tiles, lambda here: layout.scores(a[here], q, packed)
 
     def best_positives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for r, at, ids, _, same, other, score in scored(batches):
-            usable = same & other
-            if not usable.any():
-                continue
-            s = score()
-            order, n = first_by_score(s, usable, positives)
-            order = order[:, :positives]
-            i, j = np.nonzero(np.arange(order.shape[1])[None, :] < n[:, None])
-            col = order[i, j]
-            yield pd.DataFrame({"a_block": r.a_block, "place": (at + i).astype(np.int32), "positive_id": ids[col],
-                                "positive_score": sent(s[i, col])})
+        for r, ids, _, tiles, score in scored(batches):
+            out = []
+            for here, same, other in tiles:
+                usable = same & other
+                if usable.any():
+                    s = score(here)
+                    i, j = best_first(s, usable, positives)
+                    out.append((here.start + i, ids[j], s[i, j]))
+            if out:
+                place, found, got = (np.concatenate(x) for x in zip(*out, strict=True))
+                yield pd.DataFrame({"a_block": r.a_block, "place": place.astype(np.int32), "positive_id": found, "positive_score": sent(got)})
 
     def best_negatives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for r, at, ids, a_ids, same, other, score in scored(batches):
-            usable = ~same & other
-            if not usable.any():
-                continue
-            s = score()
-            order, n = first_by_score(s, usable, s.shape[1])
-            ranked = np.take_along_axis(s, order, axis=1)
-            columns = np.arange(order.shape[1])
-            for p in r.positives:
-                row = p["place"] - at
-                if not 0 <= row < len(s):
+        for r, ids, a_ids, tiles, score in scored(batches):
+            place = np.array([p["place"] for p in r.positives])
+            found = np.array([p["positive_id"] for p in r.positives])
+            got = np.array([int(p["positive_score"]) for p in r.positives], np.int64 if layout.small else object)
+            out = []
+            for here, same, other in tiles:
+                mine = np.nonzero((place >= here.start) & (place < here.stop))[0]
+                usable = ~same & other
+                if not len(mine) or not usable.any():
                     continue
-                got = int(p["positive_score"])
-                line = ranked[row, :n[row]]
-                start = int(np.searchsorted(-line, -(high * got // 100), side="left"))
-                take = columns[start:min(start + negatives, n[row])]
-                take = [t for t in take if 100 * int(line[t]) >= low * got]
-                if take:
-                    yield pd.DataFrame({"a_block": r.a_block, "place": np.int32(p["place"]), "anchor_id": a_ids[row],
-                                        "positive_id": p["positive_id"], "positive_score": sent([got] * len(take)),
-                                        "negative_id": ids[order[row, take]], "negative_score": sent(line[take])})
+                s = score(here)
+                row = place[mine] - here.start
+                # whole numbers, so the bounds may be rounded inwards
+                lines, top, least = s[row], high * got[mine] // 100, -(-low * got[mine] // 100)
+                i, j = best_first(lines, usable[row] & (lines <= top[:, None]) & (lines >= least[:, None]), negatives)
+                out.append((place[mine[i]], a_ids[place[mine[i]]], found[mine[i]], got[mine[i]], ids[j], lines[i, j]))
+            if out:
+                at, who, found_, got_, other_, n = (np.concatenate(x) for x in zip(*out, strict=True))
+                yield pd.DataFrame({"a_block": r.a_block, "place": at.astype(np.int32), "anchor_id": who, "positive_id": found_,
+                                    "positive_score": sent(got_), "negative_id": other_, "negative_score": sent(n)})
 
     def meet(asked: DataFrame, own: bool) -> DataFrame:
         """Every anchor block beside the candidate blocks of its bucket, or beside all candidate blocks.
