@@ -2,20 +2,24 @@
 
 Texts become sequences of template tokens: numbers, names and units are replaced by typed placeholders
 and other words are lower-cased without their punctuation. Windows of WINDOW template tokens are
-hash-joined with those of the benchmark. A window that matches carries slot values and its place; inside
+hash-joined with those of the benchmark, and so are windows of the plain lower-cased words, since names are
+told by their capitals and a re-cased copy has others. A template window that matches carries slot values
+and its place; inside
 one occurrence of an item the same benchmark value must always be replaced by the same document value
 (and differing ones may not be mixed up), else the windows that contradict the majority do not count.
 Each place of a document where an item may begin is judged by itself, so variants side by side do not
 contradict one another. So re-parameterised questions are caught, texts that merely share a pattern are not.
 
-A document is contaminated if the windows of some item are matched to at least SIMILARITY. The
-benchmark's windows are joined as a broadcast only up to a checked number of rows; the documents
-contribute rows for matching windows only.
+A document is contaminated if the template windows or the plain windows of some item are matched to at
+least SIMILARITY. The benchmark's windows are joined as a broadcast only up to a checked number of rows; the
+documents contribute rows for matching windows only. Words are numbered once per worker, so that a text's
+tokens and windows are array lookups, and slot values are gathered for matching windows alone.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -66,32 +70,94 @@ def word(raw: str, initial: bool) -> list[tuple[str, str]]:
     return [(low, "")]
 
 
-class Canonical:
-    """Template tokens of whole texts as 64-bit hashes; repeated words are looked up."""
-
-    def __init__(self, limit: int = 200_000) -> None:
-        self.seen: dict[tuple[str, bool], list[tuple[int, str]]] = {}
+SPECIAL = UNITS | NUMBER_WORDS
+DIGIT = re.compile(r"\d")
+_NAME_HASH, _UNIT_HASH = xxhash.xxh3_64_intdigest(NAME), np.uint64(xxhash.xxh3_64_intdigest(UNIT))
+TEMPLATE, PLAIN = 0, 1
+# set apart the windows of plain words from those of templates
+_PLAIN_SALT = np.uint64(0xA24BAED4963EE407)
+
+
+class Tokens:
+    """Template and plain tokens of one text."""
+
+    def __init__(self, words: Canonical, ids: np.ndarray) -> None:
+        initial = np.ones(len(ids), bool)
+        initial[1:] = _view(words.ends, bool)[ids[:-1]]
+        n = _view(words.count, np.int8)[ids]
+        if not n.all():
+            ids, initial, n = ids[n > 0], initial[n > 0], n[n > 0]
+        self.words, self.ids, self.initial = words, ids, initial
+        self.plain = _view(words.first)[ids]
+        self.template = np.where(initial, _view(words.start)[ids], _view(words.inside)[ids])
+        self.word_of: np.ndarray | None = None
+        if len(n) and n.max() > 1:
+            # a number with its unit gives two tokens
+            self.word_of = np.repeat(np.arange(len(ids)), n)
+            self.second = np.zeros(len(self.word_of), bool)
+            self.second[np.cumsum(n)[n > 1] - 1] = True
+            self.template = np.where(self.second, _UNIT_HASH, self.template[self.word_of])
+
+    def slots(self, at: int, size: int) -> list[str]:
+        """Slot values of the template tokens from `at` on."""
+        out = []
+        for i in range(at, min(at + size, len(self.template))):
+            w = i if self.word_of is None else int(self.word_of[i])
+            values = word(self.words.raw[self.ids[w]], bool(self.initial[w]))
+            out.append(values[1 if self.word_of is not None and self.second[i] else 0][1])
+        return out
+
+
+def _view(values: array | bytearray, kind: type = np.uint64) -> np.ndarray:
+    """The values as an array, to be let go before more are appended."""
+    return np.frombuffer(values, kind)
+
+
+class Canonical(dict):
+    """Words by number: hashes of their plain form and of their template token at a sentence's start and
+    inside, how many template tokens they are, and whether a sentence ends with them."""
+
+    def __init__(self, limit: int = 300_000) -> None:
+        super().__init__()
         self.limit = limit
-
-    def tokens(self, text: str) -> tuple[np.ndarray, list[str]]:
-        """Hashes of the template tokens, and their slot values."""
-        seen = self.seen
-        if len(seen) > self.limit:
-            seen.clear()
-        hashes: list[int] = []
-        slots: list[str] = []
-        for line in text.split("\n"):
-            initial = True
-            for raw in line.split():
-                found = seen.get((raw, initial))
-                if found is None:
-                    found = [(xxhash.xxh3_64_intdigest(t), v) for t, v in word(raw, initial)]
-                    seen[raw, initial] = found
-                for h, v in found:
-                    hashes.append(h)
-                    slots.append(v)
-                initial = raw[-1] in ".!?:"
-        return np.array(hashes, np.uint64), slots
+        self._empty()
+
+    def _empty(self) -> None:
+        self.clear()
+        self.raw: list[str] = []
+        self.first, self.start, self.inside = array("Q"), array("Q"), array("Q")
+        self.count, self.ends = bytearray(), bytearray()
+
+    def __missing__(self, raw: str) -> int:
+        n = len(self.raw)
+        bare = raw.strip(EDGE)
+        low = bare.lower()
+        plain = xxhash.xxh3_64_intdigest(low)
+        start = inside = plain
+        count = 1
+        if not low:
+            count = 0
+        elif low in SPECIAL or DIGIT.search(low):
+            found, other = word(raw, True), word(raw, False)
+            start, inside = (xxhash.xxh3_64_intdigest(f[0][0]) for f in (found, other))
+            count = len(found)
+        elif bare[0].isupper() and not bare.isupper():
+            inside = _NAME_HASH
+        self.raw.append(raw)
+        self.first.append(plain)
+        self.start.append(start)
+        self.inside.append(inside)
+        self.count.append(count)
+        self.ends.append(raw[-1] in ".!?:")
+        self[raw] = n
+        return n
+
+    def tokens(self, text: str) -> Tokens:
+        """A name is told by a capital inside a sentence; a sentence begins after . ! ? or :, whatever the line."""
+        if len(self) > self.limit:
+            self._empty()
+        words = text.split()
+        return Tokens(self, np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
 
 
 def windows(hashes: np.ndarray, size: int = WINDOW) -> np.ndarray:
@@ -105,36 +171,57 @@ def windows(hashes: np.ndarray, size: int = WINDOW) -> np.ndarray:
     return (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _windows_of(rows: DataFrame, key: str, wanted: np.ndarray | None, size: int) -> DataFrame:
-    """(key, window, at, slots) of each text's windows, of those in `wanted` if it is given.
+def plain_windows(hashes: np.ndarray, size: int = WINDOW) -> np.ndarray:
+    return windows(hashes, size) ^ _PLAIN_SALT
+
+
+class Wanted:
+    """Membership of window hashes: a bit map by their upper bits first, then the ordered hashes."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.ordered = np.sort(hashes)
+        self.map = np.zeros(1 << 20, bool)
+        self.map[(hashes >> np.uint64(44)).astype(np.int64)] = True
+
+    def hits(self, w: np.ndarray) -> np.ndarray:
+        some = np.flatnonzero(self.map[(w >> np.uint64(44)).astype(np.int64)])
+        if not len(some) or not len(self.ordered):
+            return np.empty(0, np.int64)
+        at = np.minimum(np.searchsorted(self.ordered, w[some]), len(self.ordered) - 1)
+        return some[self.ordered[at] == w[some]]
+
+
+def _windows_of(rows: DataFrame, key: str, wanted: np.ndarray | None, size: int, short: tuple[int, ...] = ()) -> DataFrame:
+    """(key, kind, window, at, slots) of each text's windows, of those in `wanted` if it is given.
 
     at is the place in the text; the upper bits of a document's places tell different texts of one id apart.
+    Plain windows have no slots; those of the lengths in `short` are given besides.
     """
-    ordered = None if wanted is None else np.sort(wanted)
-
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         canonical = Canonical()
+        member = None if wanted is None else Wanted(wanted)
         for b in batches:
-            ids, ws, at, slots = [], [], [], []
+            ids, kinds, ws, at, slots = [], [], [], [], []
             for k, text in zip(b["doc_id"], b["text"], strict=True):
-                hashes, values = canonical.tokens(text)
-                w = windows(hashes, size)
-                if ordered is None:
-                    hit = np.arange(len(w))
-                elif len(ordered) and len(w):
-                    hit = np.flatnonzero(ordered[np.minimum(np.searchsorted(ordered, w), len(ordered) - 1)] == w)
-                else:
-                    hit = np.empty(0, np.int64)
-                base = 0 if key == "item_id" else (xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) >> 33) << 32
-                for i in hit.tolist():
-                    ids.append(k)
-                    at.append(base + i)
-                    slots.append(values[i:i + size])
-                ws.append(w[hit])
-            yield pd.DataFrame({key: ids, "window": np.concatenate(ws).view(np.int64) if ws else np.empty(0, np.int64),
-                                "at": at, "slots": pd.Series(slots, dtype=object)}).astype({key: "Int64", "at": "int64"})
-
-    return rows.mapInPandas(found, f"{key} long, window long, at long, slots array<string>")
+                t = canonical.tokens(text)
+                plain = t.plain
+                base = None
+                for kind, w in [(TEMPLATE, windows(t.template, size)), (PLAIN, plain_windows(plain, size)),
+                                *((PLAIN, plain_windows(plain, n)) for n in short if n < min(size, len(plain)))]:
+                    hit = np.arange(len(w)) if member is None else member.hits(w)
+                    if not len(hit):
+                        continue
+                    if base is None:
+                        base = 0 if key == "item_id" else (xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) >> 33) << 32
+                    ids += [k] * len(hit)
+                    kinds += [kind] * len(hit)
+                    at += [base + i for i in hit.tolist()]
+                    slots += [t.slots(i, size) for i in hit.tolist()] if kind == TEMPLATE else [[]] * len(hit)
+                    ws.append(w[hit])
+            yield pd.DataFrame({key: ids, "kind": kinds, "window": np.concatenate(ws).view(np.int64) if ws else np.empty(0, np.int64),
+                                "at": at, "slots": pd.Series(slots, dtype=object)}).astype({key: "Int64", "kind": "int8", "at": "int64"})
+
+    return rows.mapInPandas(found, f"{key} long, kind byte, window long, at long, slots array<string>")
 
 
 def _choose(pairs: list[tuple[list[str], list[str]]], chosen: dict[str, str], taken: dict[str, str]) -> None:
@@ -199,54 +286,71 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, simi
                  memory_windows: int = MEMORY_WINDOWS) -> DataFrame:
     """doc_id, item_id, n_windows, n_matched, share of each (document, item) with share >= similarity.
 
-    share is the part of the item's windows that the document's best occurrence of it holds with consistent
-    slots. Null and empty texts hold none and match none; rows with a null id take no part; items repeated with the same
-    text match each; rows repeated with the same doc_id count together. An item shorter than a window
-    is one window of its own length and only matches windows of texts that short: whole texts.
+    share is the larger of two: the part of the item's template windows that the document's best occurrence of
+    it holds with consistent slots, and the part of its plain windows that the document holds; n_windows and
+    n_matched belong to it (the templates' if both are equal). Null and empty texts hold none and match none;
+    rows with a null id take no part; items repeated with the same text match each; rows repeated with the same
+    doc_id count together. An item shorter than a window is one window of its own length: its plain words are
+    found inside any text, its template only matches whole texts that short.
     """
     small_batches(docs.sparkSession)
     items = materialize(_windows_of(texts(benchmark, "item_id").where("doc_id is not null"), "item_id", None, size)
                         .withColumnRenamed("at", "item_at").withColumnRenamed("slots", "item_slots"))
-    sizes = items.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
+    sizes = items.groupBy("item_id", "kind").agg(F.count(F.lit(1)).alias("n_windows"))
     rows = texts(docs).where("doc_id is not null")
     distinct = items.select("window").distinct()
     few = distinct.limit(memory_windows + 1).count() <= memory_windows
     wanted = np.array([r["window"] for r in distinct.collect()], np.int64).view(np.uint64) if few else None
-    hits = _windows_of(rows, "doc_id", wanted, size)
-    matched = materialize(hits.join(F.broadcast(items) if few and items.count() <= memory_windows else items, "window")
-                          .select("doc_id", "item_id", "item_at", "at", "item_slots", "slots"))
+    # the lengths of items shorter than a window, at most size - 1 of them
+    lengths = texts(benchmark, "item_id").where("doc_id is not null").mapInPandas(_short_lengths(size), "n int").distinct()
+    hits = _windows_of(rows, "doc_id", wanted, size, tuple(sorted(r["n"] for r in lengths.collect())))
+    matched = materialize(hits.join(F.broadcast(items) if few and items.count() <= memory_windows else items, ["kind", "window"])
+                          .select("doc_id", "item_id", "kind", "item_at", "at", "item_slots", "slots"))
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: tuple | None = None
         pairs: list = []
 
         def result() -> pd.DataFrame:
-            return pd.DataFrame({"doc_id": [held[0]], "item_id": [held[1]],
-                                 "n_matched": [best_occurrence(pairs, held[2], similarity * held[2])]})
+            d, i, kind, n = held
+            return pd.DataFrame({"doc_id": [d], "item_id": [i], "kind": [kind], "n_matched": [
+                best_occurrence(pairs, n, similarity * n) if kind == TEMPLATE else len({w for w, *_ in pairs})]})
 
         for b in batches:
-            for d, i, n, w, p, s, t in zip(b["doc_id"], b["item_id"], b["n_windows"], b["item_at"], b["at"], b["item_slots"], b["slots"],
-                                           strict=True):
-                if (d, i, n) != held:
+            for d, i, kind, n, w, p, s, t in zip(b["doc_id"], b["item_id"], b["kind"], b["n_windows"], b["item_at"], b["at"],
+                                                 b["item_slots"], b["slots"], strict=True):
+                if (d, i, kind, n) != held:
                     if held is not None:
                         yield result()
-                    held, pairs = (d, i, n), []
+                    held, pairs = (d, i, kind, n), []
                 if len(s) == len(t):
                     pairs.append((w, p, list(s), list(t)))
         if held is not None:
             yield result()
 
     # pairs that hold too few different windows of the item cannot reach the share
-    enough = (matched.groupBy("doc_id", "item_id").agg(F.countDistinct("item_at").alias("n"))
-              .join(sizes, "item_id").where(F.col("n") >= similarity * F.col("n_windows")).select("doc_id", "item_id", "n_windows"))
+    by = ["doc_id", "item_id", "kind"]
+    enough = (matched.groupBy(*by).agg(F.countDistinct("item_at").alias("n"))
+              .join(sizes, ["item_id", "kind"]).where(F.col("n") >= similarity * F.col("n_windows")).select(*by, "n_windows"))
     enough = materialize(enough)
     whole_batches(docs.sparkSession)
-    checked = (matched.join(enough, ["doc_id", "item_id"])
-               .repartition("doc_id", "item_id").sortWithinPartitions("doc_id", "item_id", "at", "item_at")
-               .mapInPandas(verify, "doc_id long, item_id long, n_matched long"))
-    return (checked.join(enough, ["doc_id", "item_id"])
-            .withColumn("share", F.col("n_matched") / F.col("n_windows")).where(F.col("share") >= similarity)
-            .select("doc_id", "item_id", "n_windows", "n_matched", "share"))
+    checked = (matched.join(enough, by)
+               .repartition(*by).sortWithinPartitions(*by, "at", "item_at")
+               .mapInPandas(verify, "doc_id long, item_id long, kind byte, n_matched long"))
+    found = (checked.join(enough, by).withColumn("share", F.col("n_matched") / F.col("n_windows")).where(F.col("share") >= similarity))
+    best = F.max_by(F.struct("n_windows", "n_matched", "share"), F.struct("share", -F.col("kind"))).alias("b")
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.n_windows", "b.n_matched", "b.share")
+
+
+def _short_lengths(size: int):
+    """Numbers of words of texts that have fewer than `size`."""
+    def lengths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        canonical = Canonical()
+        for b in batches:
+            n = [len(canonical.tokens(t).ids) for t in b["text"]]
+            yield pd.DataFrame({"n": sorted({x for x in n if 0 < x < size})}).astype("int32")
+
+    return lengths
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
