@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from snapmill.catalog import sql as q
@@ -9,8 +11,11 @@ from snapmill.catalog.inputs import D, MANY, features_at, panel, xy_at
 from snapmill.catalog.registry import query
 from snapmill.catalog.sql import ctes, typed, u
 from snapmill.operators import features as f
+from snapmill.config import days_between
 from snapmill.operators import labels, sampling
+from snapmill.plans import incremental
 from snapmill.plans.training import make_training_set
+from snapmill.runtime import scratch_path
 from snapmill.sources import bindings as b
 
 DS = "DATE '2024-01-15'"
@@ -66,7 +71,7 @@ def purchase_window(spark, sf):
 
 
 MANY_SQL = ", ".join(f"DATE '{d}'" for d in MANY)
-RANGE_SQL = ctes("custs_all", "acct_base", "evts", "purs", extra={
+RANGE_BLOCKS = ctes("custs_all", "acct_base", "evts", "purs", extra={
     "custs_many": q.CUSTS_MANY,
     "cust_base": q.cust_base_sql("custs_many"),
     "acct_daily": q.acct_daily_sql(MANY_SQL),
@@ -74,7 +79,8 @@ RANGE_SQL = ctes("custs_all", "acct_base", "evts", "purs", extra={
     "event_window": q.event_window_sql(MANY_SQL),
     "purchase_window": q.purchase_window_sql(MANY_SQL),
     "features": q.FEATURES,
-}) + f"""
+})
+RANGE_SQL = RANGE_BLOCKS + f"""
 SELECT {typed(FEATURE_COLS, prefix='f.')}, {', '.join(
     f'cast(coalesce(p.{c}, 0) AS BIGINT) AS {c}' if c != 'TOTAL_PUR_AMT_F7D' else q.r(f'coalesce(p.{c}, 0)', c) for c in TARGET_COLS)}
 FROM features f LEFT JOIN purchase_window p ON p.CUST_ID = f.CUST_ID AND p.SNAP_DT = f.SNAP_DT"""
@@ -86,6 +92,24 @@ def features_range(spark, sf):
                             b.purchases(spark, sf))
 
 
+STEPPED = days_between(D, D + timedelta(days=2))
+STEPPED_SQL = RANGE_BLOCKS + f"SELECT {typed(FEATURE_COLS)} FROM features WHERE SNAP_DT BETWEEN DATE '{STEPPED[0]}' AND DATE '{STEPPED[-1]}'"
+
+
+@query("features_incremental", STEPPED_SQL)
+def features_incremental(spark, sf):
+    """Three dates from stored day states: each adds its own day to the states of the days before."""
+    states = incremental.FeatureStates(spark, scratch_path(spark, "states"))
+    account, events, customer = b.account(spark, sf), b.events(spark, sf), b.customer(spark, sf, STEPPED)
+    states.advance(days_between(STEPPED[0] - timedelta(days=7), STEPPED[0] - timedelta(days=1)), account, events)
+    out = None
+    for d in STEPPED:
+        states.add_day(d, account, events)
+        rows = states.features(customer, d)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("label_rule", ctes("positives") + f"SELECT {typed(['CUST_ID', 'SNAP_DT', *TARGET_COLS])} FROM positives")
 def label_rule(spark, sf):
     return labels.label_rule(f.purchase_window(b.purchases(spark, sf), D))

@@ -15,7 +15,8 @@ from snapmill.sources import bindings as b
 from snapmill.sources.store import SnapshotTable
 
 D = b.REFERENCE_DATE
-MANY = days_between(date(2024, 1, 12), date(2024, 1, 18))
+# every date that the event table holds
+MANY = days_between(date(2024, 1, 1), date(2024, 1, 30))
 
 _written: dict[tuple, object] = {}
 

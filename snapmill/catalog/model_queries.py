@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from snapmill.catalog.inputs import D, features_at, once, xy_written
+from snapmill.catalog.inputs import once, xy_written
 from snapmill.catalog.registry import query
 from snapmill.catalog.sql import ctes, r, typed
 from snapmill.operators import calendar as cal
@@ -14,10 +14,8 @@ from snapmill.operators import evaluate as ev
 from snapmill.operators import explain as ex
 from snapmill.operators import model as m
 from snapmill.operators import select as fs
-from snapmill.plans import scoring, training
-from snapmill.runtime import scratch_path
+from snapmill.plans import training
 from snapmill.sources.bindings import table
-from snapmill.sources.store import SnapshotTable
 
 # --- selection --------------------------------------------------------------------------------
 
@@ -96,33 +94,31 @@ def fsel_filter(spark, sf):
     return _rows(spark, [(i, c) for i, c in enumerate(kept)], "POSITION int, COLUMN string")
 
 
-WRAPPED = ["GENDER", "SUPER_CITY", "AGE", "TENURE", "TOTAL_COMP", "NUM_EVENT_7D"]
-
-
 def _ready(spark, sf):
-    """Selector inputs over a few columns, written once for the four wrappers."""
-    xy = xy_written(spark, sf).select("CUST_ID", "SNAP_DT", "CONV_7D", *WRAPPED)
-    return once(spark, ("wrapper", sf), lambda: fs.wrapper_inputs(xy, "CONV_7D"))
+    """Selector inputs over all features, written once for the wrappers."""
+    return once(spark, ("wrapper", sf), lambda: fs.wrapper_inputs(xy_written(spark, sf), "CONV_7D"))
 
 
 @query("fsel_rfe")
 def fsel_rfe(spark, sf):
-    return fs.fsel_rfe(*_ready(spark, sf), 3, "logistic").rows(spark)
+    ready, cols = _ready(spark, sf)
+    return fs.fsel_rfe(ready, cols, len(cols) // 2, fs.MOMENTS).rows(spark)
 
 
 @query("fsel_rfecv")
 def fsel_rfecv(spark, sf):
-    return fs.fsel_rfecv(*_ready(spark, sf), 4, "logistic").rows(spark)
+    return fs.fsel_rfecv(*_ready(spark, sf), 1, fs.MOMENTS).rows(spark)
 
 
 @query("fsel_forward")
 def fsel_forward(spark, sf):
-    return fs.fsel_forward(*_ready(spark, sf), 1, "logistic").rows(spark)
+    return fs.fsel_forward(*_ready(spark, sf), 6, fs.MOMENTS).rows(spark)
 
 
 @query("fsel_backward")
 def fsel_backward(spark, sf):
-    return fs.fsel_backward(*_ready(spark, sf), 5, "logistic").rows(spark)
+    ready, cols = _ready(spark, sf)
+    return fs.fsel_backward(ready, cols, len(cols) - 6, fs.MOMENTS, scoring="average_precision").rows(spark)
 
 
 @query("fsel_embedded")
@@ -199,25 +195,6 @@ def calib_isotonic(spark, sf):
     return _scored(spark, sf, "linear", "isotonic")
 
 
-@query("score_batch")
-def score_batch(spark, sf):
-    """Save a model, pick it from a calendar, score the snapshot and insert it; read it back."""
-    path = scratch_path(spark, "model")
-    trained(spark, sf).save(path, spark)
-    week = table(spark, sf, "events").agg(
-        F.date_trunc("week", F.min("ts")).cast("timestamp_ntz").alias("START_TS"),
-        F.max("ts").cast("timestamp_ntz").alias("END_TS")).select(F.lit("m1").alias("MODEL_ID"), "START_TS", "END_TS")
-    sink = SnapshotTable(spark, scratch_path(spark, "scoring"))
-    scoring.run_scoring(features_at(spark, sf), week, {"m1": path}, sink, D)
-    return sink.read(D)
-
-
-@query("eval_compute")
-def eval_compute(spark, sf):
-    """The long score table both curve and metric operators read."""
-    return training.evaluate(trained(spark, sf), {"all": xy_written(spark, sf)})
-
-
 @query("coef_imp")
 def coef_imp(spark, sf):
     model = trained(spark, sf)

@@ -9,6 +9,7 @@ from snapmill.catalog.registry import query
 from snapmill.catalog.sql import ctes, r
 from snapmill.operators import prep
 from snapmill.operators import profile as p
+from snapmill.operators import states as st
 from snapmill.sources.bindings import table
 
 LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -88,6 +89,23 @@ def eda_numeric(spark, sf):
     return p.eda_numeric(lineitem(spark, sf), ["l_quantity", "l_extendedprice"], p.NumericAttr(log_scale=True))
 
 
+STATE_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def _state_sql(c: str) -> str:
+    return f"""SELECT '{c}' AS "COLUMN", unnest([{", ".join(
+        f"{{'s': '{k}', 'v': cast({e} AS DOUBLE)}}" for k, e in {
+            "TOTAL": "count(*)", "MISSING": f"count(*) - count({c})", "ZEROS": f"count(*) FILTER ({c} = 0)", "INFS_POS": "0", "INFS_NEG": "0",
+            "MEAN": f"avg(cast({c} AS DOUBLE))", "MIN": f"min({c})", "MAX": f"max({c})", "STD": f"stddev_samp({c})"}.items())}]) AS u FROM lineitem"""
+
+
+@query("eda_states", " UNION ALL ".join(f'SELECT "COLUMN", u.s AS STAT, round(u.v, 4) + 0.0 AS VALUE FROM ({_state_sql(c)})' for c in STATE_COLS), digits=4)
+def eda_states(spark, sf):
+    """States of each ship month, merged to the whole table; the quantiles are approximate and tested apart."""
+    monthly = st.profile_states(lineitem(spark, sf).withColumn("MONTH", F.date_format("l_shipdate", "yyyy-MM")), STATE_COLS, by=["MONTH"])
+    return st.state_profile(st.merge_states(monthly), probs=[]).where("STAT NOT IN ('SKEW', 'KURT')")
+
+
 GUESS = {"l_orderkey": "num", "l_linenumber": "num", "l_quantity": "num", "l_returnflag": "txt", "l_linestatus": "txt",
          "l_shipdate": "other", "l_discount": "num"}
 

@@ -50,7 +50,7 @@ CUSTS = f"SELECT *, {D} AS SNAP_DT FROM custs_all"
 
 # several snapshots of every customer, for the many-dates queries
 CUSTS_MANY = """
-SELECT custs_all.*, cast(unnest(generate_series(DATE '2024-01-12', DATE '2024-01-18', INTERVAL 1 DAY)) AS DATE) AS SNAP_DT
+SELECT custs_all.*, cast(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS SNAP_DT
 FROM custs_all"""
 
 

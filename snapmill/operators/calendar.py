@@ -55,9 +55,9 @@ def calendar_gapfill(calendar: DataFrame, prod_id: str) -> DataFrame:
 def model_pick(dates: DataFrame, calendar: DataFrame, dt: str, prod_id: str | None = None) -> DataFrame:
     """dates with the MODEL_ID in force at 00:00 of dt; outside every interval the production model.
 
-    A calendar of at most RANGE_ROWS intervals is broadcast and compared as ranges, so an interval of
-    any length is one row. Beyond that, intervals become the midnights they contain, and the condition
-    is an equality on the date. Fails when a date has no model and there is no production model.
+    A calendar of at most RANGE_ROWS intervals is broadcast and compared as ranges. Beyond that the distinct
+    dates and the interval starts are swept in one order (in_force). Intervals must not overlap, as
+    calendar_put keeps them. Fails when a date has no model and there is no production model.
     """
     fallback = F.lit(prod_id) if prod_id is not None else F.raise_error(
         F.lit("no model in the calendar or in production for a date")).cast("string")
@@ -66,10 +66,29 @@ def model_pick(dates: DataFrame, calendar: DataFrame, dt: str, prod_id: str | No
         at = F.col(dt).cast("timestamp_ntz")
         found = dates.join(F.broadcast(calendar), (at >= F.col("START_TS")) & (at < F.col("END_TS")), "left")
         return found.select(*dates.columns, F.coalesce("MODEL_ID", fallback).alias("MODEL_ID"))
-    midnights = F.sequence(F.to_date(F.col("START_TS") + F.expr("interval 1 day") - F.expr("interval 1 microsecond")),
-                           F.to_date(F.col("END_TS") - F.expr("interval 1 microsecond")))
-    in_force = F.to_date(F.col("START_TS") + F.expr("interval 1 day") - F.expr("interval 1 microsecond"))
-    days = (calendar.where(in_force.cast("timestamp_ntz") < F.col("END_TS"))
-            .select("MODEL_ID", F.explode(midnights).alias(dt)))
-    picked = lookup_join(dates, days, [dt])
+    picked = lookup_join(dates, in_force(dates.select(dt).where(F.col(dt).isNotNull()).distinct(), calendar, dt), [dt])
     return picked.withColumn("MODEL_ID", F.coalesce("MODEL_ID", fallback))
+
+
+def in_force(days: DataFrame, calendar: DataFrame, dt: str) -> DataFrame:
+    """(dt, MODEL_ID) of the distinct days that lie in an interval, by a sweep.
+
+    Interval starts and midnights form one order in range partitions. A midnight takes the last interval
+    that started before it, from its own partition or, over a table with one row per partition, from an
+    earlier one, and keeps it if it has not ended. Work is the sort; an interval of any length is one row.
+    """
+    n = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    interval = F.struct("START_TS", "END_TS", "MODEL_ID")
+    starts = calendar.where("START_TS < END_TS").select(F.col("START_TS").alias("_AT"), F.lit(0).alias("_KIND"), interval.alias("_LAST"),
+                                                        F.lit(None).cast("date").alias(dt))
+    asked = days.select(F.col(dt).cast("timestamp_ntz").alias("_AT"), F.lit(1).alias("_KIND"),
+                        F.lit(None).cast(starts.schema["_LAST"].dataType).alias("_LAST"), F.col(dt).cast("date").alias(dt))
+    # a start at a midnight comes before it
+    ranged = materialize(starts.unionByName(asked).repartitionByRange(n, "_AT", "_KIND").withColumn("_PART", F.spark_partition_id()))
+    # one row per partition: its last start, and the last one of all earlier partitions
+    lasts = ranged.groupBy("_PART").agg(F.max_by("_LAST", F.when(F.col("_KIND") == 0, F.struct("_AT", "_LAST"))).alias("_TOP"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_PART").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lasts.select("_PART", F.last("_TOP", ignorenulls=True).over(earlier).alias("_CARRIED"))
+    so_far = Window.partitionBy("_PART").orderBy("_AT", "_KIND", "_LAST").rowsBetween(Window.unboundedPreceding, 0)
+    found = ranged.join(F.broadcast(carried), "_PART").withColumn("_OPEN", F.coalesce(F.last("_LAST", ignorenulls=True).over(so_far), "_CARRIED"))
+    return found.where((F.col("_KIND") == 1) & (F.col("_AT") < F.col("_OPEN.END_TS"))).select(dt, F.col("_OPEN.MODEL_ID").alias("MODEL_ID"))

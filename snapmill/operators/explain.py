@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from pyspark.ml import Model
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmill.functions.exprs import hash32, row_key
+from snapmill.operators.compiled import compile_model
 from snapmill.operators.evaluate import eval_auc
-from snapmill.operators.model import VECTOR, class_probabilities
+from snapmill.runtime import materialize
 
 TOP_FEATURES = 50
-BLOCK_ROWS = 10_000
 
 
 def explain_linear(df: DataFrame, weights: dict[str, float], keep: list[str],
@@ -34,41 +33,47 @@ def explain_global(attributions: DataFrame, cols: list[str], top: int = TOP_FEAT
     return rows.orderBy(F.col("MEAN_ABS").desc_nulls_last(), "COLUMN").limit(top)
 
 
-def permuted(df: DataFrame, cols: list[str], keys: list[str], n_rows: int, seed: int = 0,
-             block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """df with <c>_PERM: each column's values moved by one place in a random cycle.
+def permuted(df: DataFrame, cols: list[str], keys: list[str], seed: int = 0) -> DataFrame:
+    """df with <c>_PERM: each column's values moved by one place in one random cycle of all rows.
 
-    Rows are dealt at random into blocks of about block_rows and shifted inside their block in
-    hash order, which is a permutation of the whole column. All columns share one shuffle.
+    Rows are ordered by a hash of their keys in range partitions, written once so that a partition's number
+    stays valid. Inside a partition a row takes the next row's values, a partition's last row takes those of
+    the next partition's first row, and the very last row those of the very first.
     """
-    blocks = max(1, n_rows // block_rows)
-    key = row_key(keys)
-    hashed = df.withColumns({"_B": hash32(key, seed) % blocks, "_H": hash32(key, seed + 1)})
-    order = Window.partitionBy("_B").orderBy("_H", *keys)
-    first = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return hashed.select(*df.columns, *[
-        F.when(F.lead(F.lit(True)).over(order).isNull(), F.first(c).over(first)).otherwise(F.lead(c).over(order))
-        .alias(f"{c}_PERM") for c in cols])
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    ordered = df.withColumns({"_O": F.struct(hash32(row_key(keys), seed).alias("h"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]),
+                              "_V": values})
+    ranged = materialize(ordered.repartitionByRange(n, "_O").withColumn("_PART", F.spark_partition_id()))
+    # one row per partition
+    firsts = ranged.groupBy("_PART").agg(F.min_by("_V", "_O").alias("_FIRST"))
+    parts = Window.partitionBy(F.lit(0)).orderBy("_PART")
+    whole = parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    onward = firsts.select("_PART", F.coalesce(F.lead("_FIRST").over(parts), F.first("_FIRST").over(whole)).alias("_ON"))
+    inside = Window.partitionBy("_PART").orderBy("_O")
+    moved = ranged.join(F.broadcast(onward), "_PART").withColumn("_N", F.coalesce(F.lead("_V").over(inside), "_ON"))
+    return moved.select(*df.columns, *[F.col(f"_N.v{i}").alias(f"{c}_PERM") for i, c in enumerate(cols)])
 
 
 def explain_tree(model: Model, df: DataFrame, features: list[str], label: str, keys: list[str],
                  seed: int = 0) -> DataFrame:
     """(COLUMN, AUC_DROP): loss of ROC-AUC when a feature's values are permuted.
 
-    All features are scored in one pass: a row becomes one row per feature with that feature
-    replaced, plus the unchanged one.
+    A row is repeated once per feature with that feature replaced, and once unchanged, but only while it
+    streams through the model's expression; what is shuffled is the column's number, the label and the score.
     """
-    n_rows = df.count()
-    wide = permuted(df.select(*keys, label, *features), features, keys, n_rows, seed)
-    variants = [F.struct(F.lit(name).alias("COLUMN"), *[
-        F.col(f"{c}_PERM" if c == name else c).cast("double").alias(c) for c in features]) for name in ["", *features]]
-    rows = wide.select(F.col(label).cast("int").alias("Y"), F.inline(F.array(*variants)))
-    vectors = VectorAssembler(inputCols=features, outputCol=VECTOR).transform(rows).select("COLUMN", "Y", VECTOR)
-    scored = class_probabilities(model, vectors, 2).select("COLUMN", "Y", F.col("PROB_CLS1").alias("SCORE"))
-    auc = eval_auc(scored, ["COLUMN"])
+    compiled = compile_model(model, features)
+    wide = permuted(df.select(*keys, label, *features), features, keys, seed)
+    turn = wide.withColumn("_I", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
+    rows = turn.select("_I", F.col(label).cast("int").alias("Y"), *[
+        F.when(F.col("_I") == i + 1, F.col(f"{c}_PERM")).otherwise(F.col(c)).cast("double").alias(c) for i, c in enumerate(features)])
+    scored = compiled.score(rows, ["_I", "Y"]).select("_I", "Y", F.col("PROB_CLS1").alias("SCORE"))
+    auc = eval_auc(scored, ["_I"])
     # one row per feature and one for the unchanged rows
-    base = F.max(F.when(F.col("COLUMN") == "", F.col("ROC_AUC"))).over(Window.partitionBy(F.lit(0)))
-    return (auc.select("COLUMN", (base - F.col("ROC_AUC")).alias("AUC_DROP")).where(F.col("COLUMN") != ""))
+    base = F.max(F.when(F.col("_I") == 0, F.col("ROC_AUC"))).over(Window.partitionBy(F.lit(0)))
+    names = F.array(*[F.lit(c) for c in features])
+    return (auc.select("_I", (base - F.col("ROC_AUC")).alias("AUC_DROP")).where("_I > 0")
+            .select(F.element_at(names, F.col("_I")).alias("COLUMN"), "AUC_DROP"))
 
 
 def input_validate(df: DataFrame, required: T.StructType) -> DataFrame:

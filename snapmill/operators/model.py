@@ -17,6 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmill.functions.exprs import hash32, logistic
+from snapmill.operators.boosting import SoftmaxBoosting
+from snapmill.operators.evaluate import class_scores, eval_scores
+from snapmill.operators.ranked import running_sums
 from snapmill.runtime import collect_bounded
 
 VECTOR, RAW, PROB, PRED = "V", "rawPrediction", "probability", "prediction"
@@ -81,11 +84,11 @@ def assembled(df: DataFrame, features: list[str], label: str, keep: list[str] |
     return out.select(*(keep or []), VECTOR, F.col(label).cast("double").alias(LABEL), weight.alias(WEIGHT))
 
 
-def tree_estimator(params: TreeParams, seed: int = 0):
+def tree_estimator(params: TreeParams, seed: int = 0, n_classes: int = 2):
     if params.boosting_type not in ("gbdt", "rf"):
         raise ValueError("boosting_type must be gbdt or rf; dart and goss are not offered")
-    if params.boosting_type == "gbdt" and params.objective == "multiclass":
-        raise ValueError("boosting is offered for two classes; use boosting_type rf for more")
+    if params.boosting_type == "gbdt" and (params.objective == "multiclass" or n_classes > 2):
+        return SoftmaxBoosting(n_classes, maxIter=params.n_estimators, seed=seed, features=VECTOR, label=LABEL, weight=WEIGHT)
     if params.boosting_type == "rf":
         return RandomForestClassifier(featuresCol=VECTOR, labelCol=LABEL, weightCol=WEIGHT, seed=seed,
                                       numTrees=params.n_estimators, maxDepth=5)
@@ -103,8 +106,8 @@ def linear_estimator(params: LinearParams):
     raise ValueError("loss must be log or hinge; the other losses have no distributed solver here")
 
 
-def estimator_for(params: TreeParams | LinearParams, seed: int = 0):
-    return tree_estimator(params, seed) if isinstance(params, TreeParams) else linear_estimator(params)
+def estimator_for(params: TreeParams | LinearParams, seed: int = 0, n_classes: int = 2):
+    return tree_estimator(params, seed, n_classes) if isinstance(params, TreeParams) else linear_estimator(params)
 
 
 def search_space(estimator) -> dict[str, tuple]:
@@ -112,6 +115,9 @@ def search_space(estimator) -> dict[str, tuple]:
     if isinstance(estimator, GBTClassifier):
         return {"stepSize": ("log", 0.001, 0.35), "maxDepth": ("int", 3, 12), "subsamplingRate": ("lin", 0.3, 1.0),
                 "minInfoGain": ("log", 1e-3, 1e2), "minInstancesPerNode": ("int", 1, 20), "featureSubsetStrategy": ("share", 0.3, 1.0)}
+    if isinstance(estimator, SoftmaxBoosting):
+        return {"stepSize": ("log", 0.001, 0.35), "maxDepth": ("int", 3, 12), "subsamplingRate": ("lin", 0.3, 1.0),
+                "minInfoGain": ("log", 1e-3, 1e2), "minInstancesPerNode": ("int", 1, 20), "regParam": ("log", 1e-6, 1e2)}
     if isinstance(estimator, RandomForestClassifier):
         return {"maxDepth": ("int", 3, 12), "subsamplingRate": ("lin", 0.3, 1.0),
                 "minInfoGain": ("log", 1e-3, 1e2), "minInstancesPerNode": ("int", 1, 20)}
@@ -140,18 +146,47 @@ def random_trials(estimator, n: int, seed: int = 0) -> list[dict]:
     return trials[:n]
 
 
-def fold_column(entity: str, k: int, seed: int = 0) -> Column:
-    """Fold of an entity: all its rows share it, so no entity is in two folds."""
-    return (hash32(F.col(entity), seed) % k).cast("int")
+def stratified_folds(df: DataFrame, entity: str, label: str, k: int, seed: int = 0) -> DataFrame:
+    """(entity, FOLD): every entity in one fold, with the classes' rows spread evenly over the folds.
+
+    Entities are put in one order by how many rows of each class they have: of the rarest class descending,
+    of the next class descending or ascending by turns, and so on; equals by hash. They are then dealt to
+    the folds to and fro (0 1 2 2 1 0 0 ...). Entities with the same counts are so shared out to within one,
+    and along the order neighbouring counts make up for each other. The order is a range partition with
+    running counts, so a common histogram is not one task's work. Rows without a label do not count, rows
+    without an entity get no fold.
+    """
+    labelled = df.where(F.col(label).isNotNull() & F.col(entity).isNotNull())
+    totals = collect_bounded(labelled.groupBy(label).count(), 1000, "classes")
+    classes = [r[label] for r in sorted(totals, key=lambda r: (r["count"], str(r[label])))]
+    counts = labelled.groupBy(entity).agg(*[F.count_if(F.col(label) == F.lit(c)).alias(f"_N{i}") for i, c in enumerate(classes)])
+    order, before = [], F.lit(0)
+    for i in range(len(classes)):
+        n = F.col(f"_N{i}")
+        order.append(-n if i == 0 else F.when(before % 2 == 0, -n).otherwise(n))
+        before = before + n
+    keyed = counts.select(entity, F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)], hash32(F.col(entity), seed).alias("h"),
+                                           F.col(entity).alias("e")).alias("_ORDER"), F.lit(1).alias("_ONE"))
+    at = F.pmod(F.col("CUM__ONE") - 1, F.lit(2 * k))
+    return running_sums(keyed, [], "_ORDER", ["_ONE"]).select(
+        entity, F.when(at < k, at).otherwise(2 * k - 1 - at).cast("int").alias("FOLD"))
 
 
 def tune_group_cv(data: DataFrame, estimator, tune: TuneParams = TuneParams(), seed: int = 0,
-                  fold: str = "FOLD", parallelism: int = 2) -> tuple[list[tuple[int, dict, float]], dict]:
-    """(trials, best parameters) of a random search scored by grouped cross-validation."""
+                  fold: str = "FOLD", parallelism: int = 2, n_classes: int = 2) -> tuple[list[tuple[int, dict, float]], dict]:
+    """(trials, best parameters) of a random search scored by cross-validation over a stored fold column.
+
+    The folds of stratified_folds keep an entity together and the classes balanced. With more than two
+    classes the score is the mean over the classes, each against the others.
+    """
     metric = {"roc_auc": "areaUnderROC", "average_precision": "areaUnderPR"}.get(tune.scoring)
     if metric is None:
         raise ValueError("scoring must be roc_auc or average_precision")
     maps = random_trials(estimator, tune.n_trials, seed)
+    if n_classes > 2:
+        scores = [_multiclass_score(data, with_params(estimator, {_name(p): v for p, v in m.items()}), tune, fold, n_classes) for m in maps]
+        trials = [(i, {_name(p): v for p, v in m.items()}, s) for i, (m, s) in enumerate(zip(maps, scores, strict=True))]
+        return trials, max(trials, key=lambda t: (t[2], -t[0]))[1]
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, numFolds=tune.n_cv, foldCol=fold,
                         evaluator=BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol=RAW, metricName=metric),
                         parallelism=parallelism, seed=seed)
@@ -161,6 +196,22 @@ def tune_group_cv(data: DataFrame, estimator, tune: TuneParams = TuneParams(), s
     return trials, best[1]
 
 
+def _name(param) -> str:
+    return param if isinstance(param, str) else param.name
+
+
+def _multiclass_score(data: DataFrame, estimator, tune: TuneParams, fold: str, n_classes: int) -> float:
+    """Mean over folds and classes of a class's score against the others."""
+    found = []
+    for f in range(tune.n_cv):
+        model = estimator.fit(data.where(F.col(fold) != f))
+        scored = class_probabilities(model, data.where(F.col(fold) == f).select(LABEL, VECTOR), n_classes)
+        stats = eval_scores(class_scores(scored, n_classes, [], LABEL, "PROB_CLS"), ["CLS"])
+        column = "ROC_AUC" if tune.scoring == "roc_auc" else "PR_AUC"
+        found += [r[0] for r in collect_bounded(stats.select(column), n_classes, "class scores") if r[0] is not None]
+    return sum(found) / len(found) if found else float("-inf")
+
+
 def with_params(estimator, params: dict):
     return estimator.copy({estimator.getParam(k): v for k, v in params.items()})
 

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from snapmill.config import DEFAULT, EntityConfig
 from snapmill.functions.exprs import hash32
+from snapmill.operators import subset
 from snapmill.operators.prep import BINARY_FILL, column_kind, fit_median, fit_woe, prep_impute_median, enc_woe
 from snapmill.operators.profile import binarized
 from snapmill.operators.ranked import long_form
@@ -31,6 +32,8 @@ P_THRESHOLD = 0.05
 DENDRO_THRESHOLD = 0.7
 TOP_K_CLUSTER = 2
 CV_FOLDS = 3
+# the learner whose candidate subsets are all scored from one set of moments, see subset
+MOMENTS = "moments"
 
 
 def fsel_preselected(df: DataFrame, selected: list[str], cfg: EntityConfig = DEFAULT, tuning: bool = False) -> DataFrame:
@@ -237,7 +240,7 @@ def learner(kind: str, label: str, seed: int = 0):
         return LinearSVC(labelCol=label, featuresCol="V", standardization=True)
     if kind == "logistic":
         return LogisticRegression(labelCol=label, featuresCol="V")
-    raise ValueError("base learner must be linear, logistic or forest")
+    raise ValueError("base learner must be linear, logistic, forest or, for wrappers, moments")
 
 
 def wrapper_inputs(df: DataFrame, label: str, cfg: EntityConfig = DEFAULT, sigma: float = 0.05, seed: int = 0,
@@ -269,9 +272,19 @@ def importances(model, n: int) -> list[float]:
     return [abs(float(x)) for x in model.coefficients.toArray()[:n]]
 
 
-def cv_score(ready: DataFrame, cols: list[str], kind: str, seed: int = 0, folds: int = CV_FOLDS) -> float:
-    """Mean ROC-AUC over the folds. Folds are a stored column of the entity hash."""
-    metric = BinaryClassificationEvaluator(labelCol="Y", rawPredictionCol="rawPrediction")
+def evaluator(scoring: str):
+    """The evaluator of a score name; the label column is Y."""
+    if scoring == "accuracy":
+        return MulticlassClassificationEvaluator(labelCol="Y", metricName="accuracy")
+    metric = {"roc_auc": "areaUnderROC", "average_precision": "areaUnderPR"}.get(scoring)
+    if metric is None:
+        raise ValueError("scoring must be roc_auc, average_precision or accuracy")
+    return BinaryClassificationEvaluator(labelCol="Y", rawPredictionCol="rawPrediction", metricName=metric)
+
+
+def cv_score(ready: DataFrame, cols: list[str], kind: str, seed: int = 0, folds: int = CV_FOLDS, scoring: str = "roc_auc") -> float:
+    """Mean score over the folds. Folds are a stored column of the entity hash."""
+    metric = evaluator(scoring)
     data = VectorAssembler(inputCols=cols, outputCol="V").transform(ready).select("V", "Y", "FOLD")
     scores = []
     for f in range(folds):
@@ -292,28 +305,36 @@ def _eliminate(ready: DataFrame, cols: list[str], n: int, kind: str, seed: int)
 
 def fsel_rfe(ready: DataFrame, cols: list[str], n_features: int, kind: str = "forest", seed: int = 0) -> Selection:
     """Drop the least important column until n_features are left."""
+    if kind == MOMENTS:
+        left, trace, _ = subset.eliminate(subset.fold_moments(ready, cols, CV_FOLDS).trainer(None), cols, n_features)
+        return Selection(left, trace)
     return _eliminate(ready, cols, n_features, kind, seed)
 
 
-def fsel_rfecv(ready: DataFrame, cols: list[str], min_features: int, kind: str = "forest", seed: int = 0) -> Selection:
+def fsel_rfecv(ready: DataFrame, cols: list[str], min_features: int, kind: str = "forest", seed: int = 0,
+               scoring: str = "roc_auc") -> Selection:
     """Eliminate down to min_features, cross-validate every size on the way, keep the best size."""
+    if kind == MOMENTS:
+        return Selection(*subset.eliminate_cv(ready, cols, min_features, CV_FOLDS, scoring))
     order = [c for _, c, _ in _eliminate(ready, cols, min_features, kind, seed).trace]
     best, trace = None, []
     for step in range(len(order) + 1):
         left = [c for c in cols if c not in order[:step]]
-        score = cv_score(ready, left, kind, seed)
+        score = cv_score(ready, left, kind, seed, scoring=scoring)
         trace.append((len(left), order[step] if step < len(order) else "", score))
         if best is None or score >= best[0]:
             best = (score, left)
     return Selection(best[1], trace)
 
 
-def _sequential(ready: DataFrame, cols: list[str], n: int, kind: str, seed: int, forward: bool) -> Selection:
+def _sequential(ready: DataFrame, cols: list[str], n: int, kind: str, seed: int, forward: bool, scoring: str) -> Selection:
+    if kind == MOMENTS:
+        return Selection(*subset.sequential(ready, cols, n, CV_FOLDS, scoring, forward))
     chosen = [] if forward else list(cols)
     trace = []
     while len(chosen) < n if forward else len(chosen) > n:
         candidates = [c for c in cols if c not in chosen] if forward else list(chosen)
-        tried = [(cv_score(ready, [*chosen, c] if forward else [x for x in chosen if x != c], kind, seed), c)
+        tried = [(cv_score(ready, [*chosen, c] if forward else [x for x in chosen if x != c], kind, seed, scoring=scoring), c)
                  for c in candidates]
         score, pick = max(tried, key=lambda t: (t[0], t[1]))
         chosen = [*chosen, pick] if forward else [x for x in chosen if x != pick]
@@ -321,14 +342,19 @@ def _sequential(ready: DataFrame, cols: list[str], n: int, kind: str, seed: int,
     return Selection(chosen, trace)
 
 
-def fsel_forward(ready: DataFrame, cols: list[str], n_features: int, kind: str = "forest", seed: int = 0) -> Selection:
-    """Add the column that raises the cross-validated score most, until n_features are chosen."""
-    return _sequential(ready, cols, n_features, kind, seed, forward=True)
+def fsel_forward(ready: DataFrame, cols: list[str], n_features: int, kind: str = "forest", seed: int = 0,
+                 scoring: str = "roc_auc") -> Selection:
+    """Add the column that raises the cross-validated score most, until n_features are chosen.
+
+    kind "moments" scores all candidates of a step together; the others fit one model per candidate and fold.
+    """
+    return _sequential(ready, cols, n_features, kind, seed, forward=True, scoring=scoring)
 
 
-def fsel_backward(ready: DataFrame, cols: list[str], n_features: int, kind: str = "forest", seed: int = 0) -> Selection:
+def fsel_backward(ready: DataFrame, cols: list[str], n_features: int, kind: str = "forest", seed: int = 0,
+                  scoring: str = "roc_auc") -> Selection:
     """Remove the column whose loss hurts the score least, until n_features are left."""
-    return _sequential(ready, cols, n_features, kind, seed, forward=False)
+    return _sequential(ready, cols, n_features, kind, seed, forward=False, scoring=scoring)
 
 
 def fsel_embedded(ready: DataFrame, cols: list[str], threshold: str | float | None = None, kind: str = "forest",

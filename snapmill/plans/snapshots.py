@@ -97,7 +97,8 @@ class Warehouse:
         """Make one snapshot: 'present' if it was there already, else 'written'.
 
         complete: raise MissingUpstream unless every upstream partition exists; without it, at least one
-        partition of each upstream must. A snapshot that breaks a check is removed again.
+        partition of each upstream must. The snapshot is written and checked before it becomes visible: one
+        that breaks a check is discarded, and if another run has published the date meanwhile, that one stays.
         """
         target = self.table(step.name)
         if target.succeeded(d):
@@ -112,13 +113,16 @@ class Warehouse:
         if gaps:
             raise MissingUpstream(f"{step.name} {d} needs {', '.join(gaps)}")
         schema = schemas.declared_schema(step.layer, step.table)
-        target.overwrite(schemas.schema_conform(step.query(self.inputs(step, d), d), schema), d)
+        version = target.stage(schemas.schema_conform(step.query(self.inputs(step, d), d), schema), d)
         required = [x.name for x in schema if not x.nullable]
-        checks = schemas.post_check(target.read(d), step.name, schemas.key_columns(schema), required)
+        checks = schemas.post_check(target.staged(version), step.name, schemas.key_columns(schema), required)
         bad = [f"{r.check}: {r.n_bad}" for r in checks.where("n_bad > 0").collect()]
         if bad:
-            target.overwrite(target.all().limit(0), d)
+            target.discard(version)
             raise CheckFailed(f"{step.name} {d}: {', '.join(bad)}")
+        if not target.publish(version, replace=False):
+            target.discard(version)
+            return "present"
         return "written"
 
     def run_range(self, steps: Iterable[Step], dates: Iterable[date], complete: bool = True) -> dict[tuple[str, date], str]:

@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.ml import Model
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +15,13 @@ from pyspark.sql import functions as F
 
 from snapmill.config import DEFAULT, EntityConfig
 from snapmill.operators import sampling
+from snapmill.operators.boosting import SoftmaxBoostingModel
+from snapmill.operators.compiled import CompiledModel, compile_model
 from snapmill.operators.evaluate import class_scores, eval_auc
 from snapmill.operators.labels import joined_xy
 from snapmill.operators.model import (
     LABEL, VECTOR, Calibration, LabelEncoding, LinearParams, TreeParams, TuneParams, assembled, calib_isotonic,
-    calib_sigmoid, class_probabilities, estimator_for, fit_label_encoding, fold_column, tune_group_cv, with_params,
+    calib_sigmoid, class_probabilities, estimator_for, fit_label_encoding, stratified_folds, tune_group_cv, with_params,
 )
 from snapmill.operators.prep import TablePrep, fit_by_dtype, prep_from_profile
 from snapmill.operators.select import FilterOptions, fsel_filter
@@ -69,10 +70,18 @@ class TrainedModel:
 
     columns: list[str]
     prep: TablePrep
-    model: Model
+    model: Model | SoftmaxBoostingModel | None
     calibration: Calibration
     encoding: LabelEncoding
     trials: list = field(default_factory=list)
+    scorer: CompiledModel | None = None
+
+    @property
+    def compiled(self) -> CompiledModel:
+        """The classifier as expressions, made once."""
+        if self.scorer is None:
+            self.scorer = compile_model(self.model, self.features)
+        return self.scorer
 
     @property
     def features(self) -> list[str]:
@@ -82,10 +91,14 @@ class TrainedModel:
         return self.prep.transform(df, keep)
 
     def score(self, df: DataFrame, keep: list[str]) -> DataFrame:
-        """keep..., PROB_CLS0.. and CALIB_CLS0.. per row. The keys stay on their row."""
+        """keep..., PROB_CLS0.. and CALIB_CLS0.. per row. The keys stay on their row.
+
+        A projection: the classifier is compiled to expressions, so no fitted model travels with the tasks.
+        """
         n = len(self.encoding.classes)
-        x = VectorAssembler(inputCols=self.features, outputCol=VECTOR).transform(self.prepared(df, keep))
-        probs = class_probabilities(self.model, x.select(*keep, VECTOR), n)
+        if self.compiled.n_classes != n:
+            raise ValueError(f"the labels have {n} classes, the model {self.compiled.n_classes}")
+        probs = self.compiled.score(self.prepared(df, keep), keep)
         calibrated = self.calibration.transform(probs, n)
         return calibrated.select(*keep, *[f"PROB_CLS{i}" for i in range(n)], *[f"CALIB_CLS{i}" for i in range(n)])
 
@@ -93,10 +106,12 @@ class TrainedModel:
         """A folder with the parameters as text and the fitted models as pyspark.ml folders."""
         curves = [] if self.calibration.method == "isotonic" else self.calibration.curves
         doc = json.dumps({"columns": self.columns, "prep": self.prep.to_json(), "classes": self.encoding.classes,
-                          "method": self.calibration.method, "curves": curves,
+                          "method": self.calibration.method, "curves": curves, "compiled": self.compiled.to_json(), "fitted": self.model is not None,
+                          "boosted": self.model.to_json() if isinstance(self.model, SoftmaxBoostingModel) else None,
                           "n_curves": len(self.calibration.curves)})
         spark.createDataFrame([(doc,)], "DOC string").coalesce(1).write.mode("overwrite").text(f"{path}/doc")
-        self.model.write().overwrite().save(f"{path}/model")
+        if self.model is not None and not isinstance(self.model, SoftmaxBoostingModel):
+            self.model.write().overwrite().save(f"{path}/model")
         if self.calibration.method == "isotonic":
             for i, curve in enumerate(self.calibration.curves):
                 curve.write().overwrite().save(f"{path}/isotonic{i}")
@@ -104,11 +119,14 @@ class TrainedModel:
     @classmethod
     def load(cls, path: str, spark: SparkSession) -> TrainedModel:
         doc = json.loads(spark.read.text(f"{path}/doc").first()[0])
-        model = DefaultParamsReader.loadParamsInstance(f"{path}/model", spark)
+        if doc["boosted"]:
+            model = SoftmaxBoostingModel.from_json(doc["boosted"])
+        else:
+            model = DefaultParamsReader.loadParamsInstance(f"{path}/model", spark) if doc["fitted"] else None
         curves = [tuple(c) for c in doc["curves"]] if doc["method"] != "isotonic" else [
             IsotonicRegressionModel.load(f"{path}/isotonic{i}") for i in range(doc["n_curves"])]
         return cls(doc["columns"], TablePrep.from_json(doc["prep"]), model, Calibration(doc["method"], curves),
-                   LabelEncoding(doc["classes"]))
+                   LabelEncoding(doc["classes"]), scorer=CompiledModel.from_json(doc["compiled"]))
 
 
 def train(train_df: DataFrame, params: TreeParams | LinearParams, tune: TuneParams | None = TuneParams(),
@@ -134,20 +152,20 @@ def train(train_df: DataFrame, params: TreeParams | LinearParams, tune: TunePara
         profile.where(F.col("COLUMN").isin(columns)))
     n = len(encoding.classes)
     tune_k = tune.n_cv if tune else 2
-    ready = prep.transform(chosen.withColumns({
-        "CLASS": encoding.encode(F.col(cfg.target_key)),
-        "FOLD": fold_column(cfg.entity_key, tune_k, seed)}), [*cfg.pk, "CLASS", "FOLD"])
+    labelled = chosen.withColumn("CLASS", encoding.encode(F.col(cfg.target_key)))
+    folds = stratified_folds(labelled, cfg.entity_key, "CLASS", tune_k, seed)
+    ready = prep.transform(labelled.join(folds, cfg.entity_key, "left").withColumn("FOLD", F.coalesce("FOLD", F.lit(0))),
+                           [*cfg.pk, "CLASS", "FOLD"])
     balanced = params.class_weight == "balanced"
     data = materialize(assembled(ready, prep.outputs(), "CLASS", [*cfg.pk, "FOLD"], balanced)
-                       .repartition(cfg.entity_key).sortWithinPartitions(*cfg.pk)).persist()
-    estimator = estimator_for(params, seed)
+                       .repartition(cfg.entity_key).sortWithinPartitions(*cfg.pk))
+    estimator = estimator_for(params, seed, n)
     trials: list = []
     if tune is not None:
-        trials, best = tune_group_cv(data, estimator, tune, seed)
+        trials, best = tune_group_cv(data, estimator, tune, seed, n_classes=n)
         estimator = with_params(estimator, best)
     model = estimator.fit(data)
     scored = materialize(class_probabilities(model, data, n).drop(VECTOR))
-    data.unpersist()
     curve = (calib_isotonic(scored, n, LABEL) if calibration == "isotonic"
              else calib_sigmoid(scored, n, LABEL, logit=calibration == "sigmoid"))
     return TrainedModel(columns, prep, model, curve, encoding, trials)

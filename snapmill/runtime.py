@@ -77,19 +77,6 @@ def folder_stamp(spark: SparkSession, path: str) -> tuple:
     return tuple(sorted(found))
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder, if it is there, on whatever store it lies."""
-    sc = spark.sparkContext
-    # a partition's name may hold characters that are special in a URI
-    parent, _, name = path.rpartition("/")
-    there = sc._jvm.org.apache.hadoop.fs.Path(parent)
-    fs = there.getFileSystem(sc._jsc.hadoopConfiguration())
-    if fs.exists(there):
-        for status in fs.listStatus(there):
-            if status.getPath().getName() == name:
-                fs.delete(status.getPath(), True)
-
-
 def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list[Row]:
     """Collect fitted parameters; fails rather than pull more than max_rows."""
     rows = df.limit(max_rows + 1).collect()

@@ -4,67 +4,66 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmill.runtime import folder_names, partition_folder, remove_folder
+from snapmill.runtime import partition_folder
+from snapmill.sources.commits import GONE, VERSION, CommitLog, new_version
 
 ID, IS_TRAIN = "DATA_ID", "IS_TRAIN"
 
 
 @dataclass(frozen=True)
 class TrainingRegistry:
+    """Both sides of a data id are published by one commit marker, so a pair is never half replaced."""
+
     spark: SparkSession
     path: str
 
-    def _all(self) -> DataFrame:
-        # ids are text even when they look like numbers, so their type must not be inferred
-        found = self.spark.read.parquet(self.path).schema
-        text = T.StructType([T.StructField(f.name, T.StringType() if f.name == ID else f.dataType) for f in found])
-        return self.spark.read.schema(text).parquet(self.path).withColumn(IS_TRAIN, F.col(IS_TRAIN).cast("boolean"))
+    @property
+    def log(self) -> CommitLog:
+        return CommitLog(self.spark, self.path)
 
-    def _folder(self, data_id: str, is_train: bool | None = None) -> str:
-        keys = {ID: data_id} if is_train is None else {ID: data_id, IS_TRAIN: str(is_train).lower()}
-        return partition_folder(self.spark, self.path, keys)
+    def _folder(self, data_id: str) -> str:
+        """The partition folder of an id; its characters are escaped as Spark's writers escape them."""
+        return partition_folder(self.spark, "", {ID: data_id}).strip("/")
 
     def put(self, data_id: str, train: DataFrame, test: DataFrame) -> None:
-        """Register a train/test pair, replacing an earlier pair of the same id.
-
-        A side without rows leaves no partition, so an earlier one is removed once the write stands.
-        """
+        """Register a train/test pair, replacing an earlier pair of the same id; without any row the id goes."""
+        version = new_version()
         both = (train.withColumn(IS_TRAIN, F.lit(True)).unionByName(test.withColumn(IS_TRAIN, F.lit(False)))
-                .withColumn(ID, F.lit(data_id)))
-        seen = Observation()
-        both = both.observe(seen, F.count_if(F.col(IS_TRAIN)).alias("train"), F.count_if(~F.col(IS_TRAIN)).alias("test"))
+                .withColumns({ID: F.lit(data_id), VERSION: F.lit(version)}))
         # the rebalance splits a large side over several files and merges small ones
         (both.hint("rebalance", F.col(ID), F.col(IS_TRAIN))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(ID, IS_TRAIN).parquet(self.path))
-        counts = seen.get
-        if not counts["train"] and not counts["test"]:
-            self.remove(data_id)
-        for side, is_train in (("train", True), ("test", False)):
-            if not counts[side]:
-                remove_folder(self.spark, self._folder(data_id, is_train))
+         .write.mode("append").partitionBy(ID, VERSION, IS_TRAIN).parquet(self.path))
+        written = self.log.written(version)
+        self.log.put(self._folder(data_id), version if written else GONE)
 
     def ids(self) -> DataFrame:
-        """Registered ids, from the partition values alone."""
-        if not folder_names(self.spark, self.path):
-            return self.spark.createDataFrame([], f"{ID} string")
-        return self._all().select(ID).distinct()
+        """Registered ids, from the commit markers alone."""
+        unescape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        return self.spark.createDataFrame([(unescape(folder.partition("=")[2]),) for folder in sorted(self.log.current())], f"{ID} string")
 
     def has(self, data_id: str) -> bool:
-        return not self.ids().where(F.col(ID) == data_id).isEmpty()
+        return self.log.state(self._folder(data_id))[1] is not None
 
     def fetch(self, data_id: str) -> tuple[DataFrame, DataFrame]:
         """(train, test) of an id."""
-        if not self.has(data_id):
+        _, version = self.log.state(self._folder(data_id))
+        if version is None:
             raise ValueError(f"{data_id} is not registered")
-        rows = self._all().where(F.col(ID) == data_id)
-        return (rows.where(F.col(IS_TRAIN)).drop(ID, IS_TRAIN),
-                rows.where(~F.col(IS_TRAIN)).drop(ID, IS_TRAIN))
+        base = f"{self.path.rstrip('/')}/{self._folder(data_id)}/{VERSION}={version}"
+        found = self.spark.read.option("basePath", base).parquet(base)
+        kinds = T.StructType([T.StructField(f.name, T.BooleanType() if f.name == IS_TRAIN else f.dataType) for f in found.schema])
+        rows = self.spark.read.schema(kinds).option("basePath", base).parquet(base)
+        return rows.where(F.col(IS_TRAIN)).drop(IS_TRAIN), rows.where(~F.col(IS_TRAIN)).drop(IS_TRAIN)
 
     def remove(self, data_id: str) -> None:
-        """Drop the partitions of an id."""
-        remove_folder(self.spark, self._folder(data_id))
+        """Drop an id."""
+        if self.has(data_id):
+            self.log.put(self._folder(data_id), GONE)
+
+    def vacuum(self) -> int:
+        """Delete replaced and removed data; only while nobody writes or reads an older state."""
+        return self.log.vacuum()

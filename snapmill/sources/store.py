@@ -1,4 +1,4 @@
-"""Snapshot tables: parquet folders partitioned by the snapshot date."""
+"""Snapshot tables: parquet folders partitioned by the snapshot date, published date by date."""
 
 from __future__ import annotations
 
@@ -6,33 +6,57 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmill.config import DEFAULT
 from snapmill.functions.exprs import dt_lit
-from snapmill.runtime import folder_names, lookup_join, partition_folder, remove_folder
+from snapmill.runtime import folder_names, lookup_join
+from snapmill.sources.commits import GONE, VERSION, CommitLog, new_version
 
 
 @dataclass(frozen=True)
 class SnapshotTable:
-    """One snapshot table. schema, when given, spares the read a file-footer inference."""
+    """One snapshot table. schema, when given, spares the read a file-footer inference.
+
+    A write lays its rows beside the visible ones and publishes each date with one commit marker, so readers
+    see the old or the new snapshot of a date, never a part. Replaced versions stay until vacuum(). A folder
+    that was written without commit markers is read as it stands.
+    """
 
     spark: SparkSession
     path: str
     dt_key: str = DEFAULT.dt_key
     schema: T.StructType | None = None
 
+    @property
+    def log(self) -> CommitLog:
+        return CommitLog(self.spark, self.path)
+
+    def _partition(self, d: date) -> str:
+        return f"{self.dt_key}={d.isoformat()}"
+
     def _reader(self):
         return self.spark.read.schema(self.schema) if self.schema else self.spark.read
 
+    def _versions(self, versions: dict[str, str]) -> DataFrame:
+        """Rows of the given version of each partition folder; filters on the date prune folders."""
+        paths = [f"{self.path.rstrip('/')}/{folder}/{VERSION}={v}" for folder, v in sorted(versions.items())]
+        if not paths:
+            if self.schema is None:
+                raise ValueError(f"{self.path} holds no snapshot")
+            return self.spark.createDataFrame([], self.schema)
+        return self._reader().option("basePath", self.path).parquet(*paths).drop(VERSION)
+
     def all(self) -> DataFrame:
-        return self._reader().parquet(self.path)
+        if not self.log.used():
+            return self._reader().parquet(self.path)
+        return self._versions(self.log.current())
 
     def exists(self) -> bool:
         """True when the table holds a snapshot."""
-        return bool(folder_names(self.spark, self.path))
+        return bool(self.log.current()) if self.log.used() else bool(folder_names(self.spark, self.path))
 
     def read(self, d: date) -> DataFrame:
         """One snapshot; the date predicate prunes to its partition."""
@@ -53,29 +77,62 @@ class SnapshotTable:
 
     def succeeded(self, d: date) -> bool:
         """True when the snapshot has at least one row."""
+        if self.log.used():
+            return self.log.state(self._partition(d))[1] is not None
         return self.exists() and not self.read(d).isEmpty()
 
+    def stage(self, df: DataFrame, d: date | None = None) -> str:
+        """Write rows (those of d, if given) as a new version that no reader sees yet."""
+        if not self.log.used():
+            if folder_names(self.spark, self.path):
+                raise ValueError(f"{self.path} was written without commit markers")
+            self.log.begin()
+        version = new_version()
+        if d is not None:
+            df = df.where(F.col(self.dt_key) == dt_lit(d))
+        # the rebalance splits a large snapshot over several files and merges small ones
+        (df.hint("rebalance", F.col(self.dt_key)).withColumn(VERSION, F.lit(version))
+         .write.mode("append").partitionBy(self.dt_key, VERSION).parquet(self.path))
+        return version
+
+    def staged(self, version: str) -> DataFrame:
+        """The rows of a staged version, for checks before it is published."""
+        return self._versions({folder: version for folder in self.log.written(version)})
+
+    def discard(self, version: str) -> None:
+        self.log.discard(version)
+
+    def publish(self, version: str, d: date | None = None, replace: bool = True) -> list[str]:
+        """Make a staged version visible; the partition folders that it now holds.
+
+        Without replace, dates that are visible already keep their snapshot and of two writers of a date one
+        wins. With d and no row for it, an earlier snapshot of d is no longer visible afterwards.
+        """
+        written = self.log.written(version)
+        if replace and d is not None and self._partition(d) not in written:
+            self.log.put(self._partition(d), GONE)
+        if replace:
+            for folder in written:
+                self.log.put(folder, version)
+            return written
+        return [folder for folder in written if self.log.put_if_absent(folder, version)]
+
     def overwrite(self, df: DataFrame, d: date | None = None) -> None:
         """Replace exactly the partitions present in df (or the one of d), leave the others.
 
-        With d and no row for it, the earlier snapshot of d is removed once the write stands.
+        With d and no row for it, the earlier snapshot of d goes.
         """
-        seen = Observation()
-        if d is not None:
-            df = df.where(F.col(self.dt_key) == dt_lit(d)).observe(seen, F.count(F.lit(1)).alias("n"))
-        # the rebalance splits a large snapshot over several files and merges small ones
-        (df.hint("rebalance", F.col(self.dt_key))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.dt_key).parquet(self.path))
-        if d is not None and not seen.get["n"]:
-            remove_folder(self.spark, partition_folder(self.spark, self.path, {self.dt_key: d.isoformat()}))
+        self.publish(self.stage(df, d), d)
 
     def insert(self, df: DataFrame) -> None:
         """Write the dates of df that have no snapshot yet; existing snapshots stay as they are."""
         if self.exists():
-            present = self.list_dates()
-            df = lookup_join(df, present, [self.dt_key], "left_anti")
-        self.overwrite(df)
+            df = lookup_join(df, self.list_dates(), [self.dt_key], "left_anti")
+        self.publish(self.stage(df), replace=False)
+
+    def vacuum(self) -> int:
+        """Delete replaced and abandoned versions; only while nobody writes or reads an older state."""
+        return self.log.vacuum()
 
 
 def src_file(spark: SparkSession, path: str, columns: list[str] | None = None, nrows: int | None = None,

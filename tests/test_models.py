@@ -1,15 +1,19 @@
 import math
 from datetime import date, datetime
 
+import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import D
+from conftest import D, plan
 from snapmill.operators import calendar as cal
 from snapmill.operators import explain as ex
 from snapmill.operators import model as m
 from snapmill.operators import select as fs
+from snapmill.operators.boosting import SoftmaxBoosting
+from snapmill.operators.compiled import CompiledModel, compile_model
 from snapmill.plans import scoring, training
 from snapmill.runtime import materialize
 from snapmill.sources.store import SnapshotTable
@@ -129,18 +133,13 @@ def test_multiclass_forest(planted):
 def test_unknown_options_raise(planted):
     with pytest.raises(ValueError):
         m.tree_estimator(m.TreeParams(boosting_type="dart"))
-    with pytest.raises(ValueError):
-        m.tree_estimator(m.TreeParams("multiclass", 5))
     with pytest.raises(ValueError):
         m.linear_estimator(m.LinearParams(loss="huber"))
     with pytest.raises(ValueError):
         training.train(planted, m.LinearParams(), None, calibration="other")
 
 
-def test_tuning_folds_do_not_split_an_entity(planted):
-    rows = planted.select("CUST_ID", m.fold_column("CUST_ID", 3).alias("F")).unionByName(
-        planted.select("CUST_ID", m.fold_column("CUST_ID", 3).alias("F")))
-    assert rows.groupBy("CUST_ID").agg(F.count_distinct("F").alias("n")).where("n > 1").isEmpty()
+def test_tuning_runs_its_trials(planted):
     model = training.train(planted, m.LinearParams(loss="log", max_iter=20), m.TuneParams(n_trials=2), ["x", "g"])
     assert len(model.trials) == 2 and max(t[2] for t in model.trials) > 0.8
 
@@ -162,11 +161,160 @@ def test_label_encoding_and_coefficients(spark, linear):
         m.coef_imp(object(), [], spark)
 
 
-def test_permutation_keeps_the_values(spark):
-    df = spark.range(500).select("id", F.lit(D).alias("d"), (F.col("id") * 3).alias("v"))
-    out = ex.permuted(df, ["v"], ["id", "d"], 500, block_rows=50)
-    assert sorted(r.v_PERM for r in out.collect()) == sorted(r.v for r in out.collect())
-    assert out.where("v = v_PERM").count() < 25
+def test_permutation_is_one_cycle_of_all_rows(spark):
+    df = spark.range(500).repartition(7).select("id", F.lit(D).alias("d"), (F.col("id") * 3).alias("v"))
+    rows = ex.permuted(df, ["v", "id"], ["id", "d"]).collect()
+    onward = {r.id: r.id_PERM for r in rows}
+    assert all(r.v_PERM == 3 * r.id_PERM for r in rows)
+    seen, at = set(), 0
+    while at not in seen:
+        seen.add(at)
+        at = onward[at]
+    assert len(seen) == 500
+    assert ex.permuted(df.limit(0), ["v"], ["id", "d"]).collect() == []
+
+
+def test_auc_drop_equals_brute_force(spark, planted):
+    from snapmill.functions.exprs import hash32, row_key
+
+    model = training.train(planted, m.TreeParams(n_estimators=4), None, ["x", "z", "f"])
+    keys = ["CUST_ID", "SNAP_DT"]
+    data = materialize(model.prepared(planted, [*keys, "CONV_7D"]))
+    got = {r.COLUMN: r.AUC_DROP for r in ex.explain_tree(model.model, data, model.features, "CONV_7D", keys).collect()}
+    rows = data.withColumn("h", hash32(row_key(keys), 0)).orderBy("h", *keys).toPandas()
+
+    def auc(frame):
+        s = np.array([r.PROB_CLS1 for r in m.class_probabilities(model.model, m.assembled(
+            spark.createDataFrame(frame), model.features, "CONV_7D", ["CUST_ID"]), 2).orderBy("CUST_ID").collect()])
+        y = frame.sort_values("CUST_ID")["CONV_7D"].to_numpy()
+        a, b = s[y == 1], s[y == 0]
+        return np.mean((a[:, None] > b) + 0.5 * (a[:, None] == b))
+
+    base = auc(rows)
+    for c in model.features:
+        moved = rows.copy()
+        moved[c] = np.roll(rows[c].to_numpy(), -1)
+        assert got[c] == pytest.approx(base - auc(moved), abs=1e-9)
+
+
+KINDS = {"log": m.LinearParams(loss="log", max_iter=20), "hinge": m.LinearParams(max_iter=20), "boosted": m.TreeParams(n_estimators=6),
+         "forest": m.TreeParams(n_estimators=6, boosting_type="rf")}
+
+
+@pytest.mark.parametrize("kind", list(KINDS))
+def test_compiled_models_equal_their_transform(planted, kind):
+    model = training.train(planted, KINDS[kind], None, ["x", "z", "g", "f"])
+    rows = model.prepared(planted, ["CUST_ID", "CONV_7D"])
+    want = m.class_probabilities(model.model, m.assembled(rows, model.features, "CONV_7D", ["CUST_ID"]), 2).select("CUST_ID", F.col("PROB_CLS1").alias("p"))
+    both = model.compiled.score(rows, ["CUST_ID"]).join(want, "CUST_ID")
+    assert both.count() == 1200 and both.agg(F.max(F.abs(F.col("p") - F.col("PROB_CLS1")))).first()[0] < 1e-12
+    again = CompiledModel.from_json(model.compiled.to_json())
+    assert again == model.compiled
+    text = plan(model.score(planted, ["CUST_ID"]))
+    assert "UDF" not in text and "Python" not in text and "Exchange" not in text
+    with pytest.raises(TypeError):
+        compile_model(object(), [])
+
+
+def test_compiled_softmax_equals_its_transform(planted):
+    three = planted.withColumn("CONV_7D", F.when(F.col("x") > 0.5, 2).when(F.col("x") > -0.5, 1).otherwise(0))
+    for params in (m.LinearParams(loss="log", max_iter=20), m.TreeParams("multiclass", 5, boosting_type="rf")):
+        model = training.train(three, params, None, ["x", "z"])
+        rows = model.prepared(three, ["CUST_ID", "CONV_7D"])
+        want = m.class_probabilities(model.model, m.assembled(rows, model.features, "CONV_7D", ["CUST_ID"]), 3)
+        both = model.compiled.score(rows, ["CUST_ID"], "Q").join(want, "CUST_ID")
+        for i in range(3):
+            assert both.agg(F.max(F.abs(F.col(f"Q{i}") - F.col(f"PROB_CLS{i}")))).first()[0] < 1e-12
+
+
+# --- boosting of several classes
+
+@pytest.fixture(scope="module")
+def rings(spark):
+    """Three classes that only depend on two columns together, with noise beside them."""
+    df = spark.range(1500).select(F.col("id").alias("CUST_ID"), F.lit(D).alias("SNAP_DT"), F.randn(21).alias("x"), F.randn(22).alias("z"), F.randn(23).alias("n"))
+    r = F.sqrt(F.col("x") ** 2 + F.col("z") ** 2)
+    return materialize(df.withColumn("CONV_7D", F.when(r < 0.8, "in").when(r < 1.5, "mid").otherwise("out")))
+
+
+def log_loss(model, df):
+    coded = df.withColumn("c", model.encoding.encode(F.col("CONV_7D")))
+    p = F.array(*[f"PROB_CLS{i}" for i in range(3)])
+    out = model.score(coded, ["c"])
+    assert out.where("abs(PROB_CLS0 + PROB_CLS1 + PROB_CLS2 - 1) > 1e-9 or abs(CALIB_CLS0 + CALIB_CLS1 + CALIB_CLS2 - 1) > 1e-9").isEmpty()
+    return out.agg(F.avg(-F.log(F.greatest(F.get(p, F.col("c")), F.lit(1e-9))))).first()[0]
+
+
+def test_boosting_three_classes_beats_the_forest(spark, rings, tmp_path):
+    train, test = rings.where("CUST_ID % 3 > 0"), rings.where("CUST_ID % 3 = 0")
+    boosted = training.train(train, m.TreeParams("multiclass", 25), None, ["x", "z", "n"])
+    forest = training.train(train, m.TreeParams("multiclass", 25, boosting_type="rf"), None, ["x", "z", "n"])
+    assert log_loss(boosted, test) < log_loss(forest, test)
+    importance = {r.COLUMN: r.VALUE for r in m.coef_imp(boosted.model, boosted.features, spark).collect()}
+    assert min(importance["x"], importance["z"]) > 5 * importance["n"]
+    boosted.save(str(tmp_path / "b"), spark)
+    again = training.TrainedModel.load(str(tmp_path / "b"), spark)
+    assert again.score(test, ["CUST_ID"]).exceptAll(boosted.score(test, ["CUST_ID"])).isEmpty()
+
+
+def test_first_boosting_round_equals_a_plain_search(rings):
+    """Root split and leaf values of the first round, for each class, by brute force over the bins."""
+    data = m.assembled(rings.withColumn("c", F.when(F.col("CONV_7D") == "in", 0).when(F.col("CONV_7D") == "mid", 1).otherwise(2)), ["x", "z"], "c")
+    boosting = SoftmaxBoosting(3, maxIter=1, maxDepth=1, maxBins=8)
+    model = boosting.fit(data)
+    rows = data.toPandas()
+    x, y = np.vstack([v.toArray() for v in rows["V"]]), rows["Y"].to_numpy().astype(int)
+    p = np.bincount(y) / len(y)
+    edges = boosting._edges(data.select(vector_to_array("V").alias("X")), 2)
+    for k in range(3):
+        g, h = p[k] - (y == k), np.full(len(y), p[k] * (1 - p[k]) * 1.5)
+        best = max(((g[x[:, f] <= e].sum() ** 2 / (h[x[:, f] <= e].sum() + 1) + g[x[:, f] > e].sum() ** 2 / (h[x[:, f] > e].sum() + 1), -f, -e)
+                    for f in range(2) for e in edges[f]))
+        f, e, left, right = model.rounds[0][k]
+        assert (f, e) == (-best[1], -best[2])
+        here = x[:, f] <= e
+        assert left[0] == pytest.approx(-0.1 * g[here].sum() / (h[here].sum() + 1)) and right[0] == pytest.approx(-0.1 * g[~here].sum() / (h[~here].sum() + 1))
+
+
+def test_refreshed_margins_change_nothing(rings, monkeypatch):
+    data = m.assembled(rings.withColumn("c", F.when(F.col("CONV_7D") == "in", 0).otherwise(1)), ["x", "z"], "c")
+    boosting = SoftmaxBoosting(2, maxIter=5, maxDepth=2, subsamplingRate=0.7)
+    whole = boosting.fit(data)
+    monkeypatch.setattr("snapmill.operators.boosting.REFRESH", 2)
+    parted = boosting.fit(data)
+    assert str(whole.rounds)[:400] == str(parted.rounds)[:400]
+    with pytest.raises(ValueError):
+        SoftmaxBoosting(1).fit(data)
+    with pytest.raises(ValueError):
+        boosting.fit(data.limit(0))
+
+
+def test_tuning_of_several_classes(rings):
+    model = training.train(rings, m.TreeParams("multiclass", 3), m.TuneParams(n_cv=2, n_trials=2), ["x", "z"])
+    assert len(model.trials) == 2 and max(t[2] for t in model.trials) > 0.7
+
+
+# --- stratified folds
+
+def test_folds_keep_entities_and_balance_classes(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for e in range(400):
+        n = int(rng.integers(1, 9))
+        rows += [(e, int(rng.random() < (0.1 if e % 3 else 0.6))) for _ in range(n)]
+    rows += [(10_000, 1)] * 20 + [(None, 1)] * 3 + [(5, None)]
+    df = spark.createDataFrame(rows, "e int, y int")
+    folds = {r.e: r.FOLD for r in m.stratified_folds(df, "e", "y", 3).collect()}
+    assert set(folds) == {e for e, _ in rows if e is not None} and set(folds.values()) == {0, 1, 2}
+    for label in (0, 1):
+        weight = {}
+        for e, y in rows:
+            if y == label and e is not None:
+                weight[e] = weight.get(e, 0) + 1
+        load = [sum(w for e, w in weight.items() if folds[e] == f) for f in range(3)]
+        assert max(load) - min(load) <= max(weight.values()), (label, load)
+    again = {r.e: r.FOLD for r in m.stratified_folds(df.repartition(13), "e", "y", 3).collect()}
+    assert again == folds
 
 
 def test_linear_attributions_sum_to_the_score_difference(spark):
