@@ -93,9 +93,14 @@ class CompiledModel:
         return [1.0 - one, one]
 
     def score(self, df: DataFrame, keep: Sequence[str], prefix: str = "PROB_CLS") -> DataFrame:
-        """keep... and one probability per class. Margins are computed once per row."""
+        """keep... and one probability per class. Margins are computed once per row.
+
+        They come from a generator of one row: a filter on scores would otherwise be pushed below the projection
+        with a copy of the whole ensemble for every mention of a margin.
+        """
         names = [f"_M{i}" for i in range(len(self.rows) or len(_first_leaf(self.trees[0])))]
-        wide = df.select(*keep, *[F.expr(text).alias(n) for n, text in zip(names, self.margins(), strict=True)])
+        margins = F.struct(*[F.expr(text).alias(n) for n, text in zip(names, self.margins(), strict=True)])
+        wide = df.select(*keep, F.inline(F.array(margins)))
         flat = CompiledModel("linear", self.link, names, [[0.0, *(1.0 if i == j else 0.0 for j in range(len(names)))] for i in range(len(names))])
         return wide.select(*keep, *[p.alias(f"{prefix}{i}") for i, p in enumerate(flat.probabilities())])
 

@@ -214,6 +214,9 @@ def test_compiled_models_equal_their_transform(planted, kind):
     assert "UDF" not in text and "Python" not in text and "Exchange" not in text
     with pytest.raises(TypeError):
         compile_model(object(), [])
+    # a filter on scores does not multiply the ensemble
+    filtered = plan(model.score(planted, ["CUST_ID"]).where("PROB_CLS1 + CALIB_CLS1 > 0.5 and PROB_CLS0 < 0.9"))
+    assert len(filtered) < 3 * len(text)
 
 
 def test_compiled_softmax_equals_its_transform(planted):
@@ -247,8 +250,8 @@ def log_loss(model, df):
 
 def test_boosting_three_classes_beats_the_forest(spark, rings, tmp_path):
     train, test = rings.where("CUST_ID % 3 > 0"), rings.where("CUST_ID % 3 = 0")
-    boosted = training.train(train, m.TreeParams("multiclass", 25), None, ["x", "z", "n"])
-    forest = training.train(train, m.TreeParams("multiclass", 25, boosting_type="rf"), None, ["x", "z", "n"])
+    boosted = training.train(train, m.TreeParams("multiclass", 12), None, ["x", "z", "n"])
+    forest = training.train(train, m.TreeParams("multiclass", 12, boosting_type="rf"), None, ["x", "z", "n"])
     assert log_loss(boosted, test) < log_loss(forest, test)
     importance = {r.COLUMN: r.VALUE for r in m.coef_imp(boosted.model, boosted.features, spark).collect()}
     assert min(importance["x"], importance["z"]) > 5 * importance["n"]
@@ -278,7 +281,7 @@ def test_first_boosting_round_equals_a_plain_search(rings):
 
 def test_refreshed_margins_change_nothing(rings, monkeypatch):
     data = m.assembled(rings.withColumn("c", F.when(F.col("CONV_7D") == "in", 0).otherwise(1)), ["x", "z"], "c")
-    boosting = SoftmaxBoosting(2, maxIter=5, maxDepth=2, subsamplingRate=0.7)
+    boosting = SoftmaxBoosting(2, maxIter=3, maxDepth=1, subsamplingRate=0.7)
     whole = boosting.fit(data)
     monkeypatch.setattr("snapmill.operators.boosting.REFRESH", 2)
     parted = boosting.fit(data)
@@ -290,7 +293,7 @@ def test_refreshed_margins_change_nothing(rings, monkeypatch):
 
 
 def test_tuning_of_several_classes(rings):
-    model = training.train(rings, m.TreeParams("multiclass", 3), m.TuneParams(n_cv=2, n_trials=2), ["x", "z"])
+    model = training.train(rings, m.TreeParams("multiclass", 2), m.TuneParams(n_cv=2, n_trials=2), ["x", "z"])
     assert len(model.trials) == 2 and max(t[2] for t in model.trials) > 0.7
 
 
