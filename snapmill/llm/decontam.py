@@ -79,32 +79,55 @@ _PLAIN_SALT = np.uint64(0xA24BAED4963EE407)
 
 
 class Tokens:
-    """Template and plain tokens of one text."""
+    """Template and plain tokens of one text; `at_lines` are the numbers of the words that begin a line.
 
-    def __init__(self, words: Canonical, ids: np.ndarray) -> None:
+    A word inside a sentence is a name if it has a capital. Where a line begins without a sentence's end before
+    it, the word may stand inside or begin one (as a title before it has no mark), so there are two templates.
+    """
+
+    def __init__(self, words: Canonical, ids: np.ndarray, at_lines: list[int]) -> None:
         initial = np.ones(len(ids), bool)
         initial[1:] = _view(words.ends, bool)[ids[:-1]]
+        by_line = initial.copy()
+        by_line[at_lines] = True
         n = _view(words.count, np.int8)[ids]
         if not n.all():
-            ids, initial, n = ids[n > 0], initial[n > 0], n[n > 0]
-        self.words, self.ids, self.initial = words, ids, initial
+            ids, initial, by_line, n = ids[n > 0], initial[n > 0], by_line[n > 0], n[n > 0]
+        self.words, self.ids = words, ids
         self.plain = _view(words.first)[ids]
-        self.template = np.where(initial, _view(words.start)[ids], _view(words.inside)[ids])
-        self.word_of: np.ndarray | None = None
+        start, inside = _view(words.start)[ids], _view(words.inside)[ids]
+        self.word_of, self.second = None, None
         if len(n) and n.max() > 1:
             # a number with its unit gives two tokens
             self.word_of = np.repeat(np.arange(len(ids)), n)
             self.second = np.zeros(len(self.word_of), bool)
             self.second[np.cumsum(n)[n > 1] - 1] = True
-            self.template = np.where(self.second, _UNIT_HASH, self.template[self.word_of])
+        self.initials = [initial]
+        self.templates = [self._tokens(initial, start, inside)]
+        if (by_line & ~initial & (start != inside)).any():
+            self.initials.append(by_line)
+            self.templates.append(self._tokens(by_line, start, inside))
+
+    def _tokens(self, initial: np.ndarray, start: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        found = np.where(initial, start, inside)
+        return found if self.word_of is None else np.where(self.second, _UNIT_HASH, found[self.word_of])
+
+    def windows(self, size: int) -> list[tuple[np.ndarray, np.ndarray | None, int]]:
+        """(hashes, places, which template) of the template windows; of the second template those that differ."""
+        out = [(windows(self.templates[0], size), None, 0)]
+        if len(self.templates) > 1:
+            other = windows(self.templates[1], size)
+            place = np.flatnonzero(other != out[0][0])
+            out.append((other[place], place, 1))
+        return out
 
-    def slots(self, at: int, size: int) -> list[str]:
+    def slots(self, at: int, size: int, which: int = 0) -> list[str]:
         """Slot values of the template tokens from `at` on."""
         out = []
-        for i in range(at, min(at + size, len(self.template))):
+        for i in range(at, min(at + size, len(self.templates[0]))):
             w = i if self.word_of is None else int(self.word_of[i])
-            values = word(self.words.raw[self.ids[w]], bool(self.initial[w]))
-            out.append(values[1 if self.word_of is not None and self.second[i] else 0][1])
+            values = word(self.words.raw[self.ids[w]], bool(self.initials[which][w]))
+            out.append(values[1 if self.second is not None and self.second[i] else 0][1])
         return out
 
 
@@ -153,11 +176,14 @@ class Canonical(dict):
         return n
 
     def tokens(self, text: str) -> Tokens:
-        """A name is told by a capital inside a sentence; a sentence begins after . ! ? or :, whatever the line."""
         if len(self) > self.limit:
             self._empty()
-        words = text.split()
-        return Tokens(self, np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
+        words: list[str] = []
+        at_lines: list[int] = []
+        for line in text.split("\n"):
+            at_lines.append(len(words))
+            words += line.split()
+        return Tokens(self, np.fromiter(map(self.__getitem__, words), np.int64, len(words)), [i for i in at_lines if i < len(words)])
 
 
 def windows(hashes: np.ndarray, size: int = WINDOW) -> np.ndarray:
@@ -206,17 +232,20 @@ def _windows_of(rows: DataFrame, key: str, wanted: np.ndarray | None, size: int,
                 t = canonical.tokens(text)
                 plain = t.plain
                 base = None
-                for kind, w in [(TEMPLATE, windows(t.template, size)), (PLAIN, plain_windows(plain, size)),
-                                *((PLAIN, plain_windows(plain, n)) for n in short if n < min(size, len(plain)))]:
+                # a benchmark item has one template
+                made = t.windows(size)[:1] if key == "item_id" else t.windows(size)
+                for kind, w, place, which in [*((TEMPLATE, *m) for m in made), (PLAIN, plain_windows(plain, size), None, 0),
+                                              *((PLAIN, plain_windows(plain, n), None, 0) for n in short if n < min(size, len(plain)))]:
                     hit = np.arange(len(w)) if member is None else member.hits(w)
                     if not len(hit):
                         continue
                     if base is None:
                         base = 0 if key == "item_id" else (xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) >> 33) << 32
-                    ids += [k] * len(hit)
-                    kinds += [kind] * len(hit)
-                    at += [base + i for i in hit.tolist()]
-                    slots += [t.slots(i, size) for i in hit.tolist()] if kind == TEMPLATE else [[]] * len(hit)
+                    here = (hit if place is None else place[hit]).tolist()
+                    ids += [k] * len(here)
+                    kinds += [kind] * len(here)
+                    at += [base + i for i in here]
+                    slots += [t.slots(i, size, which) for i in here] if kind == TEMPLATE else [[]] * len(here)
                     ws.append(w[hit])
             yield pd.DataFrame({key: ids, "kind": kinds, "window": np.concatenate(ws).view(np.int64) if ws else np.empty(0, np.int64),
                                 "at": at, "slots": pd.Series(slots, dtype=object)}).astype({key: "Int64", "kind": "int8", "at": "int64"})

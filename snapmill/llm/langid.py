@@ -7,7 +7,9 @@ phrase never crosses a cut), so pieces of all texts and all languages advance to
 table lookup per character.
 
 An automaton is fitted per language on at most SAMPLE_CHARS characters of its labelled texts (those
-with the smallest hash); the table is bounded by languages x SAMPLE_CHARS whatever the corpus.
+with the smallest hash); the tables are bounded by languages x SAMPLE_CHARS whatever the corpus. All characters
+of the samples are symbols: moves of the COMMON most frequent ones are a dense table, those of all others,
+as in scripts of many letters, an ordered list of (state, symbol) that is searched.
 Prediction is one scan without a shuffle.
 """
 
@@ -29,7 +31,8 @@ SAMPLE_CHARS = 24_000
 SAMPLE_ROWS = 60
 ROW_CHARS = 4_000
 MAX_LANGUAGES = 200
-ALPHABET = 96
+COMMON = 96
+SHIFT = 21  # bits of a code point
 PIECE = 256
 SPACE = re.compile(r"[\W\d_]+")
 
@@ -39,8 +42,8 @@ def normal(text: str) -> str:
     return SPACE.sub(" ", text.lower()).strip()
 
 
-def automaton(symbols: list[int], size: int) -> np.ndarray:
-    """Transitions of the suffix automaton of the symbols, states x size, -1 where there is none."""
+def automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of the symbols; state 0 is the root."""
     nxt: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -67,26 +70,46 @@ def automaton(symbols: list[int], size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.full((len(nxt), size), -1, np.int32)
-    for s, edges in enumerate(nxt):
-        for c, t in edges.items():
-            table[s, c] = t
-    return table
+    return nxt
 
 
 @dataclass(frozen=True)
 class Model:
-    """Languages, the alphabet, and one table for all: next row start, times two, plus one if a phrase ends."""
+    """Languages, the alphabet, and the moves of all automata.
+
+    A state is its row's start in the dense table; a move is the next state times two, plus one if a phrase
+    ends. Symbols from `size` on are looked up in `rare`, ascending keys state << SHIFT | symbol, with their
+    `rare_moves`; one that is missing ends the phrase and starts the next from the root, or is a phrase of
+    its own, after which the language's `lost` state begins anew.
+    """
 
     languages: list[str]
     codes: np.ndarray
+    size: int
     table: np.ndarray
     roots: np.ndarray
+    lost: np.ndarray
+    rare: np.ndarray
+    rare_moves: np.ndarray
 
     def symbols(self, text: str) -> np.ndarray:
+        """Symbols of a text; 0 for a character that no language's sample holds."""
         points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
         return self.codes[np.minimum(points, len(self.codes) - 1)]
 
+    def _found(self, state: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = (state.astype(np.int64) << SHIFT) | c
+        at = np.minimum(np.searchsorted(self.rare, key), max(len(self.rare) - 1, 0))
+        return self.rare[at] == key, self.rare_moves[at]
+
+    def _rare_moves(self, state: np.ndarray, c: np.ndarray, language: int) -> np.ndarray:
+        there, move = self._found(state, c)
+        root, lost = self.roots[language], self.lost[language]
+        begins, start = self._found(np.full(len(c), root), c)
+        # from the root a phrase begins but none ends
+        anew = np.where(begins, start, lost << 1) | (state != root)
+        return np.where(there, move, anew).astype(np.int32)
+
     def phrases(self, batch: list[str]) -> np.ndarray:
         """Phrases needed by each text in each language."""
         pieces, owner = [], []
@@ -104,12 +127,19 @@ class Model:
         for column, k in enumerate(order.tolist()):
             grid[:lengths[k], column] = pieces[k]
         alive = len(pieces) - np.searchsorted(np.sort(lengths), np.arange(PIECE), side="right")
+        # places of rare symbols, step by step; few texts have any
+        rare = [np.flatnonzero(grid[step] >= self.size) for step in range(PIECE)] if (grid >= self.size).any() else None
         for k, root in enumerate(self.roots.tolist()):
             state = np.full(len(pieces), root, np.int32)
             ends = np.ones(len(pieces), np.int32)
             for step in range(int(lengths.max())):
                 n = alive[step]
-                move = self.table[state[:n] + grid[step, :n]]
+                if rare is None or not len(rare[step]):
+                    move = self.table[state[:n] + grid[step, :n]]
+                else:
+                    c, at = grid[step, :n], rare[step]
+                    move = self.table[state[:n] + np.where(c < self.size, c, 0)]
+                    move[at] = self._rare_moves(state[at], c[at], k)
                 ends[:n] += move & 1
                 state[:n] = move >> 1
             out[:, k] = np.bincount(np.asarray(owner)[order], weights=ends, minlength=len(batch))
@@ -120,17 +150,23 @@ def build(samples: dict[str, str]) -> Model:
     """The model of the languages' sample texts (already normalised)."""
     joined = "".join(samples.values())
     points, counts = np.unique(np.frombuffer(joined.encode("utf-32-le"), np.uint32), return_counts=True)
-    kept = points[np.argsort(-counts, kind="stable")][:ALPHABET - 1]
-    codes = np.zeros(int(kept.max()) + 2 if len(kept) else 2, np.int32)  # symbol 0: any other character
-    codes[kept] = np.arange(1, len(kept) + 1)
-    size, parts, roots, at = len(kept) + 1, [], [], 0
+    # symbol 0 is any other character; the most frequent ones come next
+    codes = np.zeros(int(points.max(initial=0)) + 2, np.int32)
+    codes[points[np.argsort(-counts, kind="stable")]] = np.arange(1, len(points) + 1)
+    size, parts, roots, lost, keys, moves, at = min(len(points) + 1, COMMON), [], [], [], [], [], 0
     for text in samples.values():
-        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        t = automaton(codes[points].tolist(), size)
-        t[:, 0] = -1
+        spelled = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        edges = automaton(codes[spelled].tolist())
+        t = np.full((len(edges) + 1, size), -1, np.int32)
+        for s, found in enumerate(edges):
+            for c, to in found.items():
+                if c < size:
+                    t[s, c] = to
+                else:
+                    keys.append(((s * size + at) << SHIFT) | c)
+                    moves.append((to * size + at) << 1)
         # where nothing follows, the phrase ends and the symbol starts the next one at the root; a symbol that
         # the language lacks is a phrase of its own, after which (in the state added last) any symbol starts one
-        t = np.vstack((t, np.full(size, -1, np.int32)))
         restart = np.where(t[0] >= 0, t[0], len(t) - 1)
         ended = t < 0
         ended[0] = False  # the root is only met at the start, where a phrase begins but none ends
@@ -138,10 +174,14 @@ def build(samples: dict[str, str]) -> Model:
         t = (np.where(ended, restart[None, :], t).astype(np.int64) * size + at) * 2 + ended
         parts.append(t.astype(np.int32).ravel())
         roots.append(at)
+        lost.append(at + (len(edges) * size))
         at += len(parts[-1])
     if at >= 1 << 30:
         raise ValueError("the automata do not fit their table: use a smaller sample")
-    return Model(list(samples), codes, np.concatenate(parts), np.array(roots))
+    # one key that no state has, so that a search never meets an empty list
+    rare, rare_moves = np.array([*keys, -1], np.int64), np.array([*moves, 0], np.int64)
+    order = np.argsort(rare)
+    return Model(list(samples), codes, size, np.concatenate(parts), np.array(roots), np.array(lost), rare[order], rare_moves[order])
 
 
 def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, modulus: int = 4, held: int = 2) -> Model | None:

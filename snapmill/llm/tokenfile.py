@@ -15,9 +15,9 @@ from __future__ import annotations
 import json
 import re
 import struct
-import sys
-import types
 from collections.abc import Iterator
+from functools import cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,7 @@ BLOCK_IDS = 1 << 20
 MAX_VOCABULARY = 4_000_000
 HEADER = "<4sIQQ"
 MAGIC = b"VBR1"
-CACHED_WORDS = 150_000
+CACHED_WORDS = 500_000
 
 # the pattern that byte-level tokenizers split by (fixed value), used on texts of plain Latin characters
 # only, where every implementation of its classes agrees
@@ -52,20 +52,17 @@ def byte_characters() -> list[str]:
 
 
 class Remembered(dict):
-    """Values made once by key, in two generations: when one is full, the one before is forgotten."""
+    """Values made once by key; when full, the older half is forgotten."""
 
-    def __init__(self, make) -> None:
+    def __init__(self, make, limit: int = CACHED_WORDS) -> None:
         super().__init__()
-        self.make = make
-        self.before: dict[str, bytes] = {}
+        self.make, self.limit = make, limit
 
     def __missing__(self, key: str) -> bytes:
-        value = self.before.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= CACHED_WORDS:
-            self.before = dict(self)
-            self.clear()
+        value = self.make(key)
+        if len(self) >= self.limit:
+            for old in list(islice(self, self.limit // 2)):
+                del self[old]
         self[key] = value
         return value
 
@@ -88,30 +85,32 @@ class Encoder:
         self.by_piece = (split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
                          and not state.get("normalizer") and state["model"].get("type") == "BPE")
         self.special = [t["content"] for t in state.get("added_tokens", [])]
-        size = self.tokenizer.get_vocab_size()
-        self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        code = "H" if self.kind.itemsize == 2 else "I"
-        table, tokenize, split_up = byte_characters(), self.tokenizer.model.tokenize, regex.compile(SPLIT).findall
+        # ids may have gaps, so the largest counts
+        top = max(self.tokenizer.get_vocab().values(), default=0)
+        self.kind = np.dtype("<u2") if top < 1 << 16 else np.dtype("<u4")
+        written = [i.to_bytes(self.kind.itemsize, "little") for i in range(top + 1)]
+        table, tokenize, split_up, join = byte_characters(), self.tokenizer.model.tokenize, regex.compile(SPLIT).findall, b"".join
+        space = table[32]
 
         def piece(text: str) -> bytes:
-            shown = text.replace(" ", table[32]) if text.isascii() and text.isprintable() else "".join([table[b] for b in text.encode("utf-8")])
-            found = tokenize(shown)
-            return struct.pack(f"<{len(found)}{code}", *[t.id for t in found])
+            shown = text.replace(" ", space) if text.isascii() and text.isprintable() else "".join([table[b] for b in text.encode("utf-8")])
+            return join([written[t.id] for t in tokenize(shown)])
 
         def word(text: str) -> bytes:
             """A word after a space; letters and one closing mark need no pattern."""
             if text.isalpha():
-                return piece(f" {text}")
+                return join([written[t.id] for t in tokenize(space + text)]) if text.isascii() else piece(f" {text}")
             if text[-1:] in (".", ",") and text[:-1].isalpha():
                 return self.words[text[:-1]] + marks[text[-1]]
             return self.split(f" {text}")
 
-        marks = Remembered(piece)
-        self.split = lambda text: b"".join(map(marks.__getitem__, split_up(text)))
+        marks = Remembered(piece, CACHED_WORDS // 4)
+        self.split = lambda text: join(map(marks.__getitem__, split_up(text)))
         self.words = Remembered(word)
 
     def encode(self, batch: list[str]) -> list[bytes]:
         out: list[bytes] = []
+        known = self.words.__getitem__
         for text in batch:
             if not self.by_piece or OTHER.search(text) or any(s in text for s in self.special):
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -120,16 +119,14 @@ class Encoder:
                 out.append(self.split(text))
             else:
                 first, *rest = text.split(" ")
-                out.append(self.split(first) + b"".join(map(self.words.__getitem__, rest)))
+                out.append(self.split(first) + b"".join(map(known, rest)))
         return out
 
 
+@cache
 def encoder_of(path: str) -> Encoder:
     """This process's encoder of a tokenizer file: a worker serves many tasks and keeps what it remembers."""
-    held = sys.modules.setdefault("_snapmill_encoders", types.ModuleType("_snapmill_encoders")).__dict__
-    if path not in held:
-        held[path] = Encoder(path)
-    return held[path]
+    return Encoder(path)
 
 
 # byte counts and offsets of the four values of each control byte

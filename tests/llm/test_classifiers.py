@@ -97,16 +97,40 @@ def test_cross_parsing_against_brute_force():
             assert got[i, k] == brute_phrases(t, s)
 
 
+def test_rare_letters_against_brute_force(monkeypatch):
+    """The searched moves give the same phrases as the table; scripts of very many letters are whole."""
+    rng = np.random.default_rng(3)
+    han = "".join(chr(0x4E00 + int(i)) for i in rng.integers(0, 600, 900))
+    kana = "".join(chr(0x3042 + int(i)) for i in rng.integers(0, 40, 400))
+    samples = {"en": "the cat sat on the mat and the dog", "ja": kana + han[:60], "zh": han}
+    texts = ["the dog", han[100:140], han[5:9] + "cat" + kana[7:11], kana[:30], "\U0001F600" + han[3:5], "дом", "", "x" + han[890:]]
+    expected = [[brute_phrases(t, s) for s in samples.values()] for t in texts]
+    for common in (96, 4, 2, 100_000):
+        monkeypatch.setattr(langid, "COMMON", common)
+        assert langid.build(samples).phrases(texts).tolist() == expected, common
+
+
+def test_three_scripts(spark):
+    rng = np.random.default_rng(4)
+    han = [chr(0x4E00 + int(i)) for i in rng.integers(0, 2_500, 500)]
+    words = {"zh": ["".join(rng.choice(han, 2)) for _ in range(200)], "el": ["".join(rng.choice(list("αβγδεζηθικλμ"), 5)) for _ in range(200)],
+             "en": ["".join(rng.choice(list("etaoinshrdlu"), 5)) for _ in range(200)], "ru": ["".join(rng.choice(list("абвгдежзикл"), 5)) for _ in range(200)]}
+    rows = [(i, " ".join(rng.choice(words[lang], 40)), lang) for i, lang in enumerate(list(words) * 60)]
+    found = langid.language(spark.createDataFrame(rows, "doc_id long, text string, lang string")).where("held_out").collect()
+    true = {i: lang for i, _, lang in rows}
+    assert len(found) > 30 and all(r.lang_pred == true[r.doc_id] for r in found)
+
+
 def test_suffix_automaton_accepts_exactly_the_substrings():
     rng = np.random.default_rng(1)
     s = rng.integers(1, 4, 60).tolist()
-    table = langid.automaton(s, 4)
+    edges = langid.automaton(s)
     inside = {tuple(s[i:j]) for i in range(60) for j in range(i + 1, min(i + 6, 61))}
     for _ in range(300):
         w = tuple(rng.integers(1, 4, rng.integers(1, 6)).tolist())
         state = 0
         for c in w:
-            state = table[state, c] if state >= 0 else -1
+            state = edges[state].get(c, -1) if state >= 0 else -1
         assert (state >= 0) == (w in inside)
 
 
@@ -119,3 +143,61 @@ def test_distinct_grams_by_stamp():
     stamp = np.zeros(toxicity.BUCKETS, np.int32)
     g = toxicity.grams("abc abc abc xyz")
     assert sorted(toxicity.distinct(g, stamp)) == np.unique(g).tolist()
+
+
+def labelled_texts(n=160):
+    rng = np.random.default_rng(8)
+    good = ["".join(rng.choice(list("abcdefg"), int(k))) for k in rng.integers(2, 9, 60)]
+    bad = ["".join(rng.choice(list("defghij!1"), int(k))) for k in rng.integers(2, 9, 60)]
+    rows = []
+    for i in range(n):
+        y = int(rng.random() < 0.4)
+        pool = bad if y else good
+        rows.append((i, "\n".join(" ".join(rng.choice(pool if rng.random() < 0.8 else good, int(rng.integers(1, 9)))) for _ in range(int(rng.integers(1, 5)))), y))
+    return rows
+
+
+def test_discriminant_equals_plain_densities(spark):
+    rows = labelled_texts()
+    model = quality.fit(spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(5))
+    x, y = np.array([quality.statistics(t) for _, t, _ in rows]), np.array([v for *_, v in rows])
+    covariances = [np.cov(x[y == k].T, bias=True) for k in (0, 1)]
+    pooled = sum(covariances[k] * (y == k).mean() for k in (0, 1))
+    logs = []
+    for k in (0, 1):
+        c = 0.9 * covariances[k] + 0.1 * pooled
+        c = 0.95 * c + 0.05 * np.diag(np.diag(c) + 1e-4) + 1e-4 * np.eye(len(c))
+        d = x - x[y == k].mean(axis=0)
+        logs.append(np.log((y == k).mean()) - 0.5 * np.linalg.slogdet(c)[1] - 0.5 * np.einsum("ij,ij->i", d, np.linalg.solve(c, d.T).T))
+    assert np.allclose(model.means, [x[y == k].mean(axis=0) for k in (0, 1)])
+    assert np.allclose(model.score(x), 1 / (1 + np.exp(-np.clip(logs[1] - logs[0], -40, 40))), atol=1e-6)
+
+
+def test_log_count_ratios_and_weights_are_optimal(spark):
+    rows = labelled_texts()
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(5)
+    held = [set(toxicity.grams(t).tolist()) for _, t, _ in rows]
+    y = np.array([v for *_, v in rows])
+    counts = {}
+    for found, label in zip(held, y, strict=True):
+        for g in found:
+            counts.setdefault(g, [0, 0])[label] += 1
+    n0, n1 = (y == 0).sum(), (y == 1).sum()
+    plain = {g: np.log(((b + 1) / (n1 + 2)) / ((a + 1) / (n0 + 2))) for g, (a, b) in counts.items() if a + b >= 3}
+    strength = {g: abs(plain[g]) / np.sqrt(1 / (counts[g][1] + 1) + 1 / (counts[g][0] + 1)) for g in plain}
+    buckets, r = toxicity.ratios(df, 200, 3)
+    assert np.allclose(r, [plain[g] for g in buckets.tolist()])
+    assert sorted(buckets.tolist()) == sorted(sorted(plain, key=lambda g: (-round(strength[g], 9), g))[:200])
+
+    model = toxicity.fit(df, 200, 3, regularisation=0.01)
+    at = {g: i for i, g in enumerate(sorted(buckets.tolist()))}
+    ratio = np.array([plain[g] for g in at])
+    x = np.zeros((len(rows), len(at)))
+    for i, found in enumerate(held):
+        for g in found & at.keys():
+            x[i, at[g]] = ratio[at[g]]
+    used = ratio != 0
+    w = np.where(used, model.table[list(at)] / np.where(used, ratio, 1.0), 0.0)
+    p = 1 / (1 + np.exp(-(x @ w + model.intercept)))
+    assert np.abs(x.T @ (p - y) / len(y) + 0.01 * w).max() < 1e-3 and abs((p - y).mean()) < 1e-3
+    assert np.allclose([model.score(t) for _, t, _ in rows], p, atol=1e-5)
