@@ -102,7 +102,7 @@ def _ready(spark, sf):
 @query("fsel_rfe")
 def fsel_rfe(spark, sf):
     ready, cols = _ready(spark, sf)
-    return fs.fsel_rfe(ready, cols, len(cols) // 2, fs.MOMENTS).rows(spark)
+    return fs.fsel_rfe(ready, cols, len(cols) // 2).rows(spark)
 
 
 @query("fsel_rfecv")
@@ -147,7 +147,7 @@ LINEAR = m.LinearParams(loss="log")
 
 
 def trained(spark, sf, kind: str = "linear", calibration: str = "sigmoid"):
-    params = LINEAR if kind == "linear" else TREES
+    params = {"linear": LINEAR, "hinge": m.LinearParams(), "tree": TREES}[kind]
     return once(spark, ("model", sf, kind, calibration), lambda: training.train(
         xy_written(spark, sf), params, None, calibration=calibration))
 
@@ -164,7 +164,21 @@ def model_gbt(spark, sf):
 
 @query("model_linear")
 def model_linear(spark, sf):
-    return _scored(spark, sf, "linear")
+    """The default linear classifier, with the hinge loss."""
+    return _scored(spark, sf, "hinge")
+
+
+@query("model_multiclass")
+def model_multiclass(spark, sf):
+    """Boosting of three classes: line items by their return flag."""
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("CUST_ID"), F.col("l_shipdate").cast("date").alias("SNAP_DT"), F.col("l_returnflag").alias("CONV_7D"),
+        F.datediff(F.col("l_shipdate"), F.lit(date(1992, 1, 1))).alias("SHIP_DAY"), "l_linestatus",
+        "l_linenumber",
+        *NUMS)
+    columns = ["SHIP_DAY", "l_linestatus", "l_linenumber", *NUMS]
+    model = training.train(rows, m.TreeParams("multiclass", 10), None, columns)
+    return model.score(rows.select("CUST_ID", "SNAP_DT", "CONV_7D", *columns), ["CUST_ID", "SNAP_DT", "CONV_7D"])
 
 
 @query("tune_group_cv")

@@ -152,8 +152,8 @@ FOLD_SQL = ctes("xy") + """, n AS (SELECT count(*) FILTER (CONV_7D = 0) <= count
 h AS (SELECT CUST_ID, count(*) FILTER (CONV_7D = CASE WHEN rare0 THEN 0 ELSE 1 END) AS a, count(*) FILTER (CONV_7D = CASE WHEN rare0 THEN 1 ELSE 0 END) AS b
       FROM xy, n GROUP BY CUST_ID),
 k AS (SELECT CUST_ID, (row_number() OVER (ORDER BY -a, CASE WHEN a % 2 = 0 THEN -b ELSE b END,
-        cast('0x' || substr(md5(CUST_ID || '|0'), 1, 8) AS BIGINT), CUST_ID) - 1) % 6 AS at FROM h)
-SELECT CUST_ID, CASE WHEN at < 3 THEN at ELSE 5 - at END AS FOLD FROM k"""
+        cast('0x' || substr(md5(CUST_ID || '|0'), 1, 8) AS BIGINT), CUST_ID) - 1) % 6 AS place FROM h)
+SELECT CUST_ID, CASE WHEN place < 3 THEN place ELSE 5 - place END AS FOLD FROM k"""
 
 
 @query("tune_folds", FOLD_SQL)
