@@ -30,11 +30,12 @@ HEAVY, LIGHT = 60.0, 0.05
 UNKNOWN = 4.0
 
 # fixed values: element names with a given role
-SILENT = {"script", "style", "noscript", "template", "head", "svg", "math", "iframe", "object", "canvas", "select", "textarea"}
+SILENT = {"script", "style", "noscript", "template", "head", "svg", "iframe", "canvas", "select", "textarea"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
-          "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
+          "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "object",
+          "math", "mi", "mo", "mn", "ms", "mtext", "mrow", "mfrac", "msqrt", "mroot", "msub", "msup", "msubsup", "munder", "mover"}
 BOILER = {"nav", "aside", "form", "footer", "dialog", "menu", "button", "fieldset"}
 CONTENT = {"article", "main"}
 BOILER_WORDS = re.compile(
@@ -42,8 +43,10 @@ BOILER_WORDS = re.compile(
     r"modal|nav|navbar|navigation|newsletter|notice|popup|promo\w*|related|replies|share|sharing|sidebar|skip|social|"
     r"sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
 
+# a quote counts only behind an equals sign and if it is closed before a space, a slash or the tag's end; any
+# other tag ends at the next >, or with the page
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+                    r"|<(/?)([a-zA-Z][^\s/>]*)((?>(?:=\s*\"[^\"]*\"(?=[\s/>])|=\s*'[^']*'(?=[\s/>])|[^>])*))(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)", re.I)
 SPACE = re.compile(r"\s+")
 
@@ -160,7 +163,7 @@ def learn(pages: DataFrame, html: str = "html") -> dict[str, float]:
         for b in batches:
             for source in b["html"]:
                 total.update(count_tags(source) or {})
-        yield pd.DataFrame([(t[:100], n if i else 0, 0 if i else n) for (t, i), n in total.items()],
+        yield pd.DataFrame([(t, n if i else 0, 0 if i else n) for (t, i), n in total.items()],
                            columns=["tag", "inside", "outside"]).astype({"tag": "object"})
 
     rows = (pages.select(F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).alias("html"))
