@@ -6,22 +6,22 @@ batches are filled up to a token budget: a batch holds budget // boundary pieces
 boundary of the bucket.
 
 The histogram has at most `longest` rows whatever the corpus. Pieces are numbered inside a bucket
-without gathering it in one task: each bucket is salted, the salts' counts are summed up to offsets,
-and a row's number is its rank inside its salt plus the offset.
+without gathering it in one task: all pieces lie in range partitions by bucket and hash, and a piece's
+number is its place inside its partition plus the counts of the earlier ones.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapmill.operators.ranked import running_sums
 from snapmill.runtime import collect_bounded, materialize
 
 LONGEST = 2_048
 BUCKETS = 12
 BUDGET = 16_384
-SALTS = 64
 
 
 def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
@@ -89,15 +89,9 @@ def pack(docs: DataFrame, longest: int = LONGEST, buckets: int = BUCKETS, budget
     bucket = F.lit(len(bounds) - 1)
     for i in range(len(bounds) - 2, -1, -1):
         bucket = F.when(F.col("n_tokens") <= bounds[i], i).otherwise(bucket)
-    order = F.xxhash64("doc_id", "piece")
-    salted = pieces.withColumn("bucket", bucket).withColumn("mark", order).withColumn("salt", F.pmod("mark", F.lit(SALTS)).cast("int"))
-    # buckets x SALTS rows
-    before = Window.partitionBy("bucket").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = salted.groupBy("bucket", "salt").count().select(
-        "bucket", "salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    rank = F.row_number().over(Window.partitionBy("bucket", "salt").orderBy("mark", "doc_id", "piece", "n_tokens"))
-    numbered = (salted.withColumn("rank", rank.cast("long")).join(F.broadcast(offsets), ["bucket", "salt"])
-                .withColumn("at", F.col("rank") - 1 + F.col("offset")))
+    order = F.struct(F.xxhash64("doc_id", "piece").alias("mark"), "doc_id", "piece", "n_tokens")
+    ordered = pieces.withColumns({"bucket": bucket, "order": order, "one": F.lit(1)})
+    numbered = running_sums(ordered, ["bucket"], "order", ["one"]).withColumn("at", F.col("CUM_one") - 1)
 
     def of(values: list[int]) -> Column:
         return F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in values]), F.col("bucket") + 1)

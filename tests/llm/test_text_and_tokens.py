@@ -130,6 +130,27 @@ def test_packing_fills_batches(spark):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+ARTICLE = ("<html><body><nav><ul><li><a href='/'>Home</a></li><li>All topics</li></ul></nav><article><h1>A title of the page</h1>"
+           "<p>{} Some more words of the first paragraph of this long article follow here without any end in sight.</p>"
+           "<p>The last words of it are these, and there are quite a lot of them in this paragraph too.</p></article><footer>foot</footer></body></html>")
+
+
+@pytest.mark.parametrize("odd, text", [
+    ("<b title=it's>kept</b>", "kept"), ("<a href=/x?q=it's>a link</a> goes on", "a link goes on"), ('<a href="/x>open quote</a> goes on', "open quote goes on"),
+    ("<a href='/x>open quote</a> it's on", "open quote it's on"), ("x <math><mi>a</mi><mo>+</mo><mn>1</mn></math> y", "x a+1 y"),
+    ('<b title="a > b">quoted</b>', "quoted"), ("<b data-x='<i>x</i>'>data</b>", "data"), ("1 < 2 and 3 > 2", "1 < 2 and 3 > 2"),
+    ("<object data=x>instead</object>", "instead"), ('<b class = "y"id=z>no space</b>', "no space")])
+def test_malformed_markup_loses_and_leaks_nothing(odd, text):
+    words = text + " Some more words of the first paragraph of this long article follow here without any end in sight."
+    last = "The last words of it are these, and there are quite a lot of them in this paragraph too."
+    assert pagetext.content(ARTICLE.format(odd), {}).split("\n")[-2:] == [words, last]
+
+
+def test_an_open_tag_ends_with_the_page():
+    assert pagetext.content('<p>text of the page</p><p class="x', {}) == "text of the page"
+    assert pagetext.content("<a " + 'b="c" ' * 50_000, {}) == ""
+
+
 ITEM = "If Anna buys 12 apples for 3 dollars each and then sells 5 of them to Peter for 4 dollars how much money does Anna have left"
 
 
