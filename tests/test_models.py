@@ -1,4 +1,3 @@
-import math
 from datetime import date, datetime
 
 import numpy as np
