@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in entry.queries()
     assert len(corpus_pipeline.STAGES) == 5
 
