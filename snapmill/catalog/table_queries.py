@@ -186,7 +186,7 @@ FROM xy GROUP BY 2, 3"""
 
 @query("reg_put", ctes("xy") + REG_COUNTS.format("run-1"))
 def reg_put(spark, sf):
-    return _registered(spark, sf, "run-1")._all().groupBy("DATA_ID", "IS_TRAIN", "CONV_7D").agg(
+    return _registered(spark, sf, "run-1").all().groupBy("DATA_ID", "IS_TRAIN", "CONV_7D").agg(
         F.count(F.lit(1)).alias("N_ROWS"))
 
 
@@ -208,7 +208,7 @@ def reg_list(spark, sf):
 def reg_remove(spark, sf):
     registry = _registered(spark, sf, "run-1", "run-2")
     registry.remove("run-1")
-    return registry._all().groupBy("DATA_ID", "IS_TRAIN", "CONV_7D").agg(F.count(F.lit(1)).alias("N_ROWS"))
+    return registry.all().groupBy("DATA_ID", "IS_TRAIN", "CONV_7D").agg(F.count(F.lit(1)).alias("N_ROWS"))
 
 
 # the features of every event date, of whose inputs the account snapshots of some weekdays are withheld

@@ -48,15 +48,28 @@ class TrainingRegistry:
     def has(self, data_id: str) -> bool:
         return self.log.state(self._folder(data_id))[1] is not None
 
+    def _read(self, base: str, *folders: str) -> DataFrame:
+        # ids are text even when they look like numbers, so their type must not be inferred
+        kinds = {ID: T.StringType(), IS_TRAIN: T.BooleanType()}
+        found = self.spark.read.options(basePath=base, mergeSchema=True).parquet(*folders).schema
+        schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found])
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*folders)
+
+    def all(self) -> DataFrame:
+        """The rows of every registered pair, with DATA_ID and IS_TRAIN."""
+        root = self.path.rstrip("/")
+        folders = [f"{root}/{folder}/{VERSION}={version}" for folder, version in sorted(self.log.current().items())]
+        if not folders:
+            return self.spark.createDataFrame([], f"{ID} string, {IS_TRAIN} boolean")
+        return self._read(root, *folders).drop(VERSION)
+
     def fetch(self, data_id: str) -> tuple[DataFrame, DataFrame]:
         """(train, test) of an id."""
         _, version = self.log.state(self._folder(data_id))
         if version is None:
             raise ValueError(f"{data_id} is not registered")
         base = f"{self.path.rstrip('/')}/{self._folder(data_id)}/{VERSION}={version}"
-        found = self.spark.read.option("basePath", base).parquet(base)
-        kinds = T.StructType([T.StructField(f.name, T.BooleanType() if f.name == IS_TRAIN else f.dataType) for f in found.schema])
-        rows = self.spark.read.schema(kinds).option("basePath", base).parquet(base)
+        rows = self._read(base, base)
         return rows.where(F.col(IS_TRAIN)).drop(IS_TRAIN), rows.where(~F.col(IS_TRAIN)).drop(IS_TRAIN)
 
     def remove(self, data_id: str) -> None:

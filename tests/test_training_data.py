@@ -83,3 +83,36 @@ def test_registry_replaces_fetches_and_removes(spark, panel, tmp_path):
     assert sorted(r.DATA_ID for r in reg.ids().collect()) == ["2024", "b"]
     reg.remove("2024")
     assert [r.DATA_ID for r in reg.ids().collect()] == ["b"]
+
+
+def test_registry_shows_the_visible_rows_of_all_ids(spark, panel, tmp_path):
+    reg = TrainingRegistry(spark, str(tmp_path / "reg"))
+    assert reg.all().collect() == []
+    # ids that look like numbers, or hold characters that folder names escape, stay text
+    for data_id in ("007", "a/b=c"):
+        reg.put(data_id, panel.limit(9), panel.limit(9))
+        reg.put(data_id, panel.limit(7), panel.limit(4))
+
+    def counts():
+        return {(r.DATA_ID, r.IS_TRAIN): r["count"] for r in reg.all().groupBy("DATA_ID", "IS_TRAIN").count().collect()}
+
+    assert counts() == {("007", True): 7, ("007", False): 4, ("a/b=c", True): 7, ("a/b=c", False): 4}
+    reg.remove("007")
+    assert counts() == {("a/b=c", True): 7, ("a/b=c", False): 4}
+    reg.remove("a/b=c")
+    assert reg.all().collect() == []
+
+
+@pytest.mark.parametrize("name", ["reg_put", "reg_remove"])
+def test_registry_queries_agree_with_their_sql(spark, name):
+    import duckdb
+
+    from conftest import SF
+    from snapmill.catalog import ORACLES, QUERIES
+
+    db = duckdb.connect()
+    for table in ("customer", "supplier", "orders", "lineitem", "events", "part", "nation", "region"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    got = QUERIES[name](spark, SF)
+    want = db.execute(ORACLES[name]).df()
+    assert sorted(map(tuple, got.collect())) == sorted(want[got.columns].itertuples(index=False, name=None))
