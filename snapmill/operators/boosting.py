@@ -1,10 +1,11 @@
 """Gradient boosting for several classes: one tree per class and round, coupled by the softmax.
 
-Columns are binned once by quantiles, a byte each, and written with label, weight and margins. Every level of
-a round is one scan: a task walks its rows down the round's unfinished trees, all classes at once, and sums
-gradients and curvatures per class, node, column and bin; partial sums meet in one aggregation whose result
-has no more rows than classes x nodes x columns x bins. The driver reads the best splits from it. Margins are
-written anew every REFRESH rounds; in between tasks add the few trees since. Rows never leave the tasks.
+Columns are binned once by quantiles, a byte each, and written with label, weight and margins in blocks of
+rows, so that a task handles a few byte strings a block and no object per row. Every level of a round is one
+scan: a task walks its rows down the round's unfinished trees, all classes at once, and sums gradients and
+curvatures per class, node, column and bin; partial sums meet in one aggregation whose result has no more
+rows than classes x nodes x columns x bins. The driver reads the best splits from it. Margins are written
+anew every REFRESH rounds; in between tasks add the few trees since. Rows never leave the tasks.
 """
 
 from __future__ import annotations
@@ -22,7 +23,11 @@ from pyspark.sql import functions as F
 from snapmill.operators.compiled import CompiledModel, Node
 from snapmill.runtime import collect_bounded, materialize
 
-REFRESH = 10
+REFRESH = 5
+# rows of a block
+BLOCK = 8192
+# gradients and curvatures are multiples of 1 / UNIT, so sums below 2 ** 23 do not depend on the rows' order
+UNIT = float(1 << 30)
 HESSIAN_FLOOR = 1e-3
 
 
@@ -94,31 +99,37 @@ class SoftmaxBoosting:
         return [np.array([v for v in sorted(set(row[f"q{i}"])) if v < row[f"m{i}"]]) for i in range(width)]
 
     def _binned(self, x: DataFrame, edges: list[np.ndarray], start: np.ndarray) -> DataFrame:
+        """Blocks of rows: N rows, bins by column, labels, weights, margins by class and draws as bytes."""
         share, seed = self.subsamplingRate, self.seed
 
         def bins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                v = np.vstack(b["X"].to_list()) if len(b) else np.zeros((0, len(edges)))
-                codes = np.column_stack([np.searchsorted(e, v[:, i], side="left") for i, e in enumerate(edges)]).astype(np.uint8)
-                yield pd.DataFrame({"B": [c.tobytes() for c in codes], "Y": b["Y"], "W": b["W"], "M": [start.tobytes()] * len(b), "U": b["U"]})
+                for at in range(0, len(b), BLOCK):
+                    part = b.iloc[at:at + BLOCK]
+                    v = np.vstack(part["X"].to_list())
+                    codes = np.stack([np.searchsorted(e, v[:, i], side="left") for i, e in enumerate(edges)]).astype(np.uint8)
+                    drawn = part["U"].to_numpy(np.int64).tobytes() if share < 1.0 else b""
+                    yield pd.DataFrame({"N": [len(part)], "B": [codes.tobytes()], "Y": [part["Y"].to_numpy(np.int32).tobytes()],
+                                        "W": [part["W"].to_numpy(np.float64).tobytes()],
+                                        "M": [np.repeat(start, len(part)).tobytes()], "U": [drawn]})
 
         # the row's draw is a hash of its values, so repeated tasks agree
         drawn = x.withColumn("U", F.xxhash64(F.lit(seed), "X", "Y")) if share < 1.0 else x.withColumn("U", F.lit(0).cast("long"))
-        return materialize(drawn.mapInPandas(bins, "B binary, Y int, W double, M binary, U long"))
+        return materialize(drawn.mapInPandas(bins, "N int, B binary, Y binary, W binary, M binary, U binary"))
 
-    def _state(self, batch: pd.DataFrame, since: list[list[_Tree]]) -> tuple[np.ndarray, np.ndarray]:
-        b = np.frombuffer(b"".join(batch["B"]), np.uint8).reshape(len(batch), -1)
-        m = np.frombuffer(b"".join(batch["M"]), np.float64).reshape(len(batch), self.n_classes).copy()
+    def _state(self, block, since: list[list[_Tree]]) -> tuple[np.ndarray, np.ndarray]:
+        """Bins (column, row) and margins (class, row) of a block."""
+        b = np.frombuffer(block.B, np.uint8).reshape(-1, block.N)
+        m = np.frombuffer(block.M, np.float64).reshape(self.n_classes, block.N).copy()
         for r in since:
             for k, t in enumerate(r):
-                m[:, k] += t.values(b)
+                m[k] += t.values(b)
         return b, m
 
     def _refreshed(self, table: DataFrame, since: list[list[_Tree]]) -> DataFrame:
         def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                _, m = self._state(batch, since)
-                yield batch.assign(M=[v.tobytes() for v in m])
+                yield batch.assign(M=[self._state(block, since)[1].tobytes() for block in batch.itertuples(index=False)])
 
         return materialize(table.mapInPandas(move, table.schema))
 
@@ -131,44 +142,54 @@ class SoftmaxBoosting:
             open_nodes = [(k, i) for k, t in enumerate(trees) for i in t.open]
             if not open_nodes:
                 break
-            slot = {key: s for s, key in enumerate(open_nodes)}
+            # the open nodes of a class have neighbouring slots
+            slots = [np.full(len(t.feature), -1) for t in trees]
+            for s, (k, i) in enumerate(open_nodes):
+                slots[k][i] = s
+            size = len(open_nodes) * bins
+            # the last level needs no splits, so one column's sums are enough
+            columns = width if depth < self.maxDepth else 1
 
             def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                total = np.zeros((3, len(slot) * width * bins))
-                offset = np.arange(width) * bins
+                total = np.zeros((3, width, size))
                 for batch in batches:
-                    if threshold < modulus:
-                        u = (batch["U"].to_numpy() ^ (n * 0x9E3779B1)) % modulus
-                        batch = batch[u < threshold]
-                    if not len(batch):
-                        continue
-                    b, m = self._state(batch, since)
-                    y, w = batch["Y"].to_numpy(), batch["W"].to_numpy()
-                    e = np.exp(m - m.max(axis=1, keepdims=True))
-                    p = e / e.sum(axis=1, keepdims=True)
-                    for k, t in enumerate(trees):
-                        at = t.place(b)
-                        where = np.array([slot.get((k, i), -1) for i in range(len(t.feature))])[at]
-                        here = where >= 0
-                        if not here.any():
-                            continue
-                        cell = ((where[here] * (width * bins))[:, None] + offset + b[here]).ravel()
-                        pk, wk = p[here, k], w[here]
-                        g = wk * (pk - (y[here] == k))
-                        h = wk * pk * (1 - pk) * (k_all / (k_all - 1))
-                        for i, v in enumerate((g, h, np.ones(len(g)))):
-                            total[i] += np.bincount(cell, np.repeat(v, width), len(total[i]))
+                    for block in batch.itertuples(index=False):
+                        b, m = self._state(block, since)
+                        y, w = np.frombuffer(block.Y, np.int32), np.frombuffer(block.W, np.float64)
+                        taken = None
+                        if threshold < modulus:
+                            taken = (np.frombuffer(block.U, np.int64) ^ (n * 0x9E3779B1)) % modulus < threshold
+                        e = np.exp(m - m.max(axis=0))
+                        p = e / e.sum(axis=0)
+                        for k, t in enumerate(trees):
+                            where = slots[k][t.place(b)]
+                            here = where >= 0 if taken is None else (where >= 0) & taken
+                            if not here.any():
+                                continue
+                            every = here.all()
+                            base = (where if every else where[here]) * bins
+                            pk, wk, yk = (p[k], w, y) if every else (p[k][here], w[here], y[here])
+                            g = np.rint(wk * (pk - (yk == k)) * UNIT) / UNIT
+                            h = np.rint(wk * pk * (1 - pk) * (k_all / (k_all - 1)) * UNIT) / UNIT
+                            lo, hi = int(base.min()), int(base.max()) + bins
+                            base = base - lo
+                            for i in range(columns):
+                                cell = base + (b[i] if every else b[i][here])
+                                total[0, i, lo:hi] += np.bincount(cell, g, hi - lo)
+                                total[1, i, lo:hi] += np.bincount(cell, h, hi - lo)
+                                total[2, i, lo:hi] += np.bincount(cell, minlength=hi - lo)
+                total = total.reshape(3, -1)
                 at = np.nonzero(total[2])[0]
                 yield pd.DataFrame({"C": at, "G": total[0][at], "H": total[1][at], "N": total[2][at]})
 
             found = (table.mapInPandas(sums, "C int, G double, H double, N double").groupBy("C")
                      .agg(F.sum("G").alias("G"), F.sum("H").alias("H"), F.sum("N").alias("N")))
-            grid = np.zeros((3, len(slot) * width * bins))
+            grid = np.zeros((3, width * size))
             for r in collect_bounded(found, grid.shape[1], "histogram cells"):
                 grid[:, r.C] = r.G, r.H, r.N
-            grid = grid.reshape(3, len(slot), width, bins)
-            for (k, i), s in slot.items():
-                self._split(trees[k], i, grid[:, s], last=depth == self.maxDepth)
+            grid = grid.reshape(3, width, len(open_nodes), bins)
+            for s, (k, i) in enumerate(open_nodes):
+                self._split(trees[k], i, grid[:, :, s], last=depth == self.maxDepth)
         return trees
 
     def _split(self, tree: _Tree, node: int, grid: np.ndarray, last: bool) -> None:
@@ -205,16 +226,21 @@ class _Tree:
                 column.append(v)
 
     def place(self, b: np.ndarray) -> np.ndarray:
-        """The node that every row rests in."""
-        feature, last, left = np.array(self.feature), np.array(self.bin), np.array(self.left)
-        at = np.zeros(len(b), np.int64)
-        while True:
-            f = feature[at]
-            inner = np.nonzero(f >= 0)[0]
-            if not len(inner):
-                return at
-            i = at[inner]
-            at[inner] = left[i] + (b[inner, f[inner]] > last[i])
+        """The node that every row of the bins (column, row) rests in."""
+        at = np.zeros(b.shape[1], np.int64)
+        todo = [(0, None)]
+        while todo:
+            i, rows = todo.pop()
+            if self.feature[i] < 0:
+                at[slice(None) if rows is None else rows] = i
+                continue
+            column = b[self.feature[i]]
+            right = (column if rows is None else column[rows]) > self.bin[i]
+            for child, side in ((self.left[i], ~right), (self.left[i] + 1, right)):
+                chosen = np.flatnonzero(side) if rows is None else rows[side]
+                if len(chosen):
+                    todo.append((child, chosen))
+        return at
 
     def values(self, b: np.ndarray) -> np.ndarray:
         return np.array(self.value)[self.place(b)]

@@ -11,7 +11,7 @@ from snapmill.operators import calendar as cal
 from snapmill.operators import explain as ex
 from snapmill.operators import model as m
 from snapmill.operators import select as fs
-from snapmill.operators.boosting import SoftmaxBoosting
+from snapmill.operators.boosting import SoftmaxBoosting, _Tree
 from snapmill.operators.compiled import CompiledModel, compile_model
 from snapmill.plans import scoring, training
 from snapmill.runtime import materialize
@@ -291,6 +291,22 @@ def test_refreshed_margins_change_nothing(rings, monkeypatch):
         boosting.fit(data.limit(0))
 
 
+def test_boosting_keeps_rows_in_blocks(rings):
+    """Tasks read a few byte strings a block, not an object per row, and walk them to the leaves of a plain walk."""
+    data = m.assembled(rings.withColumn("c", F.when(F.col("CONV_7D") == "in", 0).otherwise(1)), ["x", "z"], "c")
+    boosting = SoftmaxBoosting(2, maxBins=8)
+    x = data.select(vector_to_array("V").alias("X"), F.col("Y").cast("int").alias("Y"), F.col("W"))
+    table = boosting._binned(x, boosting._edges(x, 2), np.zeros(2))
+    blocks = table.collect()
+    assert sum(b.N for b in blocks) == rings.count() and len(blocks) < 50
+    tree = _Tree()
+    tree.split(0, 0, 3, 1.0)
+    tree.split(2, 1, 4, 1.0)
+    for b in blocks:
+        bins, _ = boosting._state(b, [])
+        assert tree.place(bins).tolist() == [1 if u <= 3 else 3 if v <= 4 else 4 for u, v in bins.T.tolist()]
+
+
 def test_tuning_of_several_classes(rings):
     model = training.train(rings, m.TreeParams("multiclass", 2), m.TuneParams(n_cv=2, n_trials=2), ["x", "z"])
     assert len(model.trials) == 2 and max(t[2] for t in model.trials) > 0.7
