@@ -8,6 +8,10 @@ in size by the factor 1/s at most). Keys are shuffled once; within a key fingerp
 all their bits, and those near enough are joined by the spanning forest of smallest distances, so a group
 of any size hands on fewer links than it has members. Every link is then verified by the exact Jaccard
 similarity of the two shingle sets.
+
+Fingerprints miss some links at just the similarity. So what they leave apart is joined exactly: two sets
+of similarity s share one of their first n - ceil(s n) + 1 shingles in any common order (rest_links). The
+order puts shingles that many documents hold last, and only texts of different components are paired.
 """
 
 from __future__ import annotations
@@ -147,17 +151,122 @@ def node_of(words: np.ndarray) -> np.ndarray:
 _COLUMNS = [f"w{k}" for k in range(WORDS)]
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, node, w0..w3, n (distinct shingles) of every row."""
+# the order of shingles is read from about so many documents; it changes the work, never the links
+ORDER_DOCS = 20_000
+ORDER_SEEN = 4
+ORDER_SHINGLES = 1_000_000
+
+
+def common_shingles(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
+    """Shingles that many documents hold, rarest first, as a sample shows them; at most ORDER_SHINGLES, the most frequent."""
+    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                yield pd.DataFrame({"h": np.concatenate([shingles(t, size) for t in b["text"]]).view(np.int64)})
+
+    every = max(1, docs.count() // ORDER_DOCS)
+    some = texts(docs).where(F.pmod(F.xxhash64(F.lit("order"), "doc_id"), F.lit(every)) == 0)
+    seen = some.mapInPandas(hashes, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= ORDER_SEEN)
+    rows = seen.orderBy(F.desc("n"), "h").limit(ORDER_SHINGLES).toPandas()
+    return rows["h"].to_numpy(np.int64).view(np.uint64)[::-1].copy()
+
+
+def prefix(hashes: np.ndarray, common: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
+    """The first n - ceil(similarity n) + 1 shingles: by hash those not in common (sorted), then common ones by rank."""
+    n = len(hashes)
+    take = n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        order = np.where(common[at] == hashes, rank[at], -1)
+        hashes = hashes[np.argsort(order, kind="stable")]
+    return hashes[:take]
+
+
+def fingerprints(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, node, w0..w3, n (distinct shingles) and the first shingles in the common order of every row."""
+    ranked = common_shingles(docs, size)
+    by_hash = np.argsort(ranked)
+    order = docs.sparkSession.sparkContext.broadcast((ranked[by_hash], by_hash))
+
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
                 sets = [shingles(t, size) for t in b["text"]]
                 words = np.array([wide_fingerprint(s) for s in sets], np.uint64)
                 yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "node": node_of(words),
-                                    **dict(zip(_COLUMNS, words.view(np.int64).T, strict=True)), "n": [len(s) for s in sets]})
+                                    **dict(zip(_COLUMNS, words.view(np.int64).T, strict=True)), "n": [len(s) for s in sets],
+                                    "first": [prefix(s, *order.value, similarity).view(np.int64) for s in sets]})
+
+    return texts(docs).mapInPandas(made, "doc_id long, node long, w0 long, w1 long, w2 long, w3 long, n int, first array<long>")
+
+
+def near_sizes(n: np.ndarray, root: np.ndarray, similarity: float, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (i, j) of different roots whose sizes allow the similarity, in pieces of about `most` pairs."""
+    order = np.argsort(n, kind="stable")
+    sizes, roots = n[order], root[order]
+    # partners of a row are behind it, up to the size that the similarity allows
+    end = np.searchsorted(sizes, np.floor(sizes / similarity + 1e-6), side="right")
+    width = end - np.arange(len(n)) - 1
+    cut = np.flatnonzero(np.diff(np.cumsum(width) // most, prepend=-1))
+    for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(n)], strict=True):
+        i = np.repeat(np.arange(lo, hi), width[lo:hi])
+        first = np.repeat(np.cumsum(width[lo:hi]) - width[lo:hi], width[lo:hi])
+        j = i + 1 + np.arange(len(i)) - first
+        apart = roots[i] != roots[j]
+        yield order[i[apart]], order[j[apart]]
+
+
+def rest_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) between nodes of different roots that may reach the similarity; none that does is left out.
+
+    nodes has one row (node, root, n, first) per node. Of two sets c common shingles among the first ones are
+    known; all others lie behind the shorter reach, so the overlap is at most c + max(n - len(first)).
+    """
+    whole_batches(nodes.sparkSession)
+
+    def settle(key: np.ndarray, node: np.ndarray, root: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
+        if not len(key):
+            return
+        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        mixed = np.minimum.reduceat(root, start) != np.maximum.reduceat(root, start)
+        held, count = [], 0
+        for s, e in zip(start[mixed].tolist(), np.append(start[1:], len(key))[mixed].tolist(), strict=True):
+            for i, j in near_sizes(n[s:e], root[s:e], similarity):
+                i, j = i + s, j + s
+                flip = node[i] > node[j]
+                i, j = np.where(flip, j, i), np.where(flip, i, j)
+                held.append(pd.DataFrame({"a": node[i], "b": node[j], "na": n[i], "nb": n[j]}))
+                count += len(i)
+                if count > 1 << 18:
+                    yield pd.concat(held)
+                    held, count = [], 0
+        if held:
+            yield pd.concat(held)
+
+    def paired(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[np.ndarray, ...]] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            held.append(tuple(batch[c].to_numpy() for c in ("key", "node", "root", "n")))
+            if held[0][0][0] == held[-1][0][-1]:
+                continue  # one key goes on
+            parts = [np.concatenate(x) for x in zip(*held, strict=True)]
+            cut = int(np.searchsorted(parts[0], parts[0][-1]))
+            yield from settle(*(x[:cut] for x in parts))
+            held = [tuple(x[cut:] for x in parts)]
+        if held:
+            yield from settle(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = nodes.select(F.explode("first").alias("key"), "node", "root", "n").repartition(parts, "key").sortWithinPartitions("key")
+    pairs = rows.mapInPandas(paired, "a long, b long, na int, nb int").groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
+
+    def behind(n: str):
+        return F.ceil(F.lit(similarity) * F.col(n) - 1e-9) - 1
 
-    return texts(docs).mapInPandas(made, "doc_id long, node long, w0 long, w1 long, w2 long, w3 long, n int")
+    needed = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("na") + F.col("nb")) - 1e-9)
+    return pairs.where(F.col("c") + F.greatest(behind("na"), behind("nb")) >= needed).select("a", "b")
 
 
 def candidates(fps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -223,7 +332,7 @@ def verified(links: DataFrame, docs: DataFrame, marked: DataFrame, similarity: f
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [np.unique(shingles(t, size).astype(np.uint32)).tobytes() for t in b["text"]]
+            found = [shingles(t, size).tobytes() for t in b["text"]]
             yield pd.DataFrame({"node": b["node"], "shingles": found})
 
     small_batches(docs.sparkSession)
@@ -235,7 +344,7 @@ def verified(links: DataFrame, docs: DataFrame, marked: DataFrame, similarity: f
         for b in batches:
             keep = []
             for x, y in zip(b["x"], b["y"], strict=True):
-                p, q = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 common = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(common >= similarity * (len(p) + len(q) - common))
             yield b.loc[keep, ["a", "b"]]
@@ -253,11 +362,20 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE)
     a null group unless a row with an id has the same fingerprint; repeated rows are kept.
     """
     small_batches(docs.sparkSession)
-    marked = materialize(fingerprints(docs, size))
+    marked = materialize(fingerprints(docs, size, similarity))
     links = verified(candidates(marked, similarity), docs, marked, similarity, size)
     roots = components(links)
+    # the nodes' first shingles are equal in all rows of a node but for nodes of null ids, which are in no link
+    nodes = marked.where("doc_id is not null").groupBy("node").agg(F.min("n").alias("n"), F.any_value("first").alias("first"))
+    nodes = materialize(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    rest = verified(rest_links(nodes, similarity), docs, marked, similarity, size)
+    known = nodes.select("node", "root")
+    bridges = (rest.join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b")
+               .select(F.col("x").alias("a"), F.col("y").alias("b")))
+    joined = components(bridges).toDF("root", "whole")
     first = marked.groupBy("node").agg(F.min("doc_id").alias("first"))
-    classes = first.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    classes = (first.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+               .join(joined, "root", "left").select("node", "first", F.coalesce("whole", "root").alias("root")))
     least = classes.groupBy("root").agg(F.min("first").alias("group_id"))
     classes = materialize(classes.join(least, "root").select("node", "group_id"))
     forget()

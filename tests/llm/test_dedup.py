@@ -193,3 +193,38 @@ def test_suffix_order_is_that_of_sorted_suffixes():
     order, _, _ = runindex.sort_suffixes(raw, rest, 20)
     plain = sorted(range(len(raw)), key=lambda i: (raw[i:i + rest[i]].tobytes(), i))
     assert order.tolist() == plain
+
+
+def test_links_at_just_the_similarity_are_all_found(spark):
+    """Pairs of 5 and 4, and of 45 and 36 shingles: a Jaccard similarity of 0.8, beside a line that all texts share."""
+    rng = np.random.default_rng(5)
+    rows, at = [], 0
+    for n, line in ((5, ""), (45, ""), (45, " all of the texts here end with this very same line")):
+        for _ in range(40):
+            words = [f"w{v}" for v in rng.integers(0, 10**9, n + 4)]
+            shorter = words[:len(words) - (n + (10 if line else 0)) // 5]
+            rows += [(at, " ".join(words) + line), (at + 1, " ".join(shorter) + line)]
+            at += 2
+    sets = {i: set(similar.shingles(t).tolist()) for i, t in rows}
+    near = [i for i in range(0, at, 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])]
+    assert len(near) >= 80
+    got = {r.doc_id: r.group_id for r in similar.groups(docs_of(spark, rows)).collect()}
+    want = {i: i - 1 if i % 2 and i - 1 in near else i for i in range(at)}
+    assert got == want
+
+
+def test_first_shingles_put_common_ones_last():
+    hashes = np.arange(1, 11, dtype=np.uint64)
+    common = np.array([1, 2], np.uint64)
+    assert similar.prefix(hashes, common, np.array([1, 0]), 0.8).tolist() == [3, 4, 5]
+    assert similar.prefix(hashes[:2], common, np.array([1, 0]), 0.8).tolist() == [2]
+    assert similar.prefix(hashes[:0], common, np.array([1, 0]), 0.8).tolist() == []
+
+
+def test_pairs_of_allowed_sizes_are_complete():
+    rng = np.random.default_rng(6)
+    n, root = rng.integers(1, 40, 60), rng.integers(0, 9, 60)
+    for most in (7, 1 << 20):
+        got = [tuple(sorted(p)) for i, j in similar.near_sizes(n, root, 0.8, most) for p in zip(i.tolist(), j.tolist(), strict=True)]
+        want = [(i, j) for i in range(60) for j in range(i + 1, 60) if root[i] != root[j] and min(n[i], n[j]) >= 0.8 * max(n[i], n[j])]
+        assert sorted(got) == want
