@@ -11,7 +11,11 @@ similarity of the two shingle sets.
 
 Fingerprints miss some links at just the similarity. So what they leave apart is joined exactly: two sets
 of similarity s share one of their first n - ceil(s n) + 1 shingles in any common order (rest_links). The
-order puts shingles that many documents hold last, and only texts of different components are paired.
+order puts shingles that many documents hold last, and only texts of different components are paired, once
+for each run of shingles that follow each other in both. Positions and parity bits bound the similarity from
+above, so most pairs never leave the task. Forests of the likeliest links go first, with at most one link for
+each component in a key; what they join is one component in the passes that follow, and the last pass takes
+every pair still apart.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmill.llm.common import few_rows, forget, small_batches, texts, whole_batches, without
@@ -68,6 +72,12 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view("<u8")
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Whether 256 classes of the hashes are odd, in WORDS 64-bit words: two sets differ in at least as many members as bits."""
+    odd = np.bincount((hashes >> np.uint64(56)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<u8")
+
+
 def allowed(similarity: float) -> int:
     """Bits in which sets of this similarity may differ and still be checked."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
@@ -90,8 +100,8 @@ def segment_keys(words: np.ndarray, size_class: np.ndarray, code: Golay) -> tupl
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def spanning(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The spanning forest of smallest distances of the links (a, b); ties by the nodes' order."""
+def forest(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Positions of the links (a, b) in the spanning forest of smallest distances; ties by the nodes' order."""
     nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
     x, y = at[:len(a)], at[len(a):]
     order = np.lexsort((np.maximum(x, y), np.minimum(x, y), d))
@@ -117,7 +127,12 @@ def spanning(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, n
             if np.array_equal(new, label):
                 break
             label = new
-    keep = order[taken]
+    return order[taken]
+
+
+def spanning(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The links of the spanning forest of smallest distances."""
+    keep = forest(a, b, d)
     return a[keep], b[keep], d[keep]
 
 
@@ -149,6 +164,7 @@ def node_of(words: np.ndarray) -> np.ndarray:
 
 
 _COLUMNS = [f"w{k}" for k in range(WORDS)]
+_PARITIES = [f"p{k}" for k in range(WORDS)]
 
 
 # the order of shingles is read from about so many documents; it changes the work, never the links
@@ -183,7 +199,7 @@ def prefix(hashes: np.ndarray, common: np.ndarray, rank: np.ndarray, similarity:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, node, w0..w3, n (distinct shingles) and the first shingles in the common order of every row."""
+    """doc_id, node, w0..w3, p0..p3, n (distinct shingles) and the first shingles in the common order of every row."""
     ranked = common_shingles(docs, size)
     by_hash = np.argsort(ranked)
     order = docs.sparkSession.sparkContext.broadcast((ranked[by_hash], by_hash))
@@ -193,19 +209,24 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMIL
             if len(b):
                 sets = [shingles(t, size) for t in b["text"]]
                 words = np.array([wide_fingerprint(s) for s in sets], np.uint64)
+                odd = np.array([parities(s) for s in sets], np.uint64)
                 yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "node": node_of(words),
-                                    **dict(zip(_COLUMNS, words.view(np.int64).T, strict=True)), "n": [len(s) for s in sets],
+                                    **dict(zip(_COLUMNS, words.view(np.int64).T, strict=True)),
+                                    **dict(zip(_PARITIES, odd.view(np.int64).T, strict=True)), "n": [len(s) for s in sets],
                                     "first": [prefix(s, *order.value, similarity).view(np.int64) for s in sets]})
 
-    return texts(docs).mapInPandas(made, "doc_id long, node long, w0 long, w1 long, w2 long, w3 long, n int, first array<long>")
+    return texts(docs).mapInPandas(made, "doc_id long, node long, w0 long, w1 long, w2 long, w3 long, "
+                                         "p0 long, p1 long, p2 long, p3 long, n int, first array<long>")
 
 
-def near_sizes(n: np.ndarray, root: np.ndarray, similarity: float, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions (i, j) of different roots whose sizes allow the similarity, in pieces of about `most` pairs."""
-    order = np.argsort(n, kind="stable")
-    sizes, roots = n[order], root[order]
+def near_sizes(n: np.ndarray, root: np.ndarray, similarity: float, most: int = 1 << 20,
+               key: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (i, j) of different roots, of one key (0, 1, ..; None: all), whose sizes allow the similarity, about `most` pairs a piece."""
+    key = np.zeros(len(n), np.int64) if key is None else key
+    order = np.lexsort((n, key))
+    sizes, roots, base = n[order].astype(np.int64), root[order], key[order] << 32
     # partners of a row are behind it, up to the size that the similarity allows
-    end = np.searchsorted(sizes, np.floor(sizes / similarity + 1e-6), side="right")
+    end = np.searchsorted(base + sizes, base + np.floor(sizes / similarity + 1e-6).astype(np.int64), side="right")
     width = end - np.arange(len(n)) - 1
     cut = np.flatnonzero(np.diff(np.cumsum(width) // most, prepend=-1))
     for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(n)], strict=True):
@@ -216,39 +237,91 @@ def near_sizes(n: np.ndarray, root: np.ndarray, similarity: float, most: int = 1
         yield order[i[apart]], order[j[apart]]
 
 
-def rest_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (a, b) between nodes of different roots that may reach the similarity; none that does is left out.
+# rounds of forests before the pass over all pairs still apart
+FORESTS = 1
+
 
-    nodes has one row (node, root, n, first) per node. Of two sets c common shingles among the first ones are
-    known; all others lie behind the shorter reach, so the overlap is at most c + max(n - len(first)).
+def shared_firsts(nodes: DataFrame) -> DataFrame:
+    """key, node, n, p0..p3, at, before of the first shingles that nodes of several roots hold.
+
+    nodes has one row (node, root, n, first, p0..p3) per node. A key is a shingle, `at` its position in the
+    node's order and `before` the shingle in front of it.
     """
-    whole_batches(nodes.sparkSession)
+    rows = nodes.select("node", "root", "first", F.posexplode("first").alias("at", "key")).select(
+        "key", "node", "root", "at", F.when(F.col("at") > 0, F.get("first", F.col("at") - 1)).otherwise(0).alias("before"))
+    every = Window.partitionBy("key")
+    mixed = (rows.withColumns({"low": F.min("root").over(every), "high": F.max("root").over(every)})
+             .where("low != high").drop("low", "high", "root"))
+    return materialize(mixed.join(nodes.select("node", "n", *_PARITIES), "node"))
+
+
+def reaching(links: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The links (a, b) that may reach the similarity by their first shingles (node, n, first): all others lie behind the shorter reach."""
+    def bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            keep = []
+            for x, y, m, n in zip(b["x"], b["y"], b["na"], b["nb"], strict=True):
+                common = len(np.intersect1d(x, y, assume_unique=True)) + max(m - len(x), n - len(y))
+                keep.append(common >= math.ceil(similarity / (1 + similarity) * (m + n) - 1e-9))
+            yield b.loc[keep, ["a", "b"]]
+
+    links = materialize(links)
+    small_batches(links.sparkSession, 1000)
+    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("first").alias("x"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("first").alias("y"))
+    return materialize(links.join(left, "a").join(right, "b").select("a", "b", "x", "y", "na", "nb").mapInPandas(bounded, "a long, b long"))
+
+
+def rest_links(shared: DataFrame, known: DataFrame, similarity: float = SIMILARITY, whole: bool = True) -> DataFrame:
+    """Links (a, b) between nodes of different roots that may reach the similarity; with `whole` none that does is left out.
 
-    def settle(key: np.ndarray, node: np.ndarray, root: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
+    shared are shared_firsts, known has (node, root) of every node. At the first key that two sets share, all
+    they have in common lies at or behind it, and the shingles in front of it differ; sets differ in at least
+    as many shingles as parity bits. Without `whole` only a forest over the roots of the likeliest links is made.
+    """
+    whole_batches(shared.sparkSession)
+
+    def settle(key: np.ndarray, node: np.ndarray, root: np.ndarray, n: np.ndarray, at: np.ndarray, before: np.ndarray,
+               *odd: np.ndarray) -> Iterator[pd.DataFrame]:
         if not len(key):
             return
-        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        mixed = np.minimum.reduceat(root, start) != np.maximum.reduceat(root, start)
-        held, count = [], 0
-        for s, e in zip(start[mixed].tolist(), np.append(start[1:], len(key))[mixed].tolist(), strict=True):
-            for i, j in near_sizes(n[s:e], root[s:e], similarity):
-                i, j = i + s, j + s
-                flip = node[i] > node[j]
-                i, j = np.where(flip, j, i), np.where(flip, i, j)
-                held.append(pd.DataFrame({"a": node[i], "b": node[j], "na": n[i], "nb": n[j]}))
-                count += len(i)
-                if count > 1 << 18:
-                    yield pd.concat(held)
-                    held, count = [], 0
-        if held:
-            yield pd.concat(held)
+        number = np.cumsum(np.concatenate(([0], key[1:] != key[:-1]))).astype(np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def named(i: np.ndarray, j: np.ndarray) -> pd.DataFrame:
+            return pd.DataFrame({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])}).drop_duplicates()
+
+        def likeliest() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            i, j, d = (np.concatenate(x) for x in zip(*parts, strict=True))
+            keep = forest(root[i], root[j], d)
+            return i[keep], j[keep], d[keep]
+
+        for i, j in near_sizes(n, root, similarity, key=number):
+            total = n[i] + n[j]
+            needed = np.ceil(similarity / (1 + similarity) * total - 1e-9)
+            fits = (np.minimum(n[i] - at[i], n[j] - at[j]) >= needed) & ((at[i] == 0) | (at[j] == 0) | (before[i] != before[j]))
+            i, j, total, needed = i[fits], j[fits], total[fits], needed[fits]
+            # unsigned, since of a negative number the absolute value would be counted
+            d = sum(np.bitwise_count((p[i] ^ p[j]).view(np.uint64)).astype(np.int64) for p in odd)
+            fits = d <= total - 2 * needed
+            i, j, d = i[fits], j[fits], d[fits] / total[fits]
+            if whole and len(i):
+                yield named(i, j)
+            elif len(i):
+                parts.append((i, j, d))
+                if sum(len(p[0]) for p in parts) > 1 << 18:
+                    parts = [likeliest()]
+        if parts:
+            yield named(*likeliest()[:2])
+
+    columns = ["key", "node", "root", "n", "at", "before", *_PARITIES]
 
     def paired(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             if not len(batch):
                 continue
-            held.append(tuple(batch[c].to_numpy() for c in ("key", "node", "root", "n")))
+            held.append(tuple(batch[c].to_numpy(np.int64) for c in columns))
             if held[0][0][0] == held[-1][0][-1]:
                 continue  # one key goes on
             parts = [np.concatenate(x) for x in zip(*held, strict=True)]
@@ -258,15 +331,9 @@ def rest_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         if held:
             yield from settle(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = nodes.select(F.explode("first").alias("key"), "node", "root", "n").repartition(parts, "key").sortWithinPartitions("key")
-    pairs = rows.mapInPandas(paired, "a long, b long, na int, nb int").groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
-
-    def behind(n: str):
-        return F.ceil(F.lit(similarity) * F.col(n) - 1e-9) - 1
-
-    needed = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("na") + F.col("nb")) - 1e-9)
-    return pairs.where(F.col("c") + F.greatest(behind("na"), behind("nb")) >= needed).select("a", "b")
+    parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = shared.join(known, "node").select(*columns).repartition(parts, "key").sortWithinPartitions("key")
+    return rows.mapInPandas(paired, "a long, b long").distinct()
 
 
 def candidates(fps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -354,6 +421,14 @@ def verified(links: DataFrame, docs: DataFrame, marked: DataFrame, similarity: f
     return materialize(links.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(exact, "a long, b long"))
 
 
+def merged(known: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after the links (a, b) between nodes have joined their roots."""
+    bridges = (links.join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b")
+               .select(F.col("x").alias("a"), F.col("y").alias("b")))
+    joined = components(bridges).toDF("root", "whole")
+    return materialize(known.join(joined, "root", "left").select("node", F.coalesce("whole", "root").alias("root")))
+
+
 def groups(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
     """doc_id, group_id of every row of docs: the smallest doc_id of its near-duplicates, itself included.
 
@@ -365,17 +440,25 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE)
     marked = materialize(fingerprints(docs, size, similarity))
     links = verified(candidates(marked, similarity), docs, marked, similarity, size)
     roots = components(links)
-    # the nodes' first shingles are equal in all rows of a node but for nodes of null ids, which are in no link
-    nodes = marked.where("doc_id is not null").groupBy("node").agg(F.min("n").alias("n"), F.any_value("first").alias("first"))
-    nodes = materialize(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    rest = verified(rest_links(nodes, similarity), docs, marked, similarity, size)
-    known = nodes.select("node", "root")
-    bridges = (rest.join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b")
-               .select(F.col("x").alias("a"), F.col("y").alias("b")))
-    joined = components(bridges).toDF("root", "whole")
+    # the document that verified() takes for a node
+    chosen = marked.where("doc_id is not null").groupBy("node").agg(F.min_by(F.struct("n", "first", *_PARITIES), "doc_id").alias("x"))
+    nodes = materialize(chosen.select("node", "x.*").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    shared, known = shared_firsts(nodes), nodes.select("node", "root")
+    forget()
+
+    def linked(whole: bool) -> DataFrame:
+        links = reaching(rest_links(shared, known, similarity, whole), nodes, similarity)
+        forget()
+        return verified(links, docs, marked, similarity, size)
+
+    for _ in range(FORESTS):
+        found = linked(False)
+        if found.isEmpty():
+            break
+        known = merged(known, found)
+    known = merged(known, linked(True))
     first = marked.groupBy("node").agg(F.min("doc_id").alias("first"))
-    classes = (first.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-               .join(joined, "root", "left").select("node", "first", F.coalesce("whole", "root").alias("root")))
+    classes = first.join(known, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     least = classes.groupBy("root").agg(F.min("first").alias("group_id"))
     classes = materialize(classes.join(least, "root").select("node", "group_id"))
     forget()

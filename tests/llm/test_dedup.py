@@ -228,3 +228,55 @@ def test_pairs_of_allowed_sizes_are_complete():
         got = [tuple(sorted(p)) for i, j in similar.near_sizes(n, root, 0.8, most) for p in zip(i.tolist(), j.tolist(), strict=True)]
         want = [(i, j) for i in range(60) for j in range(i + 1, 60) if root[i] != root[j] and min(n[i], n[j]) >= 0.8 * max(n[i], n[j])]
         assert sorted(got) == want
+
+
+def near_copies(count, n=120, changed=6):
+    """Texts of one passage with `changed` words of their own: any two are just below or above the similarity."""
+    rng = np.random.default_rng(8)
+    base, rows = [f"w{v}" for v in range(n)], []
+    for i in range(count):
+        words = list(base)
+        for at in rng.choice(n - 3 * changed, rng.integers(1, changed), replace=False):
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_links_of_a_large_group_stay_few(spark):
+    """All nodes apart: the forests of four tasks hand on less than a link per node each time they are cut, and every similar pair is in the whole pass."""
+    rows = near_copies(80, changed=2)
+    marked = similar.fingerprints(docs_of(spark, rows)).localCheckpoint()
+    nodes = marked.withColumn("root", F.col("node"))
+    assert nodes.select("node").distinct().count() == 80
+    node = {r.doc_id: r.node for r in marked.collect()}
+    sets = {node[i]: set(similar.shingles(t).tolist()) for i, t in rows}
+    like = {(min(a, b), max(a, b)) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(like) == 80 * 79 // 2
+    shared = similar.shared_firsts(nodes)
+    known = nodes.select("node", "root")
+    few = {(r.a, r.b) for r in similar.rest_links(shared, known, whole=False).collect()}
+    every = [(r.a, r.b) for r in similar.rest_links(shared, known).collect()]
+    assert like <= set(every) and len(every) == len(set(every))
+    assert few <= set(every) and len(few) < 8 * 80
+    links = spark.createDataFrame(every, "a long, b long")
+    assert {(r.a, r.b) for r in similar.reaching(links, nodes).collect()} >= like
+    # texts that share too little hand on nothing, however many they are
+    apart = [(i, " ".join([f"s{v}" for v in range(76)] + [f"own{i}x{v}" for v in range(20)])) for i in range(80)]
+    nodes = similar.fingerprints(docs_of(spark, apart)).withColumn("root", F.col("node")).localCheckpoint()
+    assert similar.rest_links(similar.shared_firsts(nodes), nodes.select("node", "root")).count() == 0
+
+
+def test_a_large_group_of_near_copies_against_all_pairs(spark):
+    rows = near_copies(60) + [(100 + i, t + " and an end") for i, t in near_copies(20, 60, 8)]
+    sets = {i: set(similar.shingles(t).tolist()) for i, t in rows}
+    want = closure(sorted(sets), lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
+    assert {r.doc_id: r.group_id for r in similar.groups(docs_of(spark, rows)).collect()} == want
+
+
+def test_parity_bits_differ_no_more_than_the_sets():
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    for k in (0, 1, 5, 60, 300):
+        other = np.concatenate((base[k:], rng.integers(0, 1 << 63, k // 2, dtype=np.uint64)))
+        bits = int(np.bitwise_count(similar.parities(base) ^ similar.parities(other)).sum())
+        assert bits <= k + k // 2 and (bits > 0) == (k > 0)
