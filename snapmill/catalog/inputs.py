@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from snapmill.config import days_between
 from snapmill.operators import features as f
 from snapmill.operators.labels import joined_xy
-from snapmill.runtime import folder_stamp, materialize, scratch_path
+from snapmill.runtime import folder_stamp, materialize, scratch_path, spread
 from snapmill.sources import bindings as b
 from snapmill.sources.store import SnapshotTable
 
@@ -52,7 +52,7 @@ def xy_at(spark: SparkSession, sf_dir: str, d: date = D) -> DataFrame:
 
 def xy_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled features, written once for the queries that fit on them repeatedly."""
-    return once(spark, ("xy", sf_dir), lambda: materialize(xy_at(spark, sf_dir)))
+    return once(spark, ("xy", sf_dir), lambda: materialize(spread(xy_at(spark, sf_dir), "CUST_ID")))
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from snapmill.operators import subset
 from snapmill.operators.prep import BINARY_FILL, column_kind, fit_median, fit_woe, prep_impute_median, enc_woe
 from snapmill.operators.profile import binarized
 from snapmill.operators.ranked import long_form
-from snapmill.runtime import collect_bounded, materialize
+from snapmill.runtime import collect_bounded, materialize, spread
 
 # fixed values: default thresholds
 MI_THRESHOLD = 0.005
@@ -256,7 +256,7 @@ def wrapper_inputs(df: DataFrame, label: str, cfg: EntityConfig = DEFAULT, sigma
     cols = list(kinds)
     flags = {c: F.coalesce(binarized(c), F.lit(BINARY_FILL)).cast("double") for c, k in kinds.items() if k == "binary"}
     fold = (hash32(F.col(cfg.entity_key), seed) % CV_FOLDS).cast("int").alias("FOLD")
-    ready = out.select(fold, F.col(label).cast("double").alias("Y"),
+    ready = spread(out, *cfg.pk).select(fold, F.col(label).cast("double").alias("Y"),
                        *[flags.get(c, F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(c) for c in cols])
     return materialize(ready), cols
 

@@ -25,7 +25,7 @@ from snapmill.operators.model import (
 )
 from snapmill.operators.prep import TablePrep, fit_by_dtype, prep_from_profile
 from snapmill.operators.select import FilterOptions, fsel_filter
-from snapmill.runtime import materialize
+from snapmill.runtime import materialize, spread
 from snapmill.sources.registry import TrainingRegistry
 
 SAMPLE_METHODS = ("simple", "stratify")
@@ -157,8 +157,8 @@ def train(train_df: DataFrame, params: TreeParams | LinearParams, tune: TunePara
     ready = prep.transform(labelled.join(folds, cfg.entity_key, "left").withColumn("FOLD", F.coalesce("FOLD", F.lit(0))),
                            [*cfg.pk, "CLASS", "FOLD"])
     balanced = params.class_weight == "balanced"
-    data = materialize(assembled(ready, prep.outputs(), "CLASS", [*cfg.pk, "FOLD"], balanced)
-                       .repartition(cfg.entity_key).sortWithinPartitions(*cfg.pk))
+    data = materialize(spread(assembled(ready, prep.outputs(), "CLASS", [*cfg.pk, "FOLD"], balanced), cfg.entity_key)
+                       .sortWithinPartitions(*cfg.pk))
     estimator = estimator_for(params, seed, n)
     trials: list = []
     if tune is not None:

@@ -36,11 +36,23 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df by the hash of keys in at least as many partitions as there are cores.
+
+    Adaptive execution keeps a number that is given, while it merges small partitions of any other shuffle: a table
+    of many rows but few bytes would be written as one file, and everything fitted on it would run in one task.
+    """
+    spark = df.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *keys)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute df once into a table in the shared folder and read it back.
 
     The result has no lineage, survives lost executors, and its readers scan only the columns
-    they use.
+    they use. They have no more tasks than the table has files, so what is fitted on again and
+    again is spread first.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "table")
