@@ -227,12 +227,12 @@ def purchase_window(purchases: DataFrame, d: date, cfg: EntityConfig = DEFAULT,
                     "NUM_PUR_F7D", "TOTAL_PUR_NUM_F7D", "TOTAL_PUR_AMT_F7D"))
 
 
-def _select_features(joined: DataFrame, cfg: EntityConfig) -> DataFrame:
+def _select_features(joined: DataFrame, cfg: EntityConfig, extra: list[Column] | None = None) -> DataFrame:
     return joined.select(
         *cfg.pk, *CUST_FEATURES, *ACCT_FEATURES,
         zero_if_null("DAYS_SINCE_LAST_EVENT").alias("DAYS_SINCE_LAST_EVENT"),
         zero_if_null("NUM_EVENT_7D").alias("NUM_EVENT_7D"),
-        "RATIO_EVENT_EMAIL", "RATIO_EVENT_CLICK", "RATIO_EVENT_DECLINE")
+        "RATIO_EVENT_EMAIL", "RATIO_EVENT_CLICK", "RATIO_EVENT_DECLINE", *(extra or []))
 
 
 def features(cust: DataFrame, acct: DataFrame, event: DataFrame, d: date, cfg: EntityConfig = DEFAULT) -> DataFrame:
@@ -265,26 +265,32 @@ def features_range(customer: DataFrame, account: DataFrame, events: DataFrame, d
                    purchases: DataFrame | None = None, cfg: EntityConfig = DEFAULT) -> DataFrame:
     """Features (and, with purchases, the target measures) of many dates in one job.
 
-    Every source is first reduced to one row per entity and day. Those rows are stacked into one
-    timeline per entity, shuffled once, and range frames over the day number give all trailing
-    and forward windows, without a join. An entity has at most three rows per day, so a very
-    active one cannot make a window partition large.
+    Every source is first reduced to one row per entity and day. Those rows and an empty one per wanted
+    date are stacked into one timeline per entity, shuffled once, and range frames over the day number
+    give all trailing and forward windows. Only entities with any row in a source have a timeline; the
+    customers' attributes stay out of it and meet its finished columns in one join on entity and date, so
+    a customer without activity costs no window. An entity has at most four rows per day, so a very active
+    one cannot make a window partition large.
     """
-    dates = sorted(dates)
+    dates = sorted(set(dates))
     lo, hi = dates[0], dates[-1]
-    cust = cust_base(customer, dates, cfg).withColumn("IS_CUST", F.lit(True))
-    acct = acct_base(account.where(F.col(cfg.dt_key).between(dt_lit(lo - timedelta(days=6)), dt_lit(hi))), cfg=cfg)
-    acct = acct.withColumns(_flows()).withColumn("IS_ACCT", F.lit(1))
+    account = account.where(F.col(cfg.dt_key).between(dt_lit(lo - timedelta(days=6)), dt_lit(hi)))
+    events = events.where(F.col("EVENT_TS").between(dt_lit(lo - timedelta(days=7)), dt_lit(hi)))
+    sources = [account, events]
+    if purchases is not None:
+        purchases = purchases.where(F.col("PUR_TS").between(dt_lit(lo + timedelta(days=1)), dt_lit(hi + timedelta(days=8))))
+        sources.append(purchases)
+    seen = sources[0].select(cfg.entity_key)
+    for source in sources[1:]:
+        seen = seen.union(source.select(cfg.entity_key))
+    wanted = seen.distinct().select(cfg.entity_key, F.explode(F.array(*[dt_lit(d) for d in dates])).alias(cfg.dt_key), F.lit(True).alias("IS_WANTED"))
+    acct = acct_base(account, cfg=cfg).withColumns(_flows()).withColumn("IS_ACCT", F.lit(1))
     event_names = ["NUM_EVENT_7D", "N_EMAIL", "N_CLICK", "N_DECLINE"]
-    evt = _daily_with_midnight(
-        events.where(F.col("EVENT_TS").between(dt_lit(lo - timedelta(days=7)), dt_lit(hi))),
-        "EVENT_TS", _event_counts(), event_names, cfg)
-    parts = [cust, acct, evt]
+    parts = [wanted, acct, _daily_with_midnight(events, "EVENT_TS", _event_counts(), event_names, cfg)]
     pur_names = ["NUM_PUR_F7D", "TOTAL_PUR_NUM_F7D", "TOTAL_PUR_AMT_F7D"]
     if purchases is not None:
         parts.append(_daily_with_midnight(
-            purchases.where(F.col("PUR_TS").between(dt_lit(lo + timedelta(days=1)), dt_lit(hi + timedelta(days=8)))),
-            "PUR_TS",
+            purchases, "PUR_TS",
             [F.count("PUR_TS").alias("NUM_PUR_F7D"), F.sum("PUR_NUM").alias("TOTAL_PUR_NUM_F7D"),
              F.sum("PUR_AMT").alias("TOTAL_PUR_AMT_F7D")], pur_names, cfg))
     timeline = parts[0]
@@ -313,7 +319,7 @@ def features_range(customer: DataFrame, account: DataFrame, events: DataFrame, d
     }
     if purchases is not None:
         computed |= {f"P_{n}": both(n, ahead, last_day) for n in pur_names}
-    rows = timeline.select("*", *[c.alias(n) for n, c in computed.items()]).where("IS_CUST")
+    rows = timeline.select("*", *[c.alias(n) for n, c in computed.items()]).where("IS_WANTED")
 
     rows = rows.withColumns({
         **{n: F.when(F.col(f"E_{n}") > 0, F.col(f"E_{n}")) if n == "NUM_EVENT_7D" else F.col(f"E_{n}")
@@ -323,10 +329,8 @@ def features_range(customer: DataFrame, account: DataFrame, events: DataFrame, d
     })
     present = F.col("PRESENT") == 1
     acct_cols = [F.when(present, c).alias(n) for n, c in zip(ACCT_FEATURES, _window_ratios(), strict=True)]
-    extra = [] if purchases is None else [F.col(f"P_{n}").alias(n) for n in pur_names]
     event_cols = _event_ratios()
-    return rows.select(
-        *cfg.pk, *CUST_FEATURES, *acct_cols,
-        zero_if_null("DAYS_SINCE_LAST_EVENT").alias("DAYS_SINCE_LAST_EVENT"),
-        zero_if_null("NUM_EVENT_7D").alias("NUM_EVENT_7D"),
-        *event_cols[1:], *extra)
+    extra = [f"P_{n}" for n in pur_names] if purchases is not None else []
+    active = rows.select(*cfg.pk, *acct_cols, "DAYS_SINCE_LAST_EVENT", *event_cols, *extra)
+    joined = cust_base(customer, dates, cfg).join(active, cfg.pk, "left")
+    return _select_features(joined, cfg, [F.coalesce(f"P_{n}", F.lit(0)).alias(n) for n in pur_names] if extra else [])

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmill.functions.exprs import dt_lit
+from snapmill.runtime import spread
 
 REFERENCE_DATE = date(2024, 1, 15)
 
@@ -82,7 +83,9 @@ def customer(spark: SparkSession, sf_dir: str, dates: Iterable[date] = (REFERENC
     email = F.concat(F.lit("u"), k.cast("string"), F.lit("@"), F.lower("c_mktsegment"), F.lit(".example"))
     dates = list(dates)
     snap_dt = dt_lit(dates[0]) if len(dates) == 1 else F.explode(F.array(*[dt_lit(d) for d in dates]))
-    return table(spark, sf_dir, "customer").select(
+    rows = table(spark, sf_dir, "customer")
+    # a small file is one task, which would make every row of every date
+    return (rows if len(dates) == 1 else spread(rows, "c_custkey")).select(
         k.alias("CUST_ID"),
         snap_dt.alias("SNAP_DT"),
         F.col("c_name").alias("NAME"),
