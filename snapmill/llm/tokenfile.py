@@ -39,8 +39,9 @@ CACHED_WORDS = 500_000
 # only, where every implementation of its classes agrees
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 OTHER = re.compile("[^\t\n\r\x20-\x7e\xa0-\u024f]")
-# spaces that do not stand alone between two words
+# spaces that do not stand alone between two words, and ends of lines beside other white space
 UNEVEN = ("  ", *(x for c in "\t\n\r\xa0" for x in (f" {c}", f"{c} ")))
+UNEVEN_LINES = tuple(x for c in "\t\n\r\xa0" for x in (f"\n{c}", f"{c}\n"))
 
 
 def byte_characters() -> list[str]:
@@ -104,8 +105,17 @@ class Encoder:
                 return self.words[text[:-1]] + marks[text[-1]]
             return self.split(f" {text}")
 
+        def opening(text: str) -> bytes:
+            """A word that no space precedes."""
+            if text.isalpha():
+                return marks[text]
+            if text[-1:] in (".", ",") and text[:-1].isalpha():
+                return marks[text[:-1]] + marks[text[-1]]
+            return self.split(text)
+
         marks = Remembered(piece, CACHED_WORDS // 4)
         self.split = lambda text: join(map(marks.__getitem__, split_up(text)))
+        self.opening, self.line_end = opening, marks["\n"] if self.by_piece else b""
         self.words = Remembered(word)
 
     def encode(self, batch: list[str]) -> list[bytes]:
@@ -118,8 +128,13 @@ class Encoder:
             elif text[:1] == " " or text[-1:] == " " or any(u in text for u in UNEVEN):
                 out.append(self.split(text))
             else:
-                first, *rest = text.split(" ")
-                out.append(self.split(first) + b"".join(map(known, rest)))
+                # an end of line that stands alone is a piece, so no word is remembered together with the next line's first
+                alone = text[:1] != "\n" and text[-1:] != "\n" and not any(u in text for u in UNEVEN_LINES)
+                lines = []
+                for line in text.split("\n") if alone else (text,):
+                    first, *rest = line.split(" ")
+                    lines.append(self.opening(first) + b"".join(map(known, rest)))
+                out.append(self.line_end.join(lines))
         return out
 
 
@@ -205,6 +220,7 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID,
         return [np.frombuffer(x, f"<u{w}").astype(np.uint32) for x, w in zip(b["ids"], b["width"], strict=True)]
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder_of.cache_clear()  # all texts are encoded; workers live on, and need their memory for the ids
         total = np.zeros(1, np.int64)
         for b in batches:
             if len(b):
@@ -223,6 +239,7 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID,
                           "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder_of.cache_clear()
         part, before, keys, held, size = TaskContext.get().partitionId(), 0, [], [], 0
         for b in batches:
             for key, x in zip(b["doc_id"].astype("object"), values(b), strict=True):

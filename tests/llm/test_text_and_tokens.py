@@ -298,3 +298,24 @@ def test_neighbours_against_all_pairs(spark):
     few = {r.query_id: 0 for r in anngraph.nearest(table.where("vec_id in (0, 20, 21)")).collect()}
     assert set(few) == {0, 20}
     assert anngraph.nearest(table.limit(0)).count() == 0
+
+
+def test_lines_and_words_are_encoded_apart(spark):
+    """Single ends of line part the words that are remembered; doubled ones and ones beside other white space do not."""
+    encoder = tokenfile.Encoder(tokenizer_path())
+    rows = ["one two.\nThree four,\nfive", "a\nb", "\na", "a\n", "a\n\nb", "a\r\nb x", "a\xa0\nb y", "x y\n1b", "x's\n's y", "é.\nÉ a", "\n", ""]
+    got = encoder.encode(rows)
+    assert got == [np.array(encoder.tokenizer.encode(x, add_special_tokens=False).ids, encoder.kind).tobytes() for x in rows]
+    assert not any("\n" in w for w in encoder.words if w not in rows[2:])
+
+
+def test_workers_forget_the_encoder_after_its_pass(spark):
+    docs = spark.createDataFrame([(i, f"word{i} and more") for i in range(64)], "doc_id long, text string").repartition(8)
+    tokenfile.write(docs, tokenizer_path(), tokenfile.scratch_path(spark, "tokens"))
+
+    def held(batches):
+        import pandas as pd
+        for b in batches:
+            yield pd.DataFrame({"n": [tokenfile.encoder_of.cache_info().currsize] * len(b)})
+
+    assert sum(r.n for r in docs.coalesce(1).mapInPandas(held, "n int").collect()) == 0
