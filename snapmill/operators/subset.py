@@ -4,7 +4,9 @@ One scan sums the products of (1, columns, label) per fold. A least-squares disc
 columns, trained on all folds but one, is then read from the difference of two small matrices by the sweep
 operator: sweeping a column in adds it to the model, sweeping it again takes it out. Squared-error scores
 follow from the same matrices; accuracy, ROC-AUC and average precision of all candidates of a step come from
-one further scan, in which a block of rows meets the matrix of all candidates' coefficients.
+further scans, in which a block of rows meets the matrix of all candidates' coefficients. For the two areas a block
+sends its distinct scores per candidate, fold and range of scores as arrays with their counts, not as rows; a range
+is ordered in one task, and its place in the whole order follows from the counts of the ranges above it.
 
 Matrices are columns x columns and live on the driver; rows never do.
 """
@@ -19,12 +21,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmill.operators.evaluate import eval_auc, eval_scores
 from snapmill.runtime import collect_bounded
 
 TOLERANCE = 1e-9
 MOMENT_SCORES = ("r2", "neg_mean_squared_error")
 ROW_SCORES = ("accuracy", "roc_auc", "average_precision")
+# about so many rows of a fold are ordered in one task
+RANGE_ROWS = 250_000
+# the cuts between the ranges come from about so many rows; they change who orders a score, not the result
+CUT_ROWS = 100_000
 
 
 def sweep(a: np.ndarray, k: int) -> np.ndarray:
@@ -162,18 +167,12 @@ def score_models(ready: DataFrame, moments: FoldMoments, models: np.ndarray, sco
         i, m = np.indices(total.shape).reshape(2, -1)
         yield pd.DataFrame({"M": m, "FOLD": i, "HITS": total.ravel(), "N": rows[i]})
 
-    def long(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for i, y, s in scored(batches):
-            yield pd.DataFrame({"M": np.tile(np.arange(count), len(y)), "FOLD": i, "Y": np.repeat(y, count).astype(int), "SCORE": s.ravel()})
-
     rows = ready.select(fold, label, *cols)
     if scoring == "accuracy":
         out = (rows.mapInPandas(hits, "M int, FOLD int, HITS long, N long").groupBy("M", "FOLD")
                .agg(F.try_divide(F.sum("HITS"), F.sum("N")).alias("S")))
     else:
-        all_rows = rows.mapInPandas(long, "M int, FOLD int, Y int, SCORE double")
-        out = (eval_auc(all_rows, ["M", "FOLD"]).withColumnRenamed("ROC_AUC", "S") if scoring == "roc_auc"
-               else eval_scores(all_rows, ["M", "FOLD"]).withColumnRenamed("PR_AUC", "S"))
+        return np.array([_mean(a) for a in _areas(rows, moments, scored, count, scoring)])
     found: list[list[float]] = [[] for _ in range(count)]
     for r in collect_bounded(out.select("M", "FOLD", "S"), count * moments.folds, "candidate scores"):
         if r.S is not None:
@@ -181,6 +180,88 @@ def score_models(ready: DataFrame, moments: FoldMoments, models: np.ndarray, sco
     return np.array([_mean(s) for s in found])
 
 
+def _areas(rows: DataFrame, moments: FoldMoments, scored, count: int, scoring: str) -> list[list[float]]:
+    """Per model the area (ROC or average precision) in every fold where it is defined, exact with ties."""
+    largest = max(float(m[0, 0]) for m in moments.sums)
+    parts = max(1, -(-int(largest) // RANGE_ROWS))
+    cuts = _cuts(rows, moments, scored, count, parts) if parts > 1 else {}
+
+    def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        for i, y, s in scored(batches):
+            for m in range(count):
+                v, at = np.unique(s[:, m], return_inverse=True)
+                p = np.bincount(at, y > 0.5, len(v)).astype("<i4")
+                n = np.bincount(at, y <= 0.5, len(v)).astype("<i4")
+                ends = [0, *np.searchsorted(v, cuts.get((m, i), [])), len(v)]
+                for part, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+                    if a < b:
+                        yield m, i, part, v[a:b], p[a:b], n[a:b]
+
+    def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple[int, int, int], np.ndarray] = {}
+        for m, i, part, _, p, n in ranges(batches):
+            sums[m, i, part] = sums.get((m, i, part), 0) + np.array([p.sum(), n.sum()], np.int64)
+        keys = np.array(list(sums), np.int64).reshape(-1, 3).T
+        values = np.array(list(sums.values()), np.int64).reshape(-1, 2).T
+        yield pd.DataFrame(dict(zip(("M", "FOLD", "PART", "P", "N"), (*keys, *values), strict=True)))
+
+    cells = (rows.mapInPandas(totals, "M int, FOLD int, PART int, P long, N long").groupBy("M", "FOLD", "PART")
+             .agg(F.sum("P").alias("P"), F.sum("N").alias("N")))
+    above: dict[tuple[int, int, int], tuple[int, int]] = {}
+    whole: dict[tuple[int, int], tuple[int, int]] = {}
+    for r in sorted(collect_bounded(cells, count * moments.folds * parts, "ranges of scores"), key=lambda r: -r.PART):
+        p, n = whole.get((r.M, r.FOLD), (0, 0))
+        above[r.M, r.FOLD, r.PART] = (p, n)
+        whole[r.M, r.FOLD] = (p + r.P, n + r.N)
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [(m, i, part, v.tobytes(), p.tobytes(), n.tobytes()) for m, i, part, v, p, n in ranges([b])]
+            yield pd.DataFrame(found, columns=["M", "FOLD", "PART", "V", "P", "N"])
+
+    def ordered(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        m, i, part = (int(k) for k in key)
+        v, at = np.unique(np.frombuffer(b"".join(group["V"]), float), return_inverse=True)
+        p, n = (np.bincount(at, np.frombuffer(b"".join(group[c]), "<i4"), len(v))[::-1] for c in ("P", "N"))
+        tp, fp = above[m, i, part]
+        positives, negatives = whole[m, i]
+        if scoring == "roc_auc":
+            area = float(np.sum(p * (negatives - fp - np.cumsum(n) + n / 2.0)))
+        else:
+            hits = tp + np.cumsum(p)
+            area = float(np.sum(p * (hits / (hits + fp + np.cumsum(n)))))
+        return pd.DataFrame({"M": [m], "FOLD": [i], "PART": [part], "AREA": [area]})
+
+    areas = (rows.mapInPandas(packed, "M int, FOLD int, PART int, V binary, P binary, N binary").groupBy("M", "FOLD", "PART")
+             .applyInPandas(ordered, "M int, FOLD int, PART int, AREA double"))
+    sums: dict[tuple[int, int], float] = {}
+    for r in sorted(collect_bounded(areas, count * moments.folds * parts, "areas of ranges")):
+        sums[r.M, r.FOLD] = sums.get((r.M, r.FOLD), 0.0) + r.AREA
+    found: list[list[float]] = [[] for _ in range(count)]
+    for (m, i), area in sums.items():
+        positives, negatives = whole[m, i]
+        pairs = positives * negatives if scoring == "roc_auc" else positives
+        if pairs:
+            found[m].append(area / pairs)
+    return found
+
+
+def _cuts(rows: DataFrame, moments: FoldMoments, scored, count: int, parts: int) -> dict[tuple[int, int], list[float]]:
+    """For each model and fold, scores that part its rows into about equal ranges."""
+    share = CUT_ROWS / sum(float(m[0, 0]) for m in moments.sums)
+    points = np.linspace(0.0, 1.0, 4 * parts + 1)
+
+    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for i, _, s in scored(batches):
+            q = np.quantile(s, points, axis=0)
+            yield pd.DataFrame({"M": np.repeat(np.arange(count), len(points)), "FOLD": i, "S": q.T.ravel()})
+
+    sampled = rows if share >= 1.0 else rows.sample(share, seed=0)
+    found = sampled.mapInPandas(sketch, "M int, FOLD int, S double").groupBy("M", "FOLD").agg(
+        F.percentile_approx("S", [i / parts for i in range(1, parts)], 10 * parts).alias("CUTS"))
+    return {(r.M, r.FOLD): sorted(r.CUTS) for r in collect_bounded(found, count * moments.folds, "cuts")}
+
+
 def _mean(scores: list[float]) -> float:
     known = [s for s in scores if s == s]
     return sum(known) / len(known) if known else float("-inf")

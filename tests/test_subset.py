@@ -148,3 +148,29 @@ def test_unknown_scores_raise(ready):
     for kind in (fs.MOMENTS, "logistic"):
         with pytest.raises(ValueError):
             fs.fsel_forward(ready, ["a", "b"], 1, kind, scoring="other")
+
+
+@pytest.mark.parametrize("scoring", ["roc_auc", "average_precision"])
+def test_areas_from_ranges_of_scores(spark, monkeypatch, scoring):
+    """Many ranges, ties over all rows, across blocks and inside them: the areas are those of the ordered rows."""
+    monkeypatch.setattr(subset, "RANGE_ROWS", 40)
+    monkeypatch.setattr(subset, "CUT_ROWS", 300)
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.normal(size=900), rng.integers(0, 3, 900)])
+    y, fold = (x[:, 0] + rng.normal(size=900) > 0.4).astype(float), rng.integers(0, 2, 900)
+    df = spark.createDataFrame([(int(f), float(v), *map(float, r)) for f, v, r in zip(fold, y, x, strict=True)],
+                               "FOLD int, Y double, a double, b double").repartition(4)
+    models = rng.normal(size=(3, 2, 3))
+    models[1, :, 1], models[2] = 0.0, 0.0
+    got = subset.score_models(df, subset.fold_moments(df, ["a", "b"], 2), models, scoring)
+
+    def plain(m):
+        out = []
+        for f in range(2):
+            s, t = models[m, f, 0] + x[fold == f] @ models[m, f, 1:], y[fold == f] > 0.5
+            at_least = s[t][:, None] <= s[None, :]
+            out.append(plain_auc(t, s) if scoring == "roc_auc" else np.mean((at_least & t).sum(axis=1) / at_least.sum(axis=1)))
+        return np.mean(out)
+
+    # a sum of doubles in another order may part equal scores; these have one varying term at most
+    assert np.allclose(got, [plain(m) for m in range(3)], atol=1e-12)
