@@ -24,6 +24,8 @@ from snapmill.runtime import collect_bounded
 
 VECTOR, RAW, PROB, PRED = "V", "rawPrediction", "probability", "prediction"
 WEIGHT, LABEL = "W", "Y"
+# of folded data: how many rows a row stands for
+ROWS = "N_ROWS"
 
 
 @dataclass(frozen=True)
@@ -72,18 +74,39 @@ def label_encode(df: DataFrame, label: str, encoding: LabelEncoding, out: str) -
 
 
 def assembled(df: DataFrame, features: list[str], label: str, keep: list[str] | None = None,
-              balanced: bool = False) -> DataFrame:
-    """Vector, label and weight columns. Balanced weights give every class the same total."""
+              balanced: bool = False, rows: str | None = None) -> DataFrame:
+    """Vector, label and weight columns. Balanced weights give every class the same total; a row of folded data
+    weighs as much as the rows it stands for."""
     weight = F.lit(1.0)
     if balanced:
-        counts = {r[label]: r["count"] for r in collect_bounded(df.groupBy(label).count(), 1000, "classes")}
+        count = F.sum(F.col(rows) if rows else F.lit(1)).alias("count")
+        counts = {r[label]: r["count"] for r in collect_bounded(df.groupBy(label).agg(count), 1000, "classes")}
         total = sum(counts.values())
         for v, n in counts.items():
             weight = F.when(F.col(label) == v, total / (len(counts) * n)).otherwise(weight)
+    if rows:
+        weight = weight * F.col(rows)
     out = VectorAssembler(inputCols=features, outputCol=VECTOR).transform(df)
     return out.select(*(keep or []), VECTOR, F.col(label).cast("double").alias(LABEL), weight.alias(WEIGHT))
 
 
+def folded(df: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:
+    """One row per distinct (keep, cols), with ROWS, the number of rows it stands for.
+
+    A loss that is a sum over rows does not change, only the order of its terms; every pass of a fit then reads the
+    distinct rows. Map-side partials count a row that very many share. Where no row repeats, this is one shuffle more.
+    """
+    return df.groupBy(*keep, *cols).agg(F.count(F.lit(1)).cast("double").alias(ROWS))
+
+
+def foldable(params: TreeParams | LinearParams, tuned: bool, n_classes: int) -> bool:
+    """Whether a fit gives the same model for equal rows as for one row of their weight.
+
+    Forests and tuned boosting draw rows, and count them per leaf. More than two classes are scored by their rows.
+    """
+    return n_classes == 2 and (isinstance(params, LinearParams) or (params.boosting_type == "gbdt" and not tuned))
+
+
 def tree_estimator(params: TreeParams, seed: int = 0, n_classes: int = 2):
     if params.boosting_type not in ("gbdt", "rf"):
         raise ValueError("boosting_type must be gbdt or rf; dart and goss are not offered")
@@ -173,7 +196,7 @@ def stratified_folds(df: DataFrame, entity: str, label: str, k: int, seed: int =
 
 
 def tune_group_cv(data: DataFrame, estimator, tune: TuneParams = TuneParams(), seed: int = 0,
-                  fold: str = "FOLD", parallelism: int = 2, n_classes: int = 2) -> tuple[list[tuple[int, dict, float]], dict]:
+                  fold: str = "FOLD", parallelism: int = 8, n_classes: int = 2) -> tuple[list[tuple[int, dict, float]], dict]:
     """(trials, best parameters) of a random search scored by cross-validation over a stored fold column.
 
     The folds of stratified_folds keep an entity together and the classes balanced. With more than two
@@ -187,8 +210,10 @@ def tune_group_cv(data: DataFrame, estimator, tune: TuneParams = TuneParams(), s
         scores = [_multiclass_score(data, with_params(estimator, {_name(p): v for p, v in m.items()}), tune, fold, n_classes) for m in maps]
         trials = [(i, {_name(p): v for p, v in m.items()}, s) for i, (m, s) in enumerate(zip(maps, scores, strict=True))]
         return trials, max(trials, key=lambda t: (t[2], -t[0]))[1]
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, numFolds=tune.n_cv, foldCol=fold,
-                        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol=RAW, metricName=metric),
+    measure = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol=RAW, metricName=metric)
+    if ROWS in data.columns:
+        measure = measure.setWeightCol(ROWS)
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, numFolds=tune.n_cv, foldCol=fold, evaluator=measure,
                         parallelism=parallelism, seed=seed)
     scores = cv.fit(data).avgMetrics
     trials = [(i, {p.name: v for p, v in m.items()}, s) for i, (m, s) in enumerate(zip(maps, scores, strict=True))]
@@ -269,8 +294,10 @@ class Calibration:
 
 def _score_groups(scored: DataFrame, column: str, is_class: Column) -> DataFrame:
     """Mean outcome and weight per distinct score: the calibrators see no more rows than that."""
-    return (scored.groupBy(F.col(column).alias("S"))
-            .agg(F.avg(is_class.cast("double")).alias("RATE"), F.count(F.lit(1)).cast("double").alias("N")))
+    rows = F.col(ROWS) if ROWS in scored.columns else F.lit(1.0)
+    hits = F.sum(F.when(is_class, rows).when(is_class.isNotNull(), 0.0))
+    known = F.sum(F.when(is_class.isNotNull(), rows))
+    return (scored.groupBy(F.col(column).alias("S")).agg(F.try_divide(hits, known).alias("RATE"), F.sum(rows).alias("N")))
 
 
 def calib_sigmoid(scored: DataFrame, n_classes: int, label: str = LABEL, prefix: str = "PROB_CLS",

@@ -20,8 +20,9 @@ from snapmill.operators.compiled import CompiledModel, compile_model
 from snapmill.operators.evaluate import class_scores, eval_auc
 from snapmill.operators.labels import joined_xy
 from snapmill.operators.model import (
-    LABEL, VECTOR, Calibration, LabelEncoding, LinearParams, TreeParams, TuneParams, assembled, calib_isotonic,
-    calib_sigmoid, class_probabilities, estimator_for, fit_label_encoding, stratified_folds, tune_group_cv, with_params,
+    LABEL, ROWS, VECTOR, Calibration, LabelEncoding, LinearParams, TreeParams, TuneParams, assembled, calib_isotonic,
+    calib_sigmoid, class_probabilities, estimator_for, fit_label_encoding, foldable, folded, stratified_folds, tune_group_cv,
+    with_params,
 )
 from snapmill.operators.prep import TablePrep, fit_by_dtype, prep_from_profile
 from snapmill.operators.select import FilterOptions, fsel_filter
@@ -137,7 +138,8 @@ def train(train_df: DataFrame, params: TreeParams | LinearParams, tune: TunePara
 
     columns is a saved selection; without it the filters choose. profile gives the
     preprocessing; without it the chains are fitted by type. The prepared training rows are
-    written once, ordered by key inside entity partitions, so repeated fits read the same data.
+    written once, in a fixed order inside partitions, so repeated fits read the same data. Where
+    the fit allows it, equal prepared rows of a fold are written as one row with their number.
     """
     if calibration not in ("sigmoid", "sigmoid_raw", "isotonic"):
         raise ValueError("calibration must be sigmoid, sigmoid_raw or isotonic")
@@ -157,8 +159,13 @@ def train(train_df: DataFrame, params: TreeParams | LinearParams, tune: TunePara
     ready = prep.transform(labelled.join(folds, cfg.entity_key, "left").withColumn("FOLD", F.coalesce("FOLD", F.lit(0))),
                            [*cfg.pk, "CLASS", "FOLD"])
     balanced = params.class_weight == "balanced"
-    data = materialize(spread(assembled(ready, prep.outputs(), "CLASS", [*cfg.pk, "FOLD"], balanced), cfg.entity_key)
-                       .sortWithinPartitions(*cfg.pk))
+    outputs = prep.outputs()
+    if foldable(params, tune is not None, n):
+        distinct = spread(folded(ready, outputs, ["FOLD", "CLASS"]), "FOLD", "CLASS", *outputs).sortWithinPartitions("FOLD", "CLASS", *outputs)
+        data = materialize(assembled(distinct, outputs, "CLASS", ["FOLD", ROWS], balanced, ROWS))
+    else:
+        data = materialize(spread(assembled(ready, outputs, "CLASS", [*cfg.pk, "FOLD"], balanced), cfg.entity_key)
+                           .sortWithinPartitions(*cfg.pk))
     estimator = estimator_for(params, seed, n)
     trials: list = []
     if tune is not None:
