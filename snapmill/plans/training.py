@@ -161,7 +161,8 @@ def train(train_df: DataFrame, params: TreeParams | LinearParams, tune: TunePara
     balanced = params.class_weight == "balanced"
     outputs = prep.outputs()
     if foldable(params, tune is not None, n):
-        distinct = spread(folded(ready, outputs, ["FOLD", "CLASS"]), "FOLD", "CLASS", *outputs).sortWithinPartitions("FOLD", "CLASS", *outputs)
+        rows = materialize(spread(ready, cfg.entity_key).sortWithinPartitions(*cfg.pk))
+        distinct = spread(folded(rows, outputs, ["FOLD", "CLASS"]), "FOLD", "CLASS", *outputs).sortWithinPartitions("FOLD", "CLASS", *outputs)
         data = materialize(assembled(distinct, outputs, "CLASS", ["FOLD", ROWS], balanced, ROWS))
     else:
         data = materialize(spread(assembled(ready, outputs, "CLASS", [*cfg.pk, "FOLD"], balanced), cfg.entity_key)
