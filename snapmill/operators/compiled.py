@@ -32,6 +32,9 @@ SPARK = Dialect(lambda c: "`" + c.replace("`", "``") + "`", lambda v: f"({float(
 DUCKDB = Dialect(lambda c: '"' + c.replace('"', '""') + '"', lambda v: f"cast({float(v)!r} AS DOUBLE)",
                  lambda parts: f"list_sum([{', '.join(parts)}])")
 
+# margins of up to this many trees are plain sums
+MAX_SUM = 64
+
 # a node is [feature, threshold, left, right]; a leaf is [value, ...], one value per class or margin
 Node = list
 
@@ -61,15 +64,19 @@ class CompiledModel:
         n = len(self.rows) if self.kind == "linear" else len(_first_leaf(self.trees[0]))
         return 2 if self.link in ("logistic", "double_logistic") else n
 
-    def margins(self, dialect: Dialect = SPARK) -> list[str]:
-        """SQL text of each margin (or mean share)."""
+    def terms(self, dialect: Dialect = SPARK) -> list[list[str]]:
+        """SQL texts that add up to each margin (or mean share)."""
         if self.kind == "linear":
-            return [" + ".join([dialect.double(row[0]), *(f"{dialect.double(w)} * {dialect.name(c)}"
-                                                          for c, w in zip(self.features, row[1:], strict=True) if w)])
+            return [[" + ".join([dialect.double(row[0]), *(f"{dialect.double(w)} * {dialect.name(c)}"
+                                                           for c, w in zip(self.features, row[1:], strict=True) if w)])]
                     for row in self.rows]
         # a tree that adds nothing to a margin, as one of another class, is left out of it
-        return [dialect.total([f"{dialect.double(w)} * ({self._tree(t, i, dialect)})" for t, w in zip(self.trees, self.weights, strict=True)
-                               if _adds(t, i)] or [dialect.double(0.0)]) for i in range(len(_first_leaf(self.trees[0])))]
+        return [[f"{dialect.double(w)} * ({self._tree(t, i, dialect)})" for t, w in zip(self.trees, self.weights, strict=True)
+                 if _adds(t, i)] or [dialect.double(0.0)] for i in range(len(_first_leaf(self.trees[0])))]
+
+    def margins(self, dialect: Dialect = SPARK) -> list[str]:
+        """SQL text of each margin (or mean share)."""
+        return [parts[0] if self.kind == "linear" else dialect.total(parts) for parts in self.terms(dialect)]
 
     def _tree(self, node: Node, i: int, dialect: Dialect) -> str:
         if not _inner(node):
@@ -96,11 +103,20 @@ class CompiledModel:
         """keep... and one probability per class. Margins are computed once per row.
 
         They come from a generator of one row: a filter on scores would otherwise be pushed below the projection
-        with a copy of the whole ensemble for every mention of a margin.
+        with a copy of the whole ensemble for every mention of a margin. A generator is interpreted, and so is what
+        goes into a higher-order function, so trees are projected below it. The small higher-order function beside
+        them leaves that projection out of whole-stage code, whose one method would be too large to be compiled
+        to machine code; apart, every tree has methods of its own.
         """
-        names = [f"_M{i}" for i in range(len(self.rows) or len(_first_leaf(self.trees[0])))]
-        margins = F.struct(*[F.expr(text).alias(n) for n, text in zip(names, self.margins(), strict=True)])
-        wide = df.select(*keep, F.inline(F.array(margins)))
+        terms = self.terms()
+        names = [f"_M{i}" for i in range(len(terms))]
+        # long sums are added from an array, as their method would again be too large
+        long = len(terms[0]) > MAX_SUM if self.kind == "trees" else False
+        zero = F.expr("transform(array(0.0D), z -> z)").alias("_ZERO")
+        sums = [F.array(*[F.expr(t) for t in texts]) if long else F.expr(" + ".join(["0.0D", *texts])) for texts in terms]
+        below = df.select(*keep, zero, *[c.alias(n) for n, c in zip(names, sums, strict=True)])
+        margins = [F.expr(f"aggregate({n}, _ZERO[0], (a, v) -> a + v)" if long else f"{n} + _ZERO[0]").alias(n) for n in names]
+        wide = below.select(*keep, F.inline(F.array(F.struct(*margins))))
         flat = CompiledModel("linear", self.link, names, [[0.0, *(1.0 if i == j else 0.0 for j in range(len(names)))] for i in range(len(names))])
         return wide.select(*keep, *[p.alias(f"{prefix}{i}") for i, p in enumerate(flat.probabilities())])
 

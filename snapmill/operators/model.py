@@ -17,10 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmill.functions.exprs import hash32, logistic
-from snapmill.operators.boosting import SoftmaxBoosting
+from snapmill.operators.boosting import SoftmaxBoosting, SoftmaxBoostingModel
 from snapmill.operators.evaluate import class_scores, eval_scores
 from snapmill.operators.ranked import running_sums
-from snapmill.runtime import collect_bounded
+from snapmill.runtime import collect_bounded, materialize
 
 VECTOR, RAW, PROB, PRED = "V", "rawPrediction", "probability", "prediction"
 WEIGHT, LABEL = "W", "Y"
@@ -243,6 +243,10 @@ def with_params(estimator, params: dict):
 
 def class_probabilities(model: Model, df: DataFrame, n_classes: int, prefix: str = "PROB_CLS") -> DataFrame:
     """df with one probability column per class. A margin model is squashed by the logistic."""
+    if isinstance(model, SoftmaxBoostingModel):
+        if model.numClasses != n_classes:
+            raise ValueError(f"the labels have {n_classes} classes, the model {model.numClasses}")
+        return model.probabilities(df, prefix)
     out = model.transform(df)
     if PROB in out.columns:
         p = vector_to_array(PROB)
@@ -302,10 +306,13 @@ def _score_groups(scored: DataFrame, column: str, is_class: Column) -> DataFrame
 
 def calib_sigmoid(scored: DataFrame, n_classes: int, label: str = LABEL, prefix: str = "PROB_CLS",
                   logit: bool = True) -> Calibration:
-    """Platt scaling per class of a fitted model's scores, on their logit or on the scores themselves."""
+    """Platt scaling per class of a fitted model's scores, on their logit or on the scores themselves.
+
+    The solver reads its rows more than once before it keeps them, so the scores are grouped into a table first.
+    """
     curves = []
     for i in range(n_classes):
-        g = _score_groups(scored, f"{prefix}{i}", F.col(label) == i)
+        g = materialize(_score_groups(scored, f"{prefix}{i}", F.col(label) == i))
         rows = g.select(array_to_vector(F.array(_logit(F.col("S")) if logit else F.col("S").cast("double"))).alias("X"), F.inline(F.array(
             F.struct(F.lit(1.0).alias("Y"), (F.col("N") * F.col("RATE")).alias("W")),
             F.struct(F.lit(0.0).alias("Y"), (F.col("N") * (1.0 - F.col("RATE"))).alias("W"))))).where("W > 0")

@@ -156,17 +156,17 @@ def train(train_df: DataFrame, params: TreeParams | LinearParams, tune: TunePara
     tune_k = tune.n_cv if tune else 2
     labelled = chosen.withColumn("CLASS", encoding.encode(F.col(cfg.target_key)))
     folds = stratified_folds(labelled, cfg.entity_key, "CLASS", tune_k, seed)
-    ready = prep.transform(labelled.join(folds, cfg.entity_key, "left").withColumn("FOLD", F.coalesce("FOLD", F.lit(0))),
+    # rows are spread once, before they are joined and widened; both keep the partitions
+    ready = prep.transform(spread(labelled, cfg.entity_key).join(folds, cfg.entity_key, "left").withColumn("FOLD", F.coalesce("FOLD", F.lit(0))),
                            [*cfg.pk, "CLASS", "FOLD"])
     balanced = params.class_weight == "balanced"
     outputs = prep.outputs()
     if foldable(params, tune is not None, n):
-        rows = materialize(spread(ready, cfg.entity_key).sortWithinPartitions(*cfg.pk))
+        rows = materialize(ready.sortWithinPartitions(*cfg.pk))
         distinct = spread(folded(rows, outputs, ["FOLD", "CLASS"]), "FOLD", "CLASS", *outputs).sortWithinPartitions("FOLD", "CLASS", *outputs)
         data = materialize(assembled(distinct, outputs, "CLASS", ["FOLD", ROWS], balanced, ROWS))
     else:
-        data = materialize(spread(assembled(ready, outputs, "CLASS", [*cfg.pk, "FOLD"], balanced), cfg.entity_key)
-                           .sortWithinPartitions(*cfg.pk))
+        data = materialize(assembled(ready, outputs, "CLASS", [*cfg.pk, "FOLD"], balanced).sortWithinPartitions(*cfg.pk))
     estimator = estimator_for(params, seed, n)
     trials: list = []
     if tune is not None:

@@ -11,7 +11,7 @@ from snapmill.operators import calendar as cal
 from snapmill.operators import explain as ex
 from snapmill.operators import model as m
 from snapmill.operators import select as fs
-from snapmill.operators.boosting import SoftmaxBoosting, _Tree
+from snapmill.operators.boosting import BLOCK, SoftmaxBoosting, _codes, _Tree, _unit
 from snapmill.operators.compiled import CompiledModel, compile_model
 from snapmill.plans import scoring, training
 from snapmill.runtime import materialize
@@ -334,6 +334,112 @@ def test_boosting_keeps_rows_in_blocks(rings):
         assert tree.place(bins).tolist() == [1 if u <= 3 else 3 if v <= 4 else 4 for u, v in bins.T.tolist()]
 
 
+def _plain_boosting(b, y, k_all, rounds, depth, least):
+    """Boosting over bins (column, row) by plain sums over the rows of every node."""
+    start = np.log(np.bincount(y, minlength=k_all) / len(y))
+    m, out = np.repeat(start[:, None], len(y), axis=1), []
+    for _ in range(rounds):
+        p = np.exp(m - m.max(axis=0))
+        p /= p.sum(axis=0)
+        grown = []
+        for k in range(k_all):
+            g, h = p[k] - (y == k), p[k] * (1 - p[k]) * k_all / (k_all - 1)
+
+            def grow(rows, level):
+                gain = lambda r: g[r].sum() ** 2 / (h[r].sum() + 1)
+                best = None
+                for f in range(len(b) if level < depth else 0):
+                    for e in range(7):
+                        left, right = rows[b[f, rows] <= e], rows[b[f, rows] > e]
+                        if min(len(left), len(right)) >= least and min(h[left].sum(), h[right].sum()) >= 1e-3:
+                            now = gain(left) + gain(right) - gain(rows)
+                            if now > 1e-9 and (best is None or now > best[0] + 1e-9):
+                                best = (now, f, e, left, right)
+                if best is None:
+                    v = -0.1 * g[rows].sum() / (h[rows].sum() + 1)
+                    moves.append((rows, v))
+                    return [v]
+                return [best[1], best[2], grow(best[3], level + 1), grow(best[4], level + 1)]
+
+            moves = []
+            grown.append(grow(np.arange(len(y)), 0))
+            for rows, v in moves:
+                m[k, rows] += v
+        out.append(grown)
+    return out
+
+
+@pytest.mark.parametrize("joint", [1, 1024])
+def test_boosting_equals_plain_sums_and_reads_smaller_children(rings, monkeypatch, joint):
+    """Trees of several levels and rounds, though a task reads one child of a split and the last level is not read."""
+    data = m.assembled(rings.withColumn("c", F.when(F.col("CONV_7D") == "in", 0).when(F.col("CONV_7D") == "mid", 1).otherwise(2)), ["x", "z", "n"], "c")
+    boosting = SoftmaxBoosting(3, maxIter=3, maxDepth=3, maxBins=8)
+    read = []
+    count = SoftmaxBoosting._count
+
+    def counted(self, table, since, edges, n, unit, trees):
+        for t in trees:
+            wanted = t.to_scan(2 * self.minInstancesPerNode)
+            assert wanted in ([], [0]) or all(2 * t.totals[i][2] <= t.totals[i][2] + t.totals[2 * t.left[t.parents()[i]] + 1 - i][2] for i in wanted)
+        read.append(n)
+        count(self, table, since, edges, n, unit, trees)
+
+    monkeypatch.setattr(SoftmaxBoosting, "_count", counted)
+    monkeypatch.setattr("snapmill.operators.boosting.JOINT_BINS", joint)
+    monkeypatch.setattr("snapmill.operators.boosting.BLOCK", 100)
+    model = boosting.fit(data)
+    assert read == [0, 0, 0, 1, 1, 1, 2, 2, 2]
+    rows = data.toPandas()
+    x, y = np.vstack([v.toArray() for v in rows["V"]]), rows["Y"].to_numpy().astype(int)
+    edges = boosting._edges(data.select(vector_to_array("V").alias("X")), 3)
+    b = np.stack([np.searchsorted(e, x[:, i], side="left") for i, e in enumerate(edges)])
+
+    def same(node, plain):
+        if len(plain) == 1:
+            return len(node) == 1 and node[0] == pytest.approx(plain[0], abs=1e-6)
+        return node[:2] == [plain[0], edges[plain[0]][plain[1]]] and same(node[2], plain[2]) and same(node[3], plain[3])
+
+    for r, plain in zip(model.rounds, _plain_boosting(b, y, 3, 3, 3, 20), strict=True):
+        assert all(same(node, want) for node, want in zip(r, plain, strict=True))
+
+
+def test_bins_equal_binary_search():
+    edges = np.array([-1.5, 0.0, 2.0])
+    v = np.array([-np.inf, -1.5, -1.4, 0.0, -0.0, 1.0, 2.0, 2.1, np.inf, np.nan])
+    assert _codes(v, edges).tolist() == np.searchsorted(edges, v, side="left").tolist()
+    assert _codes(v, edges[:0]).tolist() == [0] * len(v)
+
+
+def test_large_weights_leave_room_in_the_sums():
+    assert _unit(1e6, 1.0) == 2.0 ** 30 == _unit(0.0, 0.0)
+    total, heaviest = 1e12, 1e7
+    assert total * _unit(total, heaviest) < 2.0 ** 62 and BLOCK * heaviest * _unit(total, heaviest) < 2.0 ** 52
+
+
+def test_trees_are_generated_code_not_part_of_a_generator(rings):
+    """What is in a generator or a higher-order function is interpreted, so the trees are not."""
+    for n in (3, 70):
+        tree = [0, 0.5, [0.1, 0.0], [0.0, 0.2]]
+        compiled = CompiledModel("trees", "softmax", ["x"], [], [[0.5, 0.5], *[tree] * n], [1.0] * (n + 1))
+        scored = compiled.score(rings, ["CUST_ID", "x"])
+        text = plan(scored)
+        nodes = [node for node in text.split("\n\n") if "inline(" in node]
+        assert len(nodes) == 1 and "CASE WHEN" not in nodes[0] and "CASE WHEN" in text
+        r = scored.withColumn("m", F.when(F.col("x") <= 0.5, 0.1 * n).otherwise(-0.2 * n))
+        assert r.agg(F.max(F.abs(1 / (1 + F.exp(-F.col("m"))) - F.col("PROB_CLS0")))).first()[0] < 1e-9
+
+
+def test_training_rows_are_spread_once_and_scores_grouped_once(rings, monkeypatch):
+    """Rows are shuffled before the vector is made, and a calibration's scores are aggregated once."""
+    spread_columns, grouped = [], []
+    spread, materialize_ = training.spread, m.materialize
+    monkeypatch.setattr(training, "spread", lambda df, *keys: spread_columns.append(df.columns) or spread(df, *keys))
+    monkeypatch.setattr(m, "materialize", lambda df: grouped.append(df.columns) or materialize_(df))
+    training.train(rings, m.TreeParams("multiclass", 1), None, ["x", "z"])
+    assert spread_columns == [["CUST_ID", "SNAP_DT", "CONV_7D", "x", "z", "CLASS"]]
+    assert grouped == [["S", "RATE", "N"]] * 3
+
+
 def test_tuning_of_several_classes(rings):
     model = training.train(rings, m.TreeParams("multiclass", 2), m.TuneParams(n_cv=2, n_trials=2), ["x", "z"])
     assert len(model.trials) == 2 and max(t[2] for t in model.trials) > 0.7
